@@ -101,6 +101,338 @@ def d3_car_metrics(spark, d):
     return round_doubles(car_metrics(_clean_cars(spark, d)))
 
 
+# --- H: scalar functions -----------------------------------------------------
+
+DOC_NOISY = """
+SELECT doc_id,
+  CASE doc_id % 6 WHEN 0 THEN 'N/A' WHEN 1 THEN chr(9) || text || '  ' || chr(10)
+                  WHEN 2 THEN '  Non   renseigné ' WHEN 3 THEN '' ELSE text END AS raw
+FROM {documents}
+"""
+
+
+def _docs_noisy(spark, d):
+    return B.bind(spark, d, DOC_NOISY, documents="documents")
+
+
+@register("h1_clean_text", f"""
+SELECT doc_id, {O.clean_text('raw')} AS value FROM ({B.oracle(DOC_NOISY, documents='documents')}) t""")
+def h1_clean_text(spark, d):
+    from ..functions.text import clean_text
+    return _docs_noisy(spark, d).select("doc_id", clean_text("raw").alias("value"))
+
+
+@register("h2_fold_text", f"""
+SELECT doc_id, {O.fold_text('text')} AS value FROM documents""")
+def h2_fold_text(spark, d):
+    from ..functions.text import fold_text
+    return B.load(spark, d, "documents").select("doc_id", fold_text("text").alias("value"))
+
+
+@register("h3_parse_decimal", "SELECT ordinal, raw, value FROM (" + O.layers(
+    f"SELECT ordinal, price AS raw FROM ({RAW_BOOKS_SQL}) r", O.parse_decimal_layers("raw", "value")) + ") h")
+def h3_parse_decimal(spark, d):
+    from ..functions.numbers import parse_decimal
+    return B.raw_books(spark, d).select("ordinal", F.col("price").alias("raw"),
+                                        parse_decimal("price").alias("value"))
+
+
+ORDERS_COUNTERS = """
+SELECT o_orderkey,
+  CASE o_orderkey % 5
+    WHEN 0 THEN CAST(o_orderkey AS STRING) || ' 000 CFA'
+    WHEN 1 THEN '  -' || CAST(o_orderkey AS STRING) || ' km'
+    WHEN 2 THEN 'Page -' || CAST(o_orderkey % 50 AS STRING)
+    WHEN 3 THEN CAST(o_orderkey % 97 AS STRING) || '.5'
+    ELSE 'aucun' END AS raw
+FROM {orders}
+"""
+
+
+@register("h4_parse_integer", f"""
+SELECT o_orderkey, raw, {O.parse_integer('raw')} AS value
+FROM ({B.oracle(ORDERS_COUNTERS, orders='orders')}) t""")
+def h4_parse_integer(spark, d):
+    from ..functions.numbers import parse_integer
+    return B.bind(spark, d, ORDERS_COUNTERS, orders="orders").select(
+        "o_orderkey", "raw", parse_integer("raw").alias("value"))
+
+
+@register("h5_analytics_number", f"""
+SELECT ordinal, price AS raw, {O.analytics_number('price')} AS value FROM ({RAW_BOOKS_SQL}) r""")
+def h5_analytics_number(spark, d):
+    from ..functions.numbers import analytics_number
+    return B.raw_books(spark, d).select("ordinal", F.col("price").alias("raw"),
+                                        analytics_number("price").alias("value"))
+
+
+@register("h6_storage_number", f"""
+SELECT ordinal, price AS raw, {O.storage_number('price')} AS value,
+       TRY_CAST(trunc({O.storage_number('price')}) AS BIGINT) AS int_value
+FROM ({RAW_BOOKS_SQL}) r""")
+def h6_storage_number(spark, d):
+    from ..functions.numbers import storage_number
+    return B.raw_books(spark, d).select("ordinal", F.col("price").alias("raw"),
+                                        storage_number("price").alias("value"),
+                                        storage_number("price", integer=True).alias("int_value"))
+
+
+PART_STRICT = """
+SELECT p_partkey,
+  CASE p_partkey % 6
+    WHEN 0 THEN ' ' || CAST(p_size AS STRING) || 'e2 '
+    WHEN 1 THEN CAST(p_size AS STRING) || 'd'
+    WHEN 2 THEN '-' || CAST(p_size AS STRING) || '.' || CAST(p_partkey % 10 AS STRING)
+    WHEN 3 THEN '1,' || CAST(p_size AS STRING)
+    WHEN 4 THEN ''
+    ELSE '.' || CAST(p_size AS STRING) END AS raw
+FROM {part}
+"""
+
+
+@register("h7_coerce_numeric", f"""
+SELECT p_partkey, raw, {O.coerce_numeric('raw')} AS value FROM ({B.oracle(PART_STRICT, part='part')}) t""")
+def h7_coerce_numeric(spark, d):
+    from ..functions.numbers import coerce_numeric
+    return B.bind(spark, d, PART_STRICT, part="part").select("p_partkey", "raw",
+                                                             coerce_numeric("raw").alias("value"))
+
+
+@register("h8_storage_text", f"""
+SELECT doc_id, {O.storage_text('raw')} AS value FROM ({B.oracle(DOC_NOISY, documents='documents')}) t""")
+def h8_storage_text(spark, d):
+    from ..functions.text import storage_text
+    return _docs_noisy(spark, d).select("doc_id", storage_text("raw").alias("value"))
+
+
+EVENTS_NAN = """
+SELECT event_id,
+  CASE WHEN event_id % 7 = 0 THEN CAST('NaN' AS DOUBLE)
+       WHEN event_id % 11 = 0 THEN CAST(NULL AS DOUBLE) ELSE value END AS value
+FROM {events}
+"""
+
+
+@register("h9_is_missing", f"""
+SELECT event_id, (value IS NULL OR isnan(value)) AS missing
+FROM ({B.oracle(EVENTS_NAN, events='events')}) t""")
+def h9_is_missing(spark, d):
+    from ..functions.numbers import is_missing
+    return B.bind(spark, d, EVENTS_NAN, events="events").select(
+        "event_id", is_missing("value").alias("missing"))
+
+
+@register("h10_iso_timestamp", f"""
+SELECT event_id, {O.iso_timestamp('ts')} AS iso FROM events""")
+def h10_iso_timestamp(spark, d):
+    from ..functions.fmt import iso_timestamp
+    return B.load(spark, d, "events").select("event_id", iso_timestamp("ts").alias("iso"))
+
+
+@register("h11_canonical_key", f"""
+SELECT p_partkey, {O.canonical_key("'part'", 'p_name', 'p_type', 'p_brand')} AS key FROM part""")
+def h11_canonical_key(spark, d):
+    from ..functions.keys import canonical_key
+    return B.load(spark, d, "part").select(
+        "p_partkey", canonical_key(F.lit("part"), F.col("p_name"), F.col("p_type"), F.col("p_brand")).alias("key"))
+
+
+def _book_key_sql(src: str) -> str:
+    url = O.storage_text("url")
+    cat = "(CASE WHEN category IS NOT NULL AND category <> '' THEN category ELSE product_type END)"
+    return (f"SELECT ordinal, CASE WHEN {url} IS NOT NULL THEN {O.canonical_key(chr(39) + 'book-url' + chr(39), url)} "
+            f"ELSE {O.canonical_key(chr(39) + 'book' + chr(39), O.storage_text('title'), cat)} END AS source_key "
+            f"FROM ({src}) k")
+
+
+@register("h12_source_key", _book_key_sql(RAW_BOOKS_SQL))
+def h12_source_key(spark, d):
+    from ..functions.keys import book_source_key
+    raw = B.raw_books(spark, d)
+    return raw.select("ordinal", book_source_key(raw).alias("source_key"))
+
+
+@register("h13_availability", f"""
+SELECT ordinal, {O.availability('a', O.fold_text('a'))} AS availability
+FROM (SELECT ordinal, {O.clean_text('availability')} AS a FROM ({RAW_BOOKS_SQL}) r) t""")
+def h13_availability(spark, d):
+    from ..functions.text import availability, clean_text
+    raw = B.raw_books(spark, d).select("ordinal", clean_text("availability").alias("a"))
+    return raw.select("ordinal", availability("a").alias("availability"))
+
+
+@register("h14_rating", f"""
+SELECT ordinal, rating AS raw, {O.rating_from_text(O.fold_text('rating'))} AS rating FROM ({RAW_BOOKS_SQL}) r""")
+def h14_rating(spark, d):
+    from ..functions.text import rating_from_text
+    return B.raw_books(spark, d).select("ordinal", F.col("rating").alias("raw"),
+                                        rating_from_text("rating").alias("rating"))
+
+
+PART_RATING_ATTRS = """
+SELECT p_partkey,
+  CASE p_size % 7
+    WHEN 0 THEN 'star-rating Three'
+    WHEN 1 THEN 'star-rating'
+    WHEN 2 THEN '  rating   FIVE extra'
+    WHEN 3 THEN 'Two star-rating'
+    WHEN 4 THEN 'star-rating twofold'
+    WHEN 5 THEN CAST(NULL AS STRING)
+    ELSE 'icon' END AS class_attr,
+  CASE WHEN p_size % 3 = 0 THEN 'Rated ' || lower(p_type) || ' two out of five' ELSE CAST(NULL AS STRING) END AS aria_label,
+  CASE WHEN p_size % 4 = 0 THEN 'Four stars' ELSE CAST(NULL AS STRING) END AS title_attr
+FROM {part}
+"""
+
+
+def _rating_class_sql(src: str) -> str:
+    tokens = "string_split(lower(" + O.collapse_ws("class_attr") + "), ' ')"
+    words = list(__import__("quarry.schema", fromlist=["RATING_WORDS"]).RATING_WORDS.items())
+    lookup = "CASE t " + " ".join(f"WHEN '{w}' THEN {v}" for w, v in words) + " END"
+    from_class = f"list_filter(list_transform({tokens}, lambda t: {lookup}), lambda v: v IS NOT NULL)[1]"
+
+    def contained(col):
+        return "(CASE " + " ".join(f"WHEN contains(lower({col}), '{w}') THEN {v}" for w, v in words) + " END)"
+    return (f"SELECT p_partkey, CAST(coalesce({from_class}, {contained('aria_label')}, {contained('title_attr')}) AS BIGINT) "
+            f"AS rating FROM ({src}) r")
+
+
+@register("h15_rating_class", _rating_class_sql(B.oracle(PART_RATING_ATTRS, part="part")))
+def h15_rating_class(spark, d):
+    from ..functions.text import rating_from_class
+    df = B.bind(spark, d, PART_RATING_ATTRS, part="part")
+    return df.select("p_partkey", rating_from_class("class_attr", "aria_label", "title_attr").alias("rating"))
+
+
+@register("h16_brand", f"""
+SELECT ordinal, {O.brand('b', O.fold_text(O.collapse_ws('b')))} AS brand
+FROM (SELECT ordinal, {O.clean_text('brand')} AS b FROM ({RAW_CARS_SQL}) r) t""")
+def h16_brand(spark, d):
+    from ..functions.text import brand, clean_text
+    raw = B.raw_cars(spark, d).select("ordinal", clean_text("brand").alias("b"))
+    return raw.select("ordinal", brand("b").alias("brand"))
+
+
+@register("h17_transmission", f"""
+SELECT ordinal, {O.transmission('t', O.fold_text('t'))} AS transmission
+FROM (SELECT ordinal, {O.clean_text('transmission')} AS t FROM ({RAW_CARS_SQL}) r) x""")
+def h17_transmission(spark, d):
+    from ..functions.text import clean_text, transmission
+    raw = B.raw_cars(spark, d).select("ordinal", clean_text("transmission").alias("t"))
+    return raw.select("ordinal", transmission("t").alias("transmission"))
+
+
+CUSTOMER_NAMES = """
+SELECT c_custkey,
+  CASE c_custkey % 4 WHEN 0 THEN lower(c_name) || ' l''or-bleu'
+                     WHEN 1 THEN 'mercedes-benz ' || lower(c_mktsegment)
+                     WHEN 2 THEN '4x4 ' || upper(c_mktsegment) || ' été'
+                     ELSE CAST(NULL AS STRING) END AS raw
+FROM {customer}
+"""
+
+
+@register("h18_title_case", f"""
+SELECT c_custkey, {O.title_case('raw')} AS value FROM ({B.oracle(CUSTOMER_NAMES, customer='customer')}) t""")
+def h18_title_case(spark, d):
+    from ..functions.text import title_case
+    return B.bind(spark, d, CUSTOMER_NAMES, customer="customer").select(
+        "c_custkey", title_case("raw").alias("value"))
+
+
+PART_HEADINGS = """
+SELECT p_partkey,
+  CASE p_partkey % 6
+    WHEN 0 THEN CAST(1990 + p_size AS STRING) || ' Land Rover ' || p_name
+    WHEN 1 THEN 'toyota  ' || CAST(1990 + p_size AS STRING) || ' ' || p_name
+    WHEN 2 THEN 'MERCEDES-BENZ'
+    WHEN 3 THEN upper(p_name)
+    WHEN 4 THEN CAST(1990 + p_size AS STRING)
+    ELSE 'Rolls Royce' || CAST(p_size AS STRING) || ' ' || p_name END AS heading
+FROM {part}
+"""
+
+
+def _heading_sql(src: str) -> str:
+    import quarry.schema as SS
+    norm = O.collapse_ws("heading")
+    year = f"NULLIF(regexp_extract(h, '\\b((?:19|20)[0-9]{{2}})\\b', 1), '')"
+    rest = (f"NULLIF({O.collapse_ws(f'CASE WHEN y IS NULL THEN h ELSE regexp_replace(h, {chr(39)}^(.*?)\\b(?:19|20)[0-9]{{2}}\\b{chr(39)}, {chr(39)}\\1 {chr(39)}) END')}, '')")
+    bcases, mcases = [], []
+    for known in sorted(SS.MULTIWORD_BRANDS, key=len, reverse=True):
+        k = known.lower()
+        cond = f"(lower(rest) = '{k}' OR starts_with(lower(rest), '{k} '))"
+        bcases.append(f"WHEN {cond} THEN substr(rest, 1, {len(known)})")
+        mcases.append(f"WHEN {cond} THEN NULLIF(trim(substr(rest, {len(known) + 1})), '')")
+    first = "split_part(rest, ' ', 1)"
+    brand_sql = f"CASE WHEN rest IS NULL THEN NULL {' '.join(bcases)} ELSE {first} END"
+    model_sql = (f"CASE WHEN rest IS NULL THEN NULL {' '.join(mcases)} "
+                 f"WHEN instr(rest, ' ') > 0 THEN NULLIF(substr(rest, length({first}) + 2), '') END")
+    l1 = f"SELECT p_partkey, NULLIF({norm}, '') AS h FROM ({src}) s"
+    l2 = f"SELECT *, {year} AS y FROM ({l1}) a"
+    l3 = f"SELECT *, {rest} AS rest FROM ({l2}) b"
+    return f"SELECT p_partkey, y AS year, {brand_sql} AS brand, {model_sql} AS model FROM ({l3}) c"
+
+
+@register("h19_vehicle_heading", _heading_sql(B.oracle(PART_HEADINGS, part="part")))
+def h19_vehicle_heading(spark, d):
+    from ..functions.text import vehicle_heading
+    df = B.bind(spark, d, PART_HEADINGS, part="part")
+    return vehicle_heading(df.select("p_partkey", "heading"), "heading").drop("heading")
+
+
+@register("h20_kpi_format", """
+SELECT p_partkey, format('{:,.2f} £', p_retailprice) AS price_label,
+       format('{:,.0f} FCFA', p_retailprice * 1000) AS cfa_label,
+       format('{:,.0f} km', CAST(p_size AS DOUBLE) * 1234.5) AS km_label,
+       format('{:,.1f}', CAST(p_size AS DOUBLE) / 4) AS reviews_label
+FROM part""")
+def h20_kpi_format(spark, d):
+    from ..functions.fmt import kilometres, money, one_decimal
+    p = B.load(spark, d, "part")
+    return p.select("p_partkey", money("p_retailprice").alias("price_label"),
+                    money(F.col("p_retailprice") * 1000, "FCFA", 0).alias("cfa_label"),
+                    kilometres(F.col("p_size").cast("double") * 1234.5).alias("km_label"),
+                    one_decimal(F.col("p_size").cast("double") / 4).alias("reviews_label"))
+
+
+@register("h21_file_size", """
+SELECT o_orderkey, CASE WHEN sz < 1024 THEN CAST(sz AS VARCHAR) || ' o'
+                        WHEN sz < 1048576 THEN format('{:,.1f} Kio', sz / 1024.0)
+                        ELSE format('{:,.1f} Mio', sz / 1048576.0) END AS size_label
+FROM (SELECT o_orderkey, CAST(round(o_totalprice * pow(10, o_orderkey % 4 - 1)) AS BIGINT) AS sz FROM orders) t""")
+def h21_file_size(spark, d):
+    from ..functions.fmt import file_size
+    o = B.load(spark, d, "orders")
+    sz = F.round(F.col("o_totalprice") * F.pow(F.lit(10.0), (F.col("o_orderkey") % 4 - 1).cast("double"))).cast("bigint")
+    return o.select("o_orderkey", file_size(sz).alias("size_label"))
+
+
+PAGE_URLS = """
+SELECT page_id,
+  CASE page_id % 6 WHEN 0 THEN 'ftp://' || substr(url, 8) WHEN 1 THEN 'http://'
+                   WHEN 2 THEN CAST(NULL AS STRING) WHEN 3 THEN upper(url)
+                   WHEN 4 THEN ' ' || chr(9) || url ELSE url END AS url
+FROM {pages}
+"""
+
+
+@register("h22_public_url", f"""
+SELECT page_id, coalesce(regexp_matches(regexp_replace(regexp_replace(url, '[\t\r\n]', '', 'g'), '^[\x00-\x20]+', ''),
+                                         '^(?i)https?://[^/?#]'), false) AS public_url
+FROM ({B.oracle(PAGE_URLS, pages='pages')}) t""")
+def h22_public_url(spark, d):
+    from ..functions.text import is_public_http_url
+    return B.bind(spark, d, PAGE_URLS, pages="pages").select("page_id", is_public_http_url("url").alias("public_url"))
+
+
+@register("h23_date_label", """
+SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y · %H:%M') AS label FROM orders""")
+def h23_date_label(spark, d):
+    from ..functions.fmt import date_label
+    return B.load(spark, d, "orders").select("o_orderkey", date_label("o_orderdate").alias("label"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.run for name, q in REGISTRY.items()}
 
