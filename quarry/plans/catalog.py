@@ -433,6 +433,284 @@ def h23_date_label(spark, d):
     return B.load(spark, d, "orders").select("o_orderkey", date_label("o_orderdate").alias("label"))
 
 
+# --- B: projections and filters ------------------------------------------------
+
+PART_HEADERS = """
+SELECT CAST(p_partkey AS BIGINT) AS ordinal, p_name AS Name, p_brand AS ` Titre `, p_retailprice AS PRIX,
+       p_type AS `Type`, p_size AS `Page`, p_container_free AS `Catégorie`
+FROM (SELECT *, p_brand || '/' || p_type AS p_container_free FROM {part}) x
+"""
+
+
+@register("b1_ensure_columns", """
+SELECT CAST(p_partkey AS BIGINT) AS ordinal, p_name AS title, p_retailprice AS price,
+       CAST(NULL AS VARCHAR) AS availability, CAST(NULL AS VARCHAR) AS products_on_page,
+       CAST(NULL AS VARCHAR) AS rating, CAST(NULL AS VARCHAR) AS review_count,
+       CAST(NULL AS VARCHAR) AS description, p_type AS product_type, CAST(NULL AS VARCHAR) AS tax,
+       CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS url, CAST(NULL AS VARCHAR) AS source_page
+FROM part""")
+def b1_ensure_columns(spark, d):
+    from .. import schema as S
+    from ..operators.columns import canonical_projection, ensure_columns
+    p = B.load(spark, d, "part").select(F.col("p_partkey").cast("bigint").alias("ordinal"),
+                                         F.col("p_name").alias("title"), F.col("p_retailprice").alias("price"),
+                                         F.col("p_type").alias("product_type"))
+    return canonical_projection(ensure_columns(p, S.BOOK_COLUMNS), ("ordinal",) + S.BOOK_COLUMNS)
+
+
+@register("b2_header_aliases", """
+SELECT CAST(p_partkey AS BIGINT) AS ordinal, p_brand AS title, p_retailprice AS price, p_type AS product_type,
+       p_size AS source_page, p_brand || '/' || p_type AS "catégorie"
+FROM part""")
+def b2_header_aliases(spark, d):
+    from .. import schema as S
+    from ..operators.columns import apply_aliases
+    return apply_aliases(B.bind(spark, d, PART_HEADERS, part="part"), S.BOOK_ALIASES)
+
+
+@register("b3_canonical_projection", f"""
+SELECT {', '.join(__import__('quarry.schema', fromlist=['x']).BOOK_COLUMNS)} FROM ({RAW_BOOKS_SQL}) r""")
+def b3_canonical_projection(spark, d):
+    from .. import schema as S
+    from ..operators.columns import canonical_projection
+    return canonical_projection(B.raw_books(spark, d), S.BOOK_COLUMNS)
+
+
+STORED_LIKE = """
+SELECT CAST(p_partkey AS BIGINT) AS id, md5(p_name) AS source_key, p_retailprice AS price, p_name AS title,
+       p_comment_free AS note, p_brand AS category, CAST(p_size AS BIGINT) AS source_page,
+       'x' AS created_at, 'y' AS updated_at
+FROM (SELECT *, 'size ' || CAST(p_size AS STRING) AS p_comment_free FROM {part}) x
+"""
+
+
+@register("b4_display_projection", """
+SELECT title, price, category, source_page, note
+FROM (SELECT p_name AS title, p_retailprice AS price, p_brand AS category, CAST(p_size AS BIGINT) AS source_page,
+             'size ' || CAST(p_size AS VARCHAR) AS note FROM part) x""")
+def b4_display_projection(spark, d):
+    from ..operators.columns import display_projection
+    return display_projection(B.bind(spark, d, STORED_LIKE, part="part"), "books")
+
+
+@register("b5_equality_filter", """
+SELECT p_partkey, p_name, p_brand, p_type, p_size FROM part WHERE p_type = 'SMALL' AND p_size = 5""")
+def b5_equality_filter(spark, d):
+    from ..operators.filters import equality_filter
+    p = B.load(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    return equality_filter(p, {"p_type": "SMALL", "p_size": 5, "p_brand": None})
+
+
+BOOK_CATEGORY_CHOICE = ["Brand#13", "Brand#21", "MEDIUM", "LARGE"]
+BOOK_AVAIL_CHOICE = ["in_stock", "sur_commande"]
+
+
+@register("b6_multi_select", f"""
+SELECT ordinal, title, category, product_type, availability FROM ({CLEAN_BOOKS_SQL}) c
+WHERE coalesce(NULLIF(category, ''), product_type) IN {O.tokens_list(BOOK_CATEGORY_CHOICE)}
+  AND availability IN {O.tokens_list(BOOK_AVAIL_CHOICE)}""")
+def b6_multi_select(spark, d):
+    from ..operators.filters import filter_books
+    out = filter_books(_clean_books(spark, d), categories=BOOK_CATEGORY_CHOICE,
+                       availabilities=BOOK_AVAIL_CHOICE, product_types=[], ratings=None)
+    return out.select("ordinal", "title", "category", "product_type", "availability")
+
+
+@register("b7_dashboard_filter", f"""
+SELECT ordinal, analysis_category, availability, rating FROM
+  (SELECT *, coalesce(category, product_type) AS analysis_category FROM ({CLEAN_BOOKS_SQL}) c) x
+WHERE analysis_category IS NOT NULL AND availability IS NOT NULL AND rating IS NOT NULL""")
+def b7_dashboard_filter(spark, d):
+    from ..operators.filters import analysis_category, dashboard_filter
+    df = _clean_books(spark, d)
+    df = df.withColumn("analysis_category", analysis_category(df))
+    out = dashboard_filter(df, ["analysis_category", "availability", "rating"])
+    return out.select("ordinal", "analysis_category", "availability", "rating")
+
+
+@register("b8_drop_nulls", f"""
+SELECT ordinal, brand, price, mileage FROM ({CLEAN_CARS_SQL}) c WHERE price IS NOT NULL AND mileage IS NOT NULL""")
+def b8_drop_nulls(spark, d):
+    from ..operators.filters import drop_null
+    return drop_null(_clean_cars(spark, d), ["price", "mileage"]).select("ordinal", "brand", "price", "mileage")
+
+
+@register("b9_range_nulls", """
+SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS acctbal,
+       CASE WHEN c_nationkey BETWEEN 3 AND 20 THEN c_nationkey END AS nationkey FROM customer""")
+def b9_range_nulls(spark, d):
+    from ..operators.filters import null_outside
+    c = B.load(spark, d, "customer")
+    return c.select("c_custkey", null_outside(F.col("c_acctbal"), low=0).alias("acctbal"),
+                    null_outside(F.col("c_nationkey"), 3, 20).alias("nationkey"))
+
+
+def _car_storage_sql(raw: str) -> str:
+    return (f"SELECT ordinal, {O.storage_text('brand')} AS brand, "
+            f"TRY_CAST(trunc({O.storage_number('year')}) AS BIGINT) AS year, {O.storage_number('price')} AS price, "
+            f"{O.storage_number('mileage')} AS mileage, source_page FROM ({raw}) r")
+
+
+@register("b10_violations", f"""
+SELECT ordinal, concat_ws(',',
+   CASE WHEN brand IS NULL OR length(trim(brand)) = 0 THEN 'brand_required' END,
+   CASE WHEN year < 1886 OR year > 2100 THEN 'year_range' END,
+   CASE WHEN price < 0 THEN 'price_negative' END,
+   CASE WHEN mileage < 0 THEN 'mileage_negative' END,
+   CASE WHEN source_page < 1 THEN 'source_page_below_one' END) AS violations
+FROM ({_car_storage_sql(RAW_CARS_SQL)}) n""")
+def b10_violations(spark, d):
+    from ..operators.constraints import violations
+    from ..operators.upsert import normalize_records
+    rows = normalize_records(B.raw_cars(spark, d), "cars")
+    return violations(rows, "cars").select("ordinal", F.array_join("violations", ",").alias("violations"))
+
+
+@register("b11_analysis_category", f"""
+SELECT ordinal, coalesce(category, product_type) AS analysis_category FROM ({CLEAN_BOOKS_SQL}) c""")
+def b11_analysis_category(spark, d):
+    from ..operators.filters import analysis_category
+    df = _clean_books(spark, d)
+    return df.select("ordinal", analysis_category(df).alias("analysis_category"))
+
+
+@register("b12_missing_bucket", f"""
+SELECT ordinal, coalesce(availability, 'Non renseigné') AS availability FROM ({CLEAN_BOOKS_SQL}) c""")
+def b12_missing_bucket(spark, d):
+    from ..operators.filters import missing_bucket
+    return _clean_books(spark, d).select("ordinal", missing_bucket(F.col("availability")).alias("availability"))
+
+
+@register("b13_preview", """
+SELECT doc_id, lang, n_chars, (SELECT CAST(count(*) AS BIGINT) FROM documents) AS total_rows
+FROM documents ORDER BY doc_id LIMIT 100""")
+def b13_preview(spark, d):
+    from ..operators.filters import preview
+    docs = B.load(spark, d, "documents").select("doc_id", "lang", "n_chars")
+    return preview(docs, "doc_id", 100)
+
+
+READY_MARKERS = (r"<article[\s>]", r"class=\"[^\"]*\bproduct_main\b")
+
+
+@register("b14_page_ready", """
+SELECT page_id, coalesce(regexp_matches(html, '<article[\s>]') OR regexp_matches(html, 'class="[^"]*\bproduct_main\b'), false) AS ready
+FROM pages""")
+def b14_page_ready(spark, d):
+    from ..operators.filters import page_ready
+    return B.load(spark, d, "pages").select("page_id", page_ready(F.col("html"), READY_MARKERS).alias("ready"))
+
+
+# --- D / F: aggregates and ordering ---------------------------------------------
+
+@register("d1_row_count", "SELECT CAST(count(*) AS BIGINT) AS row_count FROM lineitem")
+def d1_row_count(spark, d):
+    from ..operators.aggregates import row_count
+    return row_count(B.load(spark, d, "lineitem"))
+
+
+@register("d4_value_counts", f"""
+SELECT coalesce(coalesce(category, product_type), 'Non renseigné') AS value, CAST(count(*) AS BIGINT) AS count
+FROM ({CLEAN_BOOKS_SQL}) c GROUP BY 1""")
+def d4_value_counts(spark, d):
+    from ..operators.aggregates import value_counts
+    from ..operators.filters import analysis_category
+    df = _clean_books(spark, d)
+    return value_counts(df, analysis_category(df))
+
+
+@register("d5_option_list", f"""
+SELECT DISTINCT coalesce(category, product_type) AS option FROM ({CLEAN_BOOKS_SQL}) c
+WHERE coalesce(category, product_type) IS NOT NULL""")
+def d5_option_list(spark, d):
+    from ..operators.filters import analysis_category, option_list
+    df = _clean_books(spark, d)
+    return option_list(df, analysis_category(df))
+
+
+@register("d6_top_brands", """
+SELECT coalesce(p_brand, 'Non renseigné') AS value, CAST(count(*) AS BIGINT) AS count FROM part
+GROUP BY 1 ORDER BY count DESC, value ASC LIMIT 20""")
+def d6_top_brands(spark, d):
+    from ..operators.aggregates import top_k
+    return top_k(B.load(spark, d, "part"), "p_brand", 20)
+
+
+@register("d7_counts_per_year", """
+SELECT CAST(year(o_orderdate) AS BIGINT) AS key, CAST(count(*) AS BIGINT) AS count FROM orders
+WHERE o_orderdate IS NOT NULL GROUP BY 1""")
+def d7_counts_per_year(spark, d):
+    from ..operators.aggregates import counts_by_key
+    return counts_by_key(B.load(spark, d, "orders"), F.year("o_orderdate"))
+
+
+@register("d8_histogram", """
+WITH s AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem WHERE l_extendedprice IS NOT NULL AND NOT isnan(l_extendedprice)),
+b AS (SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((l_extendedprice - lo) / ((hi - lo) / 25.0)), 24) END AS INTEGER) AS bin, lo, hi
+      FROM lineitem, s WHERE l_extendedprice IS NOT NULL AND NOT isnan(l_extendedprice))
+SELECT bin, round(CASE WHEN hi = lo THEN lo ELSE lo + bin * ((hi - lo) / 25.0) END, 6) AS lower,
+       round(CASE WHEN hi = lo THEN hi ELSE lo + (bin + 1) * ((hi - lo) / 25.0) END, 6) AS upper,
+       CAST(count(*) AS BIGINT) AS count
+FROM b GROUP BY bin, lo, hi""")
+def d8_histogram(spark, d):
+    from ..operators.aggregates import histogram
+    return round_doubles(histogram(B.load(spark, d, "lineitem"), "l_extendedprice", 25))
+
+
+@register("d9_box_stats", """
+WITH q AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS median,
+                  quantile_cont(l_extendedprice, 0.75) AS q3, count(*) AS n, min(l_extendedprice) AS minimum,
+                  max(l_extendedprice) AS maximum
+           FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY l_returnflag),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q)
+SELECT f.l_returnflag, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(lower_fence, 6) AS lower_fence, round(upper_fence, 6) AS upper_fence, CAST(n AS BIGINT) AS n,
+       round(minimum, 6) AS minimum, round(maximum, 6) AS maximum,
+       CAST(sum(CASE WHEN l.l_extendedprice < lower_fence OR l.l_extendedprice > upper_fence THEN 1 ELSE 0 END) AS BIGINT) AS outliers
+FROM f JOIN lineitem l ON l.l_returnflag = f.l_returnflag
+GROUP BY ALL""")
+def d9_box_stats(spark, d):
+    from ..operators.aggregates import box_stats
+    return round_doubles(box_stats(B.load(spark, d, "lineitem"), "l_returnflag", "l_extendedprice"))
+
+
+@register("d10_shares", """
+SELECT coalesce(c_mktsegment, 'Non renseigné') AS value, CAST(count(*) AS BIGINT) AS count,
+       round(count(*) / (SELECT count(*) FROM customer), 6) AS share
+FROM customer GROUP BY 1""")
+def d10_shares(spark, d):
+    from ..operators.aggregates import shares
+    return round_doubles(shares(B.load(spark, d, "customer"), "c_mktsegment"))
+
+
+@register("d11_scatter", f"""
+SELECT mileage, price, model, year, region FROM ({CLEAN_CARS_SQL}) c WHERE mileage IS NOT NULL AND price IS NOT NULL""")
+def d11_scatter(spark, d):
+    from ..operators.aggregates import scatter_extract
+    return scatter_extract(_clean_cars(spark, d), "mileage", "price", ("model", "year", "region"))
+
+
+@register("f1_ordered_limit", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' ORDER BY o_orderkey LIMIT 20""")
+def f1_ordered_limit(spark, d):
+    from ..operators.aggregates import ordered_limit
+    from ..operators.filters import equality_filter
+    o = equality_filter(B.load(spark, d, "orders"), {"o_orderstatus": "O"})
+    return ordered_limit(o.select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey", 20)
+
+
+@register("f2_sorted_counts", """
+SELECT value, count, CAST(row_number() OVER (ORDER BY count DESC, value) AS INTEGER) AS position FROM
+  (SELECT coalesce(o_orderpriority, 'Non renseigné') AS value, CAST(count(*) AS BIGINT) AS count FROM orders GROUP BY 1) c""")
+def f2_sorted_counts(spark, d):
+    from ..operators.aggregates import value_counts
+    from pyspark.sql import Window
+    counts = value_counts(B.load(spark, d, "orders"), "o_orderpriority")
+    # the count table has one row per distinct key: a global window over it is small
+    w = Window.orderBy(F.desc("count"), F.asc("value"))
+    return counts.withColumn("position", F.row_number().over(w))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.run for name, q in REGISTRY.items()}
 
