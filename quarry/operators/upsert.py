@@ -34,7 +34,7 @@ from ..functions.keys import book_source_key, car_source_key
 from ..functions.numbers import storage_for
 from ..functions.text import storage_text
 from .columns import apply_aliases, ensure_columns
-from .constraints import assert_valid
+from .constraints import assert_valid, split_valid
 
 _TEXT = {"books": ("title", "availability", "description", "product_type", "category", "url"),
          "cars": ("brand", "model", "transmission", "region", "url")}
@@ -85,12 +85,29 @@ def empty_table(spark: SparkSession, source: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def match_keys(target: DataFrame, batch: DataFrame, key: str = "source_key") -> DataFrame:
+    """Full outer match of target and batch keys (which rows update,
+    which insert, which stay)."""
+    t = target.select(F.col(key).alias("_t_key")).distinct()
+    b = batch.select(F.col(key).alias("_b_key")).distinct()
+    j = t.join(b, t["_t_key"] == b["_b_key"], "full_outer")
+    return j.select(F.coalesce("_t_key", "_b_key").alias(key), F.col("_t_key").isNotNull().alias("in_target"),
+                    F.col("_b_key").isNotNull().alias("in_batch"))
+
+
 def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.datetime,
           strict: bool = True, normalized: bool = False) -> DataFrame:
-    """The next snapshot of ``target`` after upserting ``batch``."""
+    """The next snapshot of ``target`` after upserting ``batch``.
+
+    ``strict`` (the reference behaviour) raises when any batch row breaks an
+    integrity rule; otherwise broken rows are left out (see
+    ``constraints.split_valid`` to keep them for inspection).
+    """
     rows = batch if normalized else normalize_records(batch, source)
     if strict:
         assert_valid(rows, source)
+    else:
+        rows, _ = split_valid(rows, source)
     fields = [c for c in S.FIELDS[source] if c != "source_key"]
     last = (rows.groupBy("source_key")
                 .agg(F.max_by(F.struct(*fields), F.col("ordinal")).alias("_row"),

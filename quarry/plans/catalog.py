@@ -711,6 +711,256 @@ def f2_sorted_counts(spark, d):
     return counts.withColumn("position", F.row_number().over(w))
 
 
+# --- E / D12 / D13: order-dependent operators -----------------------------------
+
+DOC_URLS = """
+SELECT CAST(doc_id AS BIGINT) AS ordinal, doc_id, lang, text,
+  CASE WHEN doc_id % 3 = 0 THEN CAST(NULL AS STRING)
+       WHEN doc_id % 2 = 0 THEN 'HTTP://' || upper(source) || '/' || md5(text)
+       WHEN doc_id % 5 = 0 THEN ' http://' || source || '/' || md5(text) || ' '
+       ELSE 'http://' || source || '/' || md5(text) END AS url
+FROM {documents}
+"""
+DOC_URLS_SQL = B.oracle(DOC_URLS, documents="documents")
+
+
+@register("e1_dedup_clean", O.dedup_first_sql(DOC_URLS_SQL, [("lang", "str"), ("text", "str")], ["doc_id"]))
+def e1_dedup_clean(spark, d):
+    from ..operators.dedup import dedup_clean
+    df = B.bind(spark, d, DOC_URLS, documents="documents")
+    return dedup_clean(df, ("lang", "text")).select("doc_id")
+
+
+@register("e2_dedup_raw", f"""
+SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY
+   CASE WHEN coalesce(url <> '', false) THEN 'url' || chr(31) || {O.strip('url')}
+        ELSE 'fields' || chr(31) || coalesce(lang, chr(0)) || chr(30) || coalesce(text, chr(0)) END
+   ORDER BY ordinal) AS rn FROM ({DOC_URLS_SQL}) d) x WHERE rn = 1""")
+def e2_dedup_raw(spark, d):
+    from ..operators.dedup import dedup_raw
+    df = B.bind(spark, d, DOC_URLS, documents="documents")
+    return dedup_raw(df, ("lang", "text")).select("doc_id")
+
+
+CONV_PAGES = """
+SELECT conv_id AS crawl_id, CAST(turn + 1 AS BIGINT) AS page, substr(md5(text), 1, 1) AS signature,
+       length(text) < 60 AS empty, length(text) % 7 <> 0 AS has_next, false AS failed
+FROM {conversations}
+"""
+CONV_PAGES_SQL = B.oracle(CONV_PAGES, conversations="conversations")
+
+
+@register("e3_repeated_pages", f"""
+SELECT crawl_id, page, coalesce(page > min(page) OVER (PARTITION BY crawl_id, signature), false) AS repeated
+FROM ({CONV_PAGES_SQL}) c""")
+def e3_repeated_pages(spark, d):
+    from ..operators.crawl import repeated_pages
+    pages = B.bind(spark, d, CONV_PAGES, conversations="conversations")
+    return repeated_pages(pages).select("crawl_id", "page", "repeated")
+
+
+def _crawl_sql(mode: str) -> str:
+    bad = "failed OR empty" + (" OR repeated" if mode == "cars" else "")
+    stop_extra = (", min(CASE WHEN NOT coalesce(has_next, false) THEN page END) AS last_page"
+                  if mode == "books" else "")
+    keep_extra = (" AND (s.last_page IS NULL OR r.page <= s.last_page)" if mode == "books" else "")
+    return f"""
+WITH cap AS ({CONV_PAGES_SQL}),
+bounds AS (SELECT crawl_id, max(page) AS hi FROM cap GROUP BY crawl_id),
+grid AS (SELECT crawl_id, CAST(unnest(range(1, hi + 1)) AS BIGINT) AS page FROM bounds),
+pg AS (SELECT g.crawl_id, g.page, c.signature, coalesce(c.empty, false) AS empty, c.has_next,
+              c.page IS NULL AS failed FROM grid g LEFT JOIN cap c ON g.crawl_id = c.crawl_id AND g.page = c.page),
+rep AS (SELECT *, CASE WHEN NOT failed AND NOT empty THEN coalesce(page > min(CASE WHEN NOT failed AND NOT empty
+                 THEN page END) OVER (PARTITION BY crawl_id, signature), false) ELSE false END AS repeated FROM pg),
+stop AS (SELECT crawl_id, min(CASE WHEN {bad} THEN page END) AS first_bad{stop_extra} FROM rep GROUP BY crawl_id)
+SELECT r.crawl_id, r.page FROM rep r JOIN stop s ON r.crawl_id = s.crawl_id
+WHERE (s.first_bad IS NULL OR r.page < s.first_bad){keep_extra}"""
+
+
+def _crawl(spark, d, mode):
+    from ..operators.crawl import crawl_prefix, expected_pages, repeated_pages
+    captured = B.bind(spark, d, CONV_PAGES, conversations="conversations").drop("failed")
+    pages = expected_pages(captured)
+    pages = pages.withColumn("failed", F.col("signature").isNull()) \
+                 .withColumn("empty", F.coalesce("empty", F.lit(False)))
+    if mode == "cars":
+        pages = repeated_pages(pages, usable=~F.col("failed") & ~F.col("empty"))
+    return crawl_prefix(pages, mode=mode).select("crawl_id", "page")
+
+
+@register("e4_crawl_prefix", _crawl_sql("cars"))
+def e4_crawl_prefix(spark, d):
+    return _crawl(spark, d, "cars")
+
+
+@register("e4_crawl_prefix_books", _crawl_sql("books"))
+def e4_crawl_prefix_books(spark, d):
+    return _crawl(spark, d, "books")
+
+
+LINE_CARDS = """
+SELECT l_orderkey AS crawl_id, CAST(FLOOR(l_linenumber / 3) AS INT) + 1 AS page, l_linenumber,
+       'part-' || CAST(l_partkey AS STRING) AS card_url
+FROM {lineitem}
+"""
+LINE_CARDS_SQL = B.oracle(LINE_CARDS, lineitem="lineitem")
+
+
+@register("d12_cards_per_page", f"""
+SELECT crawl_id, page, l_linenumber, card_url,
+       CAST(count(*) OVER (PARTITION BY crawl_id, page) AS BIGINT) AS products_on_page
+FROM ({LINE_CARDS_SQL}) c""")
+def d12_cards_per_page(spark, d):
+    from ..operators.crawl import cards_per_page
+    return cards_per_page(B.bind(spark, d, LINE_CARDS, lineitem="lineitem"))
+
+
+@register("d13_page_signature", f"""
+SELECT crawl_id, page, CAST(count(*) AS BIGINT) AS n_cards,
+       sha256(concat_ws(':', CAST(count(*) AS VARCHAR), CAST(sum({O.md5_word("coalesce(card_url, '')", 1)}) AS VARCHAR),
+                        CAST(sum({O.md5_word("coalesce(card_url, '')", 17)}) AS VARCHAR))) AS signature
+FROM ({LINE_CARDS_SQL}) c GROUP BY crawl_id, page""")
+def d13_page_signature(spark, d):
+    from ..operators.crawl import page_signatures
+    return page_signatures(B.bind(spark, d, LINE_CARDS, lineitem="lineitem"), F.col("card_url"))
+
+
+# --- C1 / C2 / U1: enrichment and upsert -------------------------------------------
+
+LINE_LISTING = """
+SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS ordinal,
+  'Item ' || CAST(l_partkey AS STRING) AS title,
+  '£' || CAST(CAST(FLOOR(l_extendedprice) AS BIGINT) AS STRING) AS price,
+  CASE WHEN l_linenumber % 3 = 0 THEN '' ELSE 'In stock' END AS availability,
+  CAST(l_linenumber % 5 + 1 AS BIGINT) AS rating,
+  CASE WHEN l_linenumber = 7 THEN CAST(NULL AS STRING)
+       ELSE 'https://shop.example/item/' || CAST(l_partkey AS STRING) END AS url,
+  CAST(NULL AS STRING) AS description, CAST(NULL AS STRING) AS product_type, CAST(NULL AS STRING) AS tax,
+  CAST(NULL AS STRING) AS review_count, CAST(NULL AS STRING) AS category
+FROM {lineitem}
+"""
+PART_DETAIL = """
+SELECT CAST(p_partkey AS BIGINT) AS ordinal, 'https://shop.example/item/' || CAST(p_partkey AS STRING) AS url,
+  p_name AS title, '£' || CAST(CAST(FLOOR(p_retailprice) AS BIGINT) AS STRING) || '.00' AS price,
+  CASE WHEN p_size % 4 = 0 THEN '' ELSE 'En stock' END AS availability,
+  CASE WHEN p_size % 6 = 0 THEN CAST(NULL AS BIGINT) ELSE CAST(p_size % 6 AS BIGINT) END AS rating,
+  'About ' || p_name AS description, p_type AS product_type, '£0.00' AS tax,
+  CAST(p_size AS STRING) AS review_count, p_brand AS category,
+  'In stock (' || CAST(p_size AS STRING) || ' available)' AS info_availability,
+  p_size % 5 <> 0 AS ready
+FROM {part}
+"""
+
+
+@register("c1_enrich_listing", f"""
+WITH c AS ({B.oracle(LINE_LISTING, lineitem='lineitem')}),
+d AS (SELECT * FROM ({B.oracle(PART_DETAIL, part='part')}) x WHERE ready)
+SELECT c.ordinal,
+  CASE WHEN d.url IS NULL THEN c.title ELSE coalesce(NULLIF(d.title, ''), c.title) END AS title,
+  CASE WHEN d.url IS NULL THEN c.price ELSE coalesce(NULLIF(d.price, ''), c.price) END AS price,
+  CASE WHEN d.url IS NULL THEN c.availability
+       WHEN coalesce(coalesce(NULLIF(d.availability, ''), c.availability), '') = ''
+         THEN coalesce(d.info_availability, coalesce(NULLIF(d.availability, ''), c.availability))
+       ELSE coalesce(NULLIF(d.availability, ''), c.availability) END AS availability,
+  coalesce(d.rating, c.rating) AS rating, c.url, d.description, d.product_type, d.tax, d.review_count, d.category
+FROM c LEFT JOIN d ON c.url = d.url AND c.url <> ''""")
+def c1_enrich_listing(spark, d):
+    from ..operators.enrich import enrich_listing
+    cards = B.bind(spark, d, LINE_LISTING, lineitem="lineitem")
+    details = B.bind(spark, d, PART_DETAIL, part="part")
+    return enrich_listing(cards, details)
+
+
+ORDERS_BASE = """
+SELECT CAST(o_orderkey AS BIGINT) AS ordinal, 'order-' || CAST(o_orderkey AS STRING) AS source_key,
+       o_totalprice AS price
+FROM {orders} WHERE o_orderdate < DATE '1996-01-01'
+"""
+ORDERS_BATCH = """
+SELECT CAST(o_orderkey AS BIGINT) AS ordinal, 'order-' || CAST(o_orderkey AS STRING) AS source_key,
+       o_totalprice + 1 AS price
+FROM {orders} WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+"""
+
+
+@register("c2_upsert_match", f"""
+SELECT coalesce(t.source_key, b.source_key) AS source_key, t.source_key IS NOT NULL AS in_target,
+       b.source_key IS NOT NULL AS in_batch
+FROM ({B.oracle(ORDERS_BASE, orders='orders')}) t
+FULL OUTER JOIN ({B.oracle(ORDERS_BATCH, orders='orders')}) b ON t.source_key = b.source_key""")
+def c2_upsert_match(spark, d):
+    from ..operators.upsert import match_keys
+    base = B.bind(spark, d, ORDERS_BASE, orders="orders")
+    batch = B.bind(spark, d, ORDERS_BATCH, orders="orders")
+    return match_keys(base, batch)
+
+
+RAW_BOOKS_V2 = """
+SELECT ordinal, title, '£' || CAST(abs(products_on_page) AS STRING) || ',99' AS price, availability,
+       products_on_page, rating, review_count, description, product_type, tax, category, url, source_page
+FROM ({raw}) r
+"""
+T0, T1 = BATCH_TIME, BATCH_TIME + _dt.timedelta(days=1)
+
+
+def _book_norm_sql(raw: str) -> str:
+    t = O.storage_text
+    n = O.storage_number
+    url = t("url")
+    cat = "(CASE WHEN category IS NOT NULL AND category <> '' THEN category ELSE product_type END)"
+    key = (f"CASE WHEN {url} IS NOT NULL THEN {O.canonical_key(chr(39) + 'book-url' + chr(39), url)} "
+           f"ELSE {O.canonical_key(chr(39) + 'book' + chr(39), t('title'), cat)} END")
+    rows = (f"SELECT ordinal, {key} AS source_key, {t('title')} AS title, {n('price')} AS price, "
+            f"{t('availability')} AS availability, CAST(products_on_page AS BIGINT) AS products_on_page, "
+            f"{n('rating')} AS rating, TRY_CAST(trunc({n('review_count')}) AS BIGINT) AS review_count, "
+            f"{t('description')} AS description, {t('product_type')} AS product_type, {t('category')} AS category, "
+            f"{n('tax')} AS tax, {url} AS url, CAST(source_page AS BIGINT) AS source_page, "
+            f"CAST(NULL AS VARCHAR) AS scraped_at FROM ({raw}) r")
+    valid = ("title IS NOT NULL AND length(trim(title)) > 0 AND coalesce(price >= 0, true) "
+             "AND coalesce(products_on_page >= 0, true) AND coalesce(rating >= 0 AND rating <= 5, true) "
+             "AND coalesce(review_count >= 0, true) AND coalesce(tax >= 0, true) AND coalesce(source_page >= 1, true)")
+    return f"SELECT * FROM ({rows}) v WHERE {valid}"
+
+
+BOOK_STORED = ("title", "price", "availability", "products_on_page", "rating", "review_count", "description",
+               "product_type", "category", "tax", "url", "source_page", "scraped_at")
+
+
+def _merge_sql(target: str, norm: str, ts: _dt.datetime) -> str:
+    tsl = f"TIMESTAMP '{ts.isoformat(sep=' ')}'"
+    fields = ", ".join(f"CASE WHEN b.source_key IS NOT NULL THEN b.{c} ELSE t.{c} END AS {c}" for c in BOOK_STORED)
+    return f"""
+SELECT CAST(CASE WHEN t.source_key IS NOT NULL THEN t.id
+            ELSE (SELECT coalesce(max(id), 0) FROM ({target}) m) + 1 + b.first_ord - min(CASE WHEN t.source_key IS NULL THEN b.first_ord END) OVER () END AS BIGINT) AS id,
+       coalesce(t.source_key, b.source_key) AS source_key, {fields},
+       CASE WHEN t.source_key IS NOT NULL THEN t.created_at ELSE {tsl} END AS created_at,
+       CASE WHEN b.source_key IS NOT NULL THEN {tsl} ELSE t.updated_at END AS updated_at
+FROM ({target}) t FULL OUTER JOIN
+  (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY source_key ORDER BY ordinal DESC) AS rn,
+          min(ordinal) OVER (PARTITION BY source_key) AS first_ord FROM ({norm}) n) z WHERE rn = 1) b
+  ON t.source_key = b.source_key"""
+
+
+_EMPTY_BOOKS = ("SELECT CAST(NULL AS BIGINT) AS id, CAST(NULL AS VARCHAR) AS source_key, "
+                + ", ".join(f"CAST(NULL AS {'DOUBLE' if c in ('price', 'rating', 'tax') else 'BIGINT' if c in ('products_on_page', 'review_count', 'source_page') else 'VARCHAR'}) AS {c}" for c in BOOK_STORED)
+                + ", CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at WHERE false")
+_U1_B1 = f"SELECT * FROM ({RAW_BOOKS_SQL}) r WHERE products_on_page <= 25"
+_U1_B2 = RAW_BOOKS_V2.format(raw=RAW_BOOKS_SQL)
+_U1_SQL = _merge_sql(_merge_sql(_EMPTY_BOOKS, _book_norm_sql(_U1_B1), T0), _book_norm_sql(_U1_B2), T1)
+
+
+@register("u1_upsert", "SELECT id, source_key, title, price, availability, products_on_page, rating, review_count, "
+          "description, product_type, category, tax, url, source_page, scraped_at, "
+          f"created_at, updated_at FROM ({_U1_SQL}) u")
+def u1_upsert(spark, d):
+    from ..operators.upsert import empty_table, merge
+    raw = B.raw_books(spark, d)
+    batch1 = raw.where(F.col("products_on_page") <= 25)
+    batch2 = spark.sql(RAW_BOOKS_V2, raw=raw)
+    first = merge(empty_table(spark, "books"), batch1, "books", T0, strict=False)
+    return merge(first, batch2, "books", T1, strict=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.run for name, q in REGISTRY.items()}
 
