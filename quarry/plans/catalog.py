@@ -961,6 +961,135 @@ def u1_upsert(spark, d):
     return merge(first, batch2, "books", T1, strict=False)
 
 
+# --- A: sources and sinks ----------------------------------------------------------
+
+@register("a1_list_files", None)
+def a1_list_files(spark, d):
+    from ..sources.files import list_files
+    return list_files(spark, d).select("label", "suffix", "length")
+
+
+@register("a2_depot_summary", None)
+def a2_depot_summary(spark, d):
+    from ..sources.files import depot_summary, list_files
+    return depot_summary(list_files(spark, d)).select("files", "total_bytes", "total_size_label")
+
+
+NATION_NOTES = """
+SELECT n_nationkey, n_name, n_regionkey, lower(n_name) || ' été' AS note FROM {nation}
+"""
+
+
+@register("a3_csv_fallback", f"""
+SELECT n_nationkey, n_name, n_regionkey, lower(n_name) || ' été' AS note, 'UTF-8' AS _encoding FROM nation
+UNION ALL
+SELECT n_nationkey, n_name, n_regionkey, lower(n_name) || ' été' AS note, 'ISO-8859-1' AS _encoding FROM nation""")
+def a3_csv_fallback(spark, d):
+    from ..session import scratch_path
+    from ..sources.files import read_csv
+    from ..sources.sinks import write_csv
+    rows = B.bind(spark, d, NATION_NOTES, nation="nation")
+    root = scratch_path(spark, "a3")
+    write_csv(rows, f"{root}/utf8")
+    write_csv(rows, f"{root}/latin1", encoding="ISO-8859-1")
+    out = read_csv(spark, [f"{root}/utf8", f"{root}/latin1"])
+    return out.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name",
+                      F.col("n_regionkey").cast("int").alias("n_regionkey"), "note", "_encoding")
+
+
+@register("a4_json_auto", """
+SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice,
+       CAST(NULL AS BIGINT) AS n_nationkey, CAST(NULL AS VARCHAR) AS n_name FROM part
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, CAST(n_nationkey AS BIGINT), n_name FROM nation""")
+def a4_json_auto(spark, d):
+    import json
+    from ..session import scratch_path
+    from ..sources.files import read_json
+    root = scratch_path(spark, "a4")
+    B.load(spark, d, "part").write.json(f"{root}/part_lines")
+    # nation has a fixed 25 rows: a JSON *array* document written as text
+    nation = [r.asDict() for r in B.load(spark, d, "nation").select("n_nationkey", "n_name").collect()]
+    spark.createDataFrame([(json.dumps(nation, ensure_ascii=False),)], "value string") \
+         .coalesce(1).write.text(f"{root}/nation_array")
+    out = read_json(spark, [f"{root}/part_lines", f"{root}/nation_array"])
+    return out.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice",
+                      "n_nationkey", "n_name")
+
+
+@register("a5_read_parquet", "SELECT * FROM region")
+def a5_read_parquet(spark, d):
+    from ..sources.files import read_parquet
+    return read_parquet(spark, f"{d}/region.parquet")
+
+
+@register("a6_read_dispatch", "SELECT * FROM part")
+def a6_read_dispatch(spark, d):
+    from ..sources.files import read_tabular
+    return read_tabular(spark, f"{d}/part.parquet")
+
+
+@register("a7_newest_export", None)
+def a7_newest_export(spark, d):
+    import time
+    from ..session import scratch_path
+    from ..sources.files import export_candidates
+    from ..sources.sinks import write_csv
+    root = scratch_path(spark, "a7")
+    clean = _clean_books(spark, d)
+    write_csv(clean, f"{root}/books_cleaned_old.csv")
+    time.sleep(1.1)
+    write_csv(clean.where(F.col("price").isNotNull()), f"{root}/cleaned_books_new.csv")
+    write_csv(_clean_cars(spark, d), f"{root}/cars_cleaned.csv")
+    return export_candidates(spark, root, "books").select("export")
+
+
+@register("a8_source_preference", "SELECT *, 'nation' AS origin FROM nation")
+def a8_source_preference(spark, d):
+    from ..sources.files import prefer_nonempty
+    empty = B.load(spark, d, "part").where(F.col("p_size") > 1000)
+    frame, origin = prefer_nonempty([("part", empty), ("nation", B.load(spark, d, "nation"))])
+    return frame.withColumn("origin", F.lit(origin))
+
+
+@register("a9_inline_records", "SELECT * FROM part")
+def a9_inline_records(spark, d):
+    from ..sources.inline import as_frame
+    return as_frame(spark, B.load(spark, d, "part"))
+
+
+@register("a10_table_scan", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def a10_table_scan(spark, d):
+    from ..sources.files import read_table
+    allowed = {"lineitem": f"{d}/lineitem.parquet", "orders": f"{d}/orders.parquet"}
+    return read_table(spark, allowed, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@register("a11_csv_sink", CLEAN_BOOKS_SQL)
+def a11_csv_sink(spark, d):
+    from .. import schema as S
+    from ..session import scratch_path
+    from ..sources.files import read_csv
+    from ..sources.sinks import write_csv
+    clean = _clean_books(spark, d)
+    path = write_csv(clean, scratch_path(spark, "a11"))
+    schema = T.StructType([T.StructField("ordinal", T.LongType())]
+                          + [T.StructField(c, S.CLEAN_BOOK_TYPES[c]) for c in S.BOOK_COLUMNS])
+    return read_csv(spark, path, schema).drop("_encoding")
+
+
+@register("a12_page_urls", """
+SELECT conv_id, CAST(page AS BIGINT) AS page, 'https://listing.example/c/' || CAST(conv_id AS VARCHAR) || '?page=' || CAST(page AS VARCHAR) AS page_url
+FROM (SELECT conv_id, unnest(range(1, max(turn) + 2)) AS page FROM conversations GROUP BY conv_id) t""")
+def a12_page_urls(spark, d):
+    from ..sources.files import page_urls
+    crawls = B.load(spark, d, "conversations").groupBy("conv_id").agg((F.max("turn") + 1).alias("max_pages"))
+    return page_urls(crawls, "https://listing.example/c/{crawl}?page={page}".replace("{crawl}", "%CRAWL%"),
+                     1, "max_pages") \
+        .withColumn("page_url", F.expr("replace(page_url, '%CRAWL%', CAST(conv_id AS STRING))")) \
+        .select("conv_id", "page", "page_url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.run for name, q in REGISTRY.items()}
 
