@@ -1090,6 +1090,124 @@ def a12_page_urls(spark, d):
         .select("conv_id", "page", "page_url")
 
 
+# --- I: record extraction from captured pages ---------------------------------------
+
+def _unescape_sql(x: str) -> str:
+    return ("replace(replace(replace(replace(replace(" + x + ", '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), "
+            "'&#39;', chr(39)), '&amp;', '&')")
+
+
+def _text_sql(x: str) -> str:
+    return "NULLIF(trim(regexp_replace(" + _unescape_sql(x) + ", '\\s+', ' ', 'g')), '')"
+
+
+def _page_spec():
+    from ..operators.extract import Field, Spec
+    return Spec(fields=(Field("title", ("title",)), Field("h1", ("article h1", "h1"))))
+
+
+@register("i1_extract_text", f"""
+SELECT page_id, url, true AS ready, {_text_sql("regexp_extract(html, '<title>(.*?)</title>', 1)")} AS title,
+       {_text_sql("regexp_extract(html, '<article>.*?<h1>(.*?)</h1>', 1)")} AS h1
+FROM pages""")
+def i1_extract_text(spark, d):
+    from ..operators.extract import extract
+    return extract(B.load(spark, d, "pages"), _page_spec())
+
+
+NAV_SITEMAP = {
+    "_id": "nav-links",
+    "selectors": [
+        {"id": "nav_link", "type": "SelectorLink", "multiple": True, "parentSelectors": ["_root"],
+         "selector": "nav ul li a"},
+        {"id": "linked_title", "type": "SelectorText", "multiple": False, "parentSelectors": ["nav_link"],
+         "selector": "title"},
+        {"id": "page_heading", "type": "SelectorText", "multiple": False, "parentSelectors": ["_root"],
+         "selector": "article h1"},
+        {"id": "banner", "type": "SelectorText", "multiple": False, "parentSelectors": ["_root"],
+         "selector": "div.ad"},
+    ],
+}
+
+
+@register("i2_sitemap_extract", None)
+def i2_sitemap_extract(spark, d):
+    from ..operators.extract import sitemap_extract
+    return sitemap_extract(B.load(spark, d, "pages"), NAV_SITEMAP)
+
+
+_NAV_RE = """'<li><a href="([^"]*)">([^<]*)</a>'"""
+_HOST_SQL = "regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1)"
+
+
+def _nav_cards_sql() -> str:
+    return f"""
+WITH l AS (SELECT page_id, url, regexp_extract_all(html, {_NAV_RE}, 1) AS hrefs,
+                  regexp_extract_all(html, {_NAV_RE}, 2) AS texts FROM pages),
+e AS (SELECT *, unnest(generate_series(1, len(hrefs))) AS i FROM l)
+SELECT page_id, url, true AS ready, CAST(i AS INTEGER) AS position, CAST(len(hrefs) AS INTEGER) AS n_records,
+       {_HOST_SQL} || hrefs[i] AS card_url, {_text_sql('texts[i]')} AS title FROM e"""
+
+
+def _nav_card_spec():
+    from ..operators.extract import ATTR, TEXT_OR_ATTR, Field, Spec
+    return Spec(records=("nav ul li",),
+                fields=(Field("card_url", ("a",), ATTR, "href", absolute=True),
+                        Field("title", ("a",), TEXT_OR_ATTR, "title")))
+
+
+@register("i3_listing_cards", _nav_cards_sql())
+def i3_listing_cards(spark, d):
+    from ..operators.extract import extract
+    return extract(B.load(spark, d, "pages"), _nav_card_spec())
+
+
+@register("i4_vehicle_cards", None)
+def i4_vehicle_cards(spark, d):
+    from ..functions.text import vehicle_heading
+    from ..operators.extract import TEXT_OR_ATTR, Field, Spec, extract
+    spec = Spec(records=("div.ad",), fields=(Field("heading", ("_parent_",), TEXT_OR_ATTR, "title"),))
+    cards = extract(B.load(spark, d, "pages"), spec)
+    return vehicle_heading(cards, "heading")
+
+
+@register("i5_info_table", None)
+def i5_info_table(spark, d):
+    from ..operators.extract import book_details
+    return book_details(B.load(spark, d, "pages"))
+
+
+_LAST_NAV = "list_filter(regexp_extract_all(html, " + _NAV_RE + ", 2), lambda t: trim(t) <> '')[-1]"
+
+
+@register("i6_breadcrumb", f"""
+SELECT page_id, url, true AS ready, {_text_sql(_LAST_NAV)} AS category
+FROM pages""")
+def i6_breadcrumb(spark, d):
+    from ..operators.extract import LAST_TEXT, Field, Spec, extract
+    return extract(B.load(spark, d, "pages"), Spec(fields=(Field("category", ("nav ul li a",), LAST_TEXT),)))
+
+
+@register("i7_description", None)
+def i7_description(spark, d):
+    from ..operators.extract import ATTR, Field, Spec, extract
+    spec = Spec(fields=(Field("first_p", ("article p", "p")),
+                        Field("meta", ("meta[name='description']",), ATTR, "content"),
+                        Field("h1", ("article h1", "h1"))))
+    out = extract(B.load(spark, d, "pages"), spec)
+    return out.select("page_id", "url", F.coalesce(F.nullif("first_p", F.lit("")), "meta", "h1").alias("description"))
+
+
+@register("i8_absolute_links", f"""
+WITH l AS (SELECT page_id, url, regexp_extract_all(html, {_NAV_RE}, 1) AS hrefs FROM pages)
+SELECT page_id, {_HOST_SQL} || unnest(hrefs) AS link FROM l""")
+def i8_absolute_links(spark, d):
+    from ..operators.extract import ALL_ATTR, Field, Spec, extract
+    spec = Spec(fields=(Field("links", ("nav ul li a",), ALL_ATTR, "href", absolute=True),))
+    out = extract(B.load(spark, d, "pages"), spec)
+    return out.select("page_id", F.explode("links").alias("link"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.run for name, q in REGISTRY.items()}
 
