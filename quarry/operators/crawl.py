@@ -112,6 +112,8 @@ def expected_pages(captured: DataFrame, max_pages: int | None = None, crawl: str
     left-joined to the captured pages; absent pages are failed."""
     bounds = captured.groupBy(crawl).agg(F.max(page).alias("_hi"))
     hi = F.lit(max_pages) if max_pages is not None else F.col("_hi")
-    grid = bounds.select(crawl, F.explode(F.sequence(F.lit(1), hi.cast("int"))).alias(page))
+    page_type = captured.schema[page].dataType
+    grid = bounds.select(crawl, F.explode(F.sequence(F.lit(1).cast("bigint"), hi.cast("bigint"))).alias(page))
+    grid = grid.withColumn(page, F.col(page).cast(page_type))
     out = grid.join(captured, on=[crawl, page], how="left")
     return out

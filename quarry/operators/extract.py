@@ -228,7 +228,7 @@ CAR_CARD_SPEC = Spec(
     ),
     fields=(
         Field("heading", ("h4[title]", ".ad-specification h4", "h4"), TEXT_OR_ATTR, "title"),
-        Field("card_href", ("_parent_",), ATTR, "href", absolute=True),
+        Field("card_url", ("_parent_",), ATTR, "href", absolute=True),
         Field("inner_href", ("a[href*='/vehicle_listings/']", "a[href]"), ATTR, "href", absolute=True),
         Field("price", (".ad-vehicle-price .price", ".ad-vehicle-price .value", ".price-wrap .price")),
         Field("mileage", (".ad-vehicle-mileage .value", "[class*='mileage'] .value", ".ad-vehicle-mileage")),
@@ -271,7 +271,7 @@ def car_cards(pages: DataFrame, keep: Sequence[str] = ("crawl_id", "page", "url"
     """I4: one row per vehicle card; heading split into year/brand/model."""
     from ..functions.text import vehicle_heading
     c = extract(pages, CAR_CARD_SPEC, keep)
-    c = c.withColumn("card_url", F.coalesce(F.nullif("card_href", F.lit("")), "inner_href"))
+    c = c.withColumn("card_url", F.coalesce(F.nullif("card_url", F.lit("")), "inner_href"))
     return vehicle_heading(c, "heading")
 
 

@@ -166,15 +166,16 @@ class SnapshotTable:
             return empty_table(self.spark, self.source)
         return self.spark.read.parquet(f"{self.root}/v={versions[-1]}")
 
-    def upsert(self, batch: DataFrame, batch_time: _dt.datetime | None = None) -> int:
+    def upsert(self, batch: DataFrame, batch_time: _dt.datetime | None = None, strict: bool = True) -> int:
         """Merge ``batch`` and commit the next version; returns the number of
-        input rows (0 for an empty batch, nothing written)."""
+        input rows (0 for an empty batch, nothing written).  ``strict=False``
+        leaves rows that break an integrity rule out instead of failing."""
         n = batch.count()
         if n == 0:
             return 0
         batch_time = batch_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         versions = self.versions()
         nxt = (versions[-1] + 1) if versions else 1
-        snapshot = merge(self.read(), batch, self.source, batch_time)
+        snapshot = merge(self.read(), batch, self.source, batch_time, strict=strict)
         snapshot.write.mode("errorifexists").parquet(f"{self.root}/v={nxt}")
         return n
