@@ -593,7 +593,7 @@ def b13_preview(spark, d):
 READY_MARKERS = (r"<article[\s>]", r"class=\"[^\"]*\bproduct_main\b")
 
 
-@register("b14_page_ready", """
+@register("b14_page_ready", r"""
 SELECT page_id, coalesce(regexp_matches(html, '<article[\s>]') OR regexp_matches(html, 'class="[^"]*\bproduct_main\b'), false) AS ready
 FROM pages""")
 def b14_page_ready(spark, d):
