@@ -185,6 +185,61 @@ def extract(pages: DataFrame, spec: Spec, keep: Sequence[str] = ("page_id", "url
     return pages.select(*needed).mapInPandas(run, schema)
 
 
+def nested_schema(pages: DataFrame, spec: Spec, keep: Sequence[str]) -> T.StructType:
+    fields = [pages.schema[c] for c in keep]
+    fields.append(T.StructField("ready", T.BooleanType()))
+    for f in spec.page_fields:
+        fields.append(T.StructField(f.name, f.dtype(), True))
+    record = T.StructType([T.StructField("position", T.IntegerType())]
+                          + [T.StructField(f.name, f.dtype(), True) for f in spec.fields])
+    fields.append(T.StructField("n_records", T.IntegerType()))
+    fields.append(T.StructField("records", T.ArrayType(record), True))
+    return T.StructType(fields)
+
+
+def extract_nested(pages: DataFrame, spec: Spec, keep: Sequence[str] = ("page_id", "url"),
+                   url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """One row per page with its page fields, ``n_records`` and the records
+    as an array of structs: a single parse gives both page facts (empty
+    pages included) and the card rows (``explode``)."""
+    keep = list(keep)
+    schema = nested_schema(pages, spec, keep)
+    names = [f.name for f in schema.fields]
+    rec_names = ["position"] + [f.name for f in spec.fields]
+    needed = list(dict.fromkeys(keep + [url_col, html_col]))
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                rec = row._asdict()
+                page_url = rec.get(url_col)
+                root = H.parse(rec.get(html_col))
+                ready = (not spec.ready) or H.find_first(root, spec.ready) is not None
+                values = {k: rec.get(k) for k in keep}
+                values["ready"] = ready
+                for f in spec.page_fields:
+                    values[f.name] = _value(root, f, page_url) if ready else None
+                cards = []
+                if ready:
+                    for sel in spec.records:
+                        cards = H.select(root, sel)
+                        if cards:
+                            break
+                records = []
+                for i, card in enumerate(cards, start=1):
+                    r = {"position": i}
+                    for f in spec.fields:
+                        r[f.name] = _value(card, f, page_url)
+                    records.append(tuple(r[n] for n in rec_names))
+                values["n_records"] = len(cards)
+                values["records"] = [dict(zip(rec_names, r)) for r in records]
+                out.append(values)
+            yield pd.DataFrame(out, columns=names)
+
+    return pages.select(*needed).mapInPandas(run, schema)
+
+
 # --- specs of the two listing sites ----------------------------------------------
 # FIXED VALUES: CSS selectors of the pages the listings come from, in the
 # order they are tried.

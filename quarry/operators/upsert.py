@@ -17,8 +17,10 @@ Merge semantics:
 * matched keys get all non-key fields replaced (NULLs too) and keep ``id``
   and ``created_at``; ``updated_at`` = batch time;
 * new keys get ids above the current maximum, ordered by the key's first
-  appearance in the batch (``max_id + 1 + first_ordinal - min_first_ordinal``;
-  id gaps are not part of the contract, so no global ranking is needed).
+  appearance in the batch (``max_id + 1 + first_ordinal - min_batch_ordinal``;
+  id gaps are not part of the contract, so no global ranking is needed and
+  both scalars are cheap aggregates: ``max(id)`` over the stored snapshot,
+  ``min(ordinal)`` over the raw batch column).
 """
 
 from __future__ import annotations
@@ -96,7 +98,7 @@ def match_keys(target: DataFrame, batch: DataFrame, key: str = "source_key") ->
 
 
 def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.datetime,
-          strict: bool = True, normalized: bool = False) -> DataFrame:
+          strict: bool = True, normalized: bool = False, observation=None) -> DataFrame:
     """The next snapshot of ``target`` after upserting ``batch``.
 
     ``strict`` (the reference behaviour) raises when any batch row breaks an
@@ -106,7 +108,9 @@ def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.date
     rows = batch if normalized else normalize_records(batch, source)
     if strict:
         assert_valid(rows, source)
-    else:
+    if observation is not None:  # counted by the job that writes the snapshot
+        rows = rows.observe(observation, F.count(F.lit(1)).alias("input_rows"))
+    if not strict:
         rows, _ = split_valid(rows, source)
     fields = [c for c in S.FIELDS[source] if c != "source_key"]
     last = (rows.groupBy("source_key")
@@ -118,7 +122,7 @@ def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.date
     joined = t.join(last, t["_t_source_key"] == last["source_key"], "full_outer")
 
     max_id = target.select(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    new_first = joined.where(F.col("_t_source_key").isNull()).select(F.min("_first")).scalar()
+    new_first = batch.select(F.min("ordinal")).scalar()
     ts = F.lit(batch_time).cast(S.STORED_TYPES[source]["created_at"])
     in_batch = F.col("source_key").isNotNull()
     in_target = F.col("_t_source_key").isNotNull()
@@ -170,12 +174,13 @@ class SnapshotTable:
         """Merge ``batch`` and commit the next version; returns the number of
         input rows (0 for an empty batch, nothing written).  ``strict=False``
         leaves rows that break an integrity rule out instead of failing."""
-        n = batch.count()
-        if n == 0:
+        if batch.isEmpty():
             return 0
+        from pyspark.sql import Observation
         batch_time = batch_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         versions = self.versions()
         nxt = (versions[-1] + 1) if versions else 1
-        snapshot = merge(self.read(), batch, self.source, batch_time, strict=strict)
+        obs = Observation(f"upsert_{self.source}_{nxt}")
+        snapshot = merge(self.read(), batch, self.source, batch_time, strict=strict, observation=obs)
         snapshot.write.mode("errorifexists").parquet(f"{self.root}/v={nxt}")
-        return n
+        return int(obs.get.get("input_rows", 0))

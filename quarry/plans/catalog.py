@@ -926,12 +926,13 @@ BOOK_STORED = ("title", "price", "availability", "products_on_page", "rating", "
                "product_type", "category", "tax", "url", "source_page", "scraped_at")
 
 
-def _merge_sql(target: str, norm: str, ts: _dt.datetime) -> str:
+def _merge_sql(target: str, norm: str, raw: str, ts: _dt.datetime) -> str:
     tsl = f"TIMESTAMP '{ts.isoformat(sep=' ')}'"
     fields = ", ".join(f"CASE WHEN b.source_key IS NOT NULL THEN b.{c} ELSE t.{c} END AS {c}" for c in BOOK_STORED)
     return f"""
 SELECT CAST(CASE WHEN t.source_key IS NOT NULL THEN t.id
-            ELSE (SELECT coalesce(max(id), 0) FROM ({target}) m) + 1 + b.first_ord - min(CASE WHEN t.source_key IS NULL THEN b.first_ord END) OVER () END AS BIGINT) AS id,
+            ELSE (SELECT coalesce(max(id), 0) FROM ({target}) m) + 1 + b.first_ord
+                 - (SELECT min(ordinal) FROM ({raw}) rb) END AS BIGINT) AS id,
        coalesce(t.source_key, b.source_key) AS source_key, {fields},
        CASE WHEN t.source_key IS NOT NULL THEN t.created_at ELSE {tsl} END AS created_at,
        CASE WHEN b.source_key IS NOT NULL THEN {tsl} ELSE t.updated_at END AS updated_at
@@ -946,19 +947,22 @@ _EMPTY_BOOKS = ("SELECT CAST(NULL AS BIGINT) AS id, CAST(NULL AS VARCHAR) AS sou
                 + ", CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at WHERE false")
 _U1_B1 = f"SELECT * FROM ({RAW_BOOKS_SQL}) r WHERE products_on_page <= 25"
 _U1_B2 = RAW_BOOKS_V2.format(raw=RAW_BOOKS_SQL)
-_U1_SQL = _merge_sql(_merge_sql(_EMPTY_BOOKS, _book_norm_sql(_U1_B1), T0), _book_norm_sql(_U1_B2), T1)
+_U1_SQL = _merge_sql(_merge_sql(_EMPTY_BOOKS, _book_norm_sql(_U1_B1), _U1_B1, T0), _book_norm_sql(_U1_B2), _U1_B2, T1)
 
 
 @register("u1_upsert", "SELECT id, source_key, title, price, availability, products_on_page, rating, review_count, "
           "description, product_type, category, tax, url, source_page, scraped_at, "
           f"created_at, updated_at FROM ({_U1_SQL}) u")
 def u1_upsert(spark, d):
-    from ..operators.upsert import empty_table, merge
+    """Two crawls upserted into a snapshot table: the first saw the small
+    ads, the second sees all of them with new prices."""
+    from ..operators.upsert import SnapshotTable
+    from ..session import scratch_path
     raw = B.raw_books(spark, d)
-    batch1 = raw.where(F.col("products_on_page") <= 25)
-    batch2 = spark.sql(RAW_BOOKS_V2, raw=raw)
-    first = merge(empty_table(spark, "books"), batch1, "books", T0, strict=False)
-    return merge(first, batch2, "books", T1, strict=False)
+    table = SnapshotTable(spark, scratch_path(spark, "u1"), "books")
+    table.upsert(raw.where(F.col("products_on_page") <= 25), T0, strict=False)
+    table.upsert(spark.sql(RAW_BOOKS_V2, raw=raw), T1, strict=False)
+    return table.read()
 
 
 # --- A: sources and sinks ----------------------------------------------------------

@@ -29,9 +29,10 @@ from .. import schema as S
 from ..operators import crawl as C
 from ..operators.dedup import dedup_first, dedup_raw
 from ..operators.enrich import enrich_listing
-from ..operators.extract import (BOOK_CARD_SPEC, BOOK_DETAIL_SPEC, CAR_CARD_SPEC, COUNT, Field, Spec,
-                                 book_details, extract)
+from ..operators.extract import (BOOK_CARD_SPEC, CAR_CARD_SPEC, COUNT, Field, Spec, book_details, extract,
+                                 extract_nested)
 from ..operators.upsert import SnapshotTable
+from ..session import checkpoint_root
 from ..sources.sinks import write_csv
 from .clean import clean_books, clean_cars
 
@@ -48,23 +49,29 @@ def validate(source: str, max_pages: int) -> None:
         raise ValueError(f"source {source} is limited to {S.MAX_PAGES[source]} pages")
 
 
-def page_facts(pages: DataFrame, card_spec: Spec, next_selectors: tuple[str, ...] = ()) -> DataFrame:
-    """Per captured page: ready flag, number of cards, number of next links."""
-    fields = [Field("n_cards", card_spec.records, COUNT)]
-    if next_selectors:
-        fields.append(Field("next_links", next_selectors, COUNT))
-    spec = Spec(fields=tuple(fields), ready=card_spec.ready)
-    return extract(pages, spec, ("crawl_id", "page"))
+def parse_listing_pages(pages: DataFrame, card_spec: Spec, next_selectors: tuple[str, ...]) -> DataFrame:
+    """One parse per listing page: page facts + card records (nested).
+
+    The result is checkpointed to the shared checkpoint folder: page facts,
+    signatures and cards are all read from it, so HTML is parsed once even
+    though several joins consume it, and a lost executor never re-parses.
+    """
+    page_fields = (Field("next_links", next_selectors, COUNT),) if next_selectors else ()
+    spec = Spec(fields=card_spec.fields, records=card_spec.records, ready=card_spec.ready,
+                page_fields=card_spec.page_fields + page_fields)
+    checkpoint_root(pages.sparkSession)  # the session's shared folder (set only when unset)
+    return extract_nested(pages, spec, ("crawl_id", "page", "url")).checkpoint(eager=True)
 
 
-def crawl_pages(pages: DataFrame, cards: DataFrame, card_spec: Spec, source: str, max_pages: int,
-                strict_pages: bool, next_selectors: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+def crawl_pages(parsed: DataFrame, cards: DataFrame, source: str, max_pages: int,
+                strict_pages: bool) -> tuple[DataFrame, DataFrame]:
     """(page grid with flags, pages the sequential crawler keeps) (E3 + E4).
 
     Page numbers 1..max_pages are expected for every crawl; a page absent
     from the captured table, or captured but not ready, is a failed load.
     """
-    facts = page_facts(pages, card_spec, next_selectors)
+    facts = parsed.select("crawl_id", "page", "ready", F.col("n_records").alias("n_cards"),
+                          *(["next_links"] if "next_links" in parsed.columns else []))
     grid = C.expected_pages(facts, max_pages)
     grid = grid.withColumn("failed", ~F.coalesce(F.col("ready"), F.lit(False))) \
                .withColumn("empty", F.coalesce(F.col("n_cards"), F.lit(0)) == 0)
@@ -91,9 +98,10 @@ def run_source(spark: SparkSession, source: str, listing_pages: DataFrame, *, ma
     started = time.monotonic()
     card_spec = card_spec or (BOOK_CARD_SPEC if source == "books" else CAR_CARD_SPEC)
     pages = listing_pages.select("crawl_id", "page", "url", "html")
-    cards = extract(pages, card_spec, ("crawl_id", "page", "url")).withColumnRenamed("url", "page_url")
-    grid, kept = crawl_pages(pages, cards, card_spec, source, max_pages, strict_pages,
-                             next_selectors if source == "books" else ())
+    parsed = parse_listing_pages(pages, card_spec, next_selectors if source == "books" else ())
+    cards = parsed.select("crawl_id", "page", F.col("url").alias("page_url"), "n_records",
+                          F.explode("records").alias("_r")).select("*", "_r.*").drop("_r")
+    grid, kept = crawl_pages(parsed, cards, source, max_pages, strict_pages)
     if not C.first_page_failed(grid).isEmpty():
         raise ValueError("first listing page could not be loaded")
     cards = cards.join(kept.select("crawl_id", "page"), on=["crawl_id", "page"], how="left_semi")
