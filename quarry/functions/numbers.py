@@ -34,24 +34,36 @@ def finite(col) -> Column:
 
 
 def _to_double(text: Column, grammar: str = PLAIN_FLOAT) -> Column:
-    return finite(F.when(text.rlike(grammar), text.try_cast("double")))
+    return _let(text, lambda t: finite(F.when(t.rlike(grammar), t.try_cast("double"))))
+
+
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body`` (a
+    one-element ``transform``): keeps the regexes of the separator rules
+    from being re-run for every reference."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def parse_decimal(col) -> Column:
     """H3: localised decimal text -> DOUBLE (cleaning dialect)."""
     match = F.regexp_extract(_c(col).cast("string"),
                              r"(?U)[-+]?[0-9][0-9\s\u00a0\u202f.,]*", 0)
-    number = F.regexp_replace(match, r"(?U)[\s\u00a0\u202f]", "")
-    has_comma, has_dot = number.contains(","), number.contains(".")
-    last_sep = F.regexp_extract(number, r"([.,])[^.,]*$", 1)
-    both = F.when(last_sep == ",", F.translate(F.translate(number, ".", ""), ",", ".")) \
-            .otherwise(F.translate(number, ",", ""))
-    fraction = F.regexp_extract(number, r"[.,]([^.,]*)$", 1)
-    integer_part = F.translate(F.regexp_extract(number, r"^(.*)[.,][^.,]*$", 1), ".,", "")
-    one = F.when(F.length(fraction).isin(1, 2), F.concat(integer_part, F.lit("."), fraction)) \
-           .otherwise(F.translate(number, ".,", ""))
-    text = F.when(has_comma & has_dot, both).when(has_comma | has_dot, one).otherwise(number)
-    return _to_double(text)
+
+    def rules(number: Column) -> Column:
+        has_comma, has_dot = number.contains(","), number.contains(".")
+        # both kinds: the rightmost separator is decimal, the other kind goes
+        both = F.when(F.regexp_extract(number, r"([.,])[^.,]*$", 1) == ",",
+                      F.translate(F.translate(number, ".", ""), ",", ".")) \
+                .otherwise(F.translate(number, ",", ""))
+        # one kind: 1-2 digits after its last occurrence -> decimal
+        # (earlier occurrences dropped), otherwise all are thousands
+        one = _let(F.regexp_extract(number, r"[.,]([^.,]*)$", 1), lambda frac: F.when(
+            F.length(frac).isin(1, 2),
+            F.concat(F.translate(F.regexp_extract(number, r"^(.*)[.,][^.,]*$", 1), ".,", ""), F.lit("."), frac))
+            .otherwise(F.translate(number, ".,", "")))
+        return F.when(has_comma & has_dot, both).when(has_comma | has_dot, one).otherwise(number)
+
+    return _to_double(_let(F.regexp_replace(match, r"(?U)[\s\u00a0\u202f]", ""), rules))
 
 
 def parse_integer(col) -> Column:
@@ -72,25 +84,25 @@ def truncate_integer(col) -> Column:
 def analytics_number(col) -> Column:
     """H5 (text input): keep [0-9,.-]; with both separators drop the dots and
     read the comma as decimal; a lone comma is decimal."""
-    clean = F.regexp_replace(_c(col).cast("string"), r"[^0-9,.\-]", "")
-    has_comma, has_dot = clean.contains(","), clean.contains(".")
-    text = (F.when(has_comma & has_dot, F.translate(F.translate(clean, ".", ""), ",", "."))
-             .when(has_comma, F.translate(clean, ",", "."))
-             .otherwise(clean))
-    return _to_double(text)
+    def rules(clean: Column) -> Column:
+        has_comma, has_dot = clean.contains(","), clean.contains(".")
+        return (F.when(has_comma & has_dot, F.translate(F.translate(clean, ".", ""), ",", "."))
+                 .when(has_comma, F.translate(clean, ",", "."))
+                 .otherwise(clean))
+    return _to_double(_let(F.regexp_replace(_c(col).cast("string"), r"[^0-9,.\-]", ""), rules))
 
 
 def storage_number(col, integer: bool = False) -> Column:
     """H6 (text input): keep [0-9,.-]; the rightmost separator is decimal."""
-    clean = F.regexp_replace(_c(col).cast("string"), r"[^0-9,.\-]", "")
-    has_comma, has_dot = clean.contains(","), clean.contains(".")
-    last_sep = F.regexp_extract(clean, r"([.,])[^.,]*$", 1)
-    both = F.when(last_sep == ",", F.translate(F.translate(clean, ".", ""), ",", ".")) \
-            .otherwise(F.translate(clean, ",", ""))
-    text = (F.when(has_comma & has_dot, both)
-             .when(has_comma, F.translate(clean, ",", "."))
-             .otherwise(clean))
-    value = _to_double(text)
+    def rules(clean: Column) -> Column:
+        has_comma, has_dot = clean.contains(","), clean.contains(".")
+        both = F.when(F.regexp_extract(clean, r"([.,])[^.,]*$", 1) == ",",
+                      F.translate(F.translate(clean, ".", ""), ",", ".")) \
+                .otherwise(F.translate(clean, ",", ""))
+        return (F.when(has_comma & has_dot, both)
+                 .when(has_comma, F.translate(clean, ",", "."))
+                 .otherwise(clean))
+    value = _to_double(_let(F.regexp_replace(_c(col).cast("string"), r"[^0-9,.\-]", ""), rules))
     return value.try_cast("bigint") if integer else value
 
 

@@ -26,9 +26,9 @@ def cards_per_page(cards: DataFrame, keys: Sequence[str] = ("crawl_id", "page"),
     return cards.join(counts, on=list(keys), how="left")
 
 
-def _md5_word(col: Column, start: int) -> Column:
-    """60-bit integer taken from the md5 hex digest (same bytes in any engine)."""
-    return F.conv(F.substring(F.md5(col), start, 15), 16, 10).cast("decimal(38,0)")
+def _md5_word(digest: Column, start: int) -> Column:
+    """60-bit integer taken from an md5 hex digest (same bytes in any engine)."""
+    return F.conv(F.substring(digest, start, 15), 16, 10).cast("bigint").cast("decimal(20,0)")
 
 
 def page_signatures(cards: DataFrame, value: Column, keys: Sequence[str] = ("crawl_id", "page"),
@@ -40,11 +40,13 @@ def page_signatures(cards: DataFrame, value: Column, keys: Sequence[str] = ("cra
     multisets give equal signatures, and the aggregate is partial/final, so a
     page is never collected into one list.
     """
-    v = F.coalesce(value.cast("string"), F.lit(""))
-    agg = cards.groupBy(*keys).agg(
+    digest = F.md5(F.coalesce(value.cast("string"), F.lit("")))
+    words = cards.withColumn("_d", digest).select(*keys, _md5_word(F.col("_d"), 1).alias("_wa"),
+                                                  _md5_word(F.col("_d"), 17).alias("_wb"))
+    agg = words.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum(_md5_word(v, 1)).alias("_a"),
-        F.sum(_md5_word(v, 17)).alias("_b"),
+        F.sum("_wa").alias("_a"),
+        F.sum("_wb").alias("_b"),
     )
     sig = F.sha2(F.concat_ws(":", F.col("_n").cast("string"), F.col("_a").cast("string"),
                              F.col("_b").cast("string")), 256)

@@ -7,8 +7,10 @@ the detail's information table.  Details whose page was not ready are
 ignored, so the card is kept as it was.
 
 Scale notes: details are de-duplicated by URL first (keep first), so no card
-fans out.  Cards without a URL bypass the join (a UNION branch) instead of
-being hashed to one join partition as NULL keys would be.
+fans out.  Cards without a URL (possibly a third of all rows) would all hash
+to one join partition as NULL keys; they get a *salted* key instead -- a
+unique value that no detail URL can equal (``\x00`` + ordinal) -- so they
+spread evenly and pass through the left join unmatched, in one scan.
 """
 
 from __future__ import annotations
@@ -45,9 +47,12 @@ def enrich_listing(cards: DataFrame, details: DataFrame, url: str = "url",
     d = d.select(*d_cols)
 
     card_cols = cards.columns
-    keyed = cards.where(F.col(url).isNotNull() & (F.col(url) != ""))
-    unkeyed = cards.where(F.col(url).isNull() | (F.col(url) == ""))
-    joined = keyed.join(d, on=url, how="left")
+    has_key = F.coalesce(F.col(url) != "", F.lit(False))
+    salt = (F.concat(F.lit("\u0000"), F.col(order).cast("string")) if order in cards.columns
+            else F.concat(F.lit("\u0000"), F.monotonically_increasing_id().cast("string")))
+    keyed = cards.withColumn("_join_key", F.when(has_key, F.col(url)).otherwise(salt))
+    d = d.withColumnRenamed(url, "_join_key")
+    joined = keyed.join(d, on="_join_key", how="left").drop("_join_key")
 
     def finish(frame: DataFrame, matched: bool) -> DataFrame:
         out = []
@@ -70,4 +75,4 @@ def enrich_listing(cards: DataFrame, details: DataFrame, url: str = "url",
                 out.append(F.col(c))
         return frame.select(*out)
 
-    return finish(joined, True).unionByName(finish(unkeyed, False))
+    return finish(joined, True)

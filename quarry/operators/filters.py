@@ -100,13 +100,17 @@ def dashboard_filter(df: DataFrame, columns: Sequence[str],
     """
     selections = dict(selections or {})
     out = df
+    defaults = [c for c in columns if selections.get(c, "all") == "all"]
+    # one scalar subquery for all default filters: non-null counts per column
+    option_counts = (df.select(F.struct(*[F.count(F.col(c)).alias(c) for c in defaults])).scalar()
+                     if defaults else None)
     for column in columns:
         chosen = selections.get(column, "all")
         if chosen == "all":
             # all non-null options: equivalent to "column IS NOT NULL", unless
             # there are no options at all (then the filter is skipped, which
             # leaves the all-NULL rows in place).
-            no_option = df.select(F.count(F.col(column))).scalar() == F.lit(0)
+            no_option = option_counts.getField(column) == F.lit(0)
             out = out.where(F.col(column).isNotNull() | no_option)
         elif chosen:
             chosen = list(chosen)
