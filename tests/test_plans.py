@@ -81,3 +81,19 @@ def test_oracle(spark, name):
     got = sorted((tuple(_norm(r[i]) for i in sorder) for r in sdf.collect()), key=repr)
     exp = sorted((tuple(_norm(r[i]) for i in order) for r in cur.fetchall()), key=repr)
     assert got == exp
+
+
+def test_dashboard_bundles(spark):
+    from quarry.plans.dashboard import books_bundle, cars_bundle, release
+    books = clean_books(B.raw_books(spark, SF_SMALL)).drop("ordinal")
+    bundle = books_bundle(books)
+    kpi = bundle["kpis"].first()
+    n = bundle["filtered"].count()
+    assert kpi.total_books == n > 0
+    assert sum(r["count"] for r in bundle["category_counts"].collect()) == n
+    assert abs(sum(r.share for r in bundle["availability_shares"].collect()) - 1.0) < 1e-9
+    assert bundle["price_box"].count() > 0 and bundle["rating_histogram"].count() > 0
+    release(bundle)
+    cars = cars_bundle(clean_cars(B.raw_cars(spark, SF_SMALL), max_year=2027).drop("ordinal"))
+    assert cars["top_brands"].count() <= 20 and cars["kpis"].first().total_ads == cars["filtered"].count()
+    release(cars)
