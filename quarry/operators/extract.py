@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from . import html as H
+from ..session import spread
 
 TEXT, ATTR, TEXT_OR_ATTR, MAP, LAST_TEXT, ALL_TEXT, ALL_ATTR, COUNT = (
     "text", "attr", "text_or_attr", "map", "last_text", "all_text", "all_attr", "count")
@@ -182,7 +183,7 @@ def extract(pages: DataFrame, spec: Spec, keep: Sequence[str] = ("page_id", "url
     def run(batches):
         return _extract_batches(batches, spec, keep, url_col, html_col, names)
 
-    return pages.select(*needed).mapInPandas(run, schema)
+    return spread(pages.select(*needed)).mapInPandas(run, schema)
 
 
 def nested_schema(pages: DataFrame, spec: Spec, keep: Sequence[str]) -> T.StructType:
@@ -237,7 +238,7 @@ def extract_nested(pages: DataFrame, spec: Spec, keep: Sequence[str] = ("page_id
                 out.append(values)
             yield pd.DataFrame(out, columns=names)
 
-    return pages.select(*needed).mapInPandas(run, schema)
+    return spread(pages.select(*needed)).mapInPandas(run, schema)
 
 
 # --- specs of the two listing sites ----------------------------------------------

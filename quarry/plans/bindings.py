@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -106,7 +108,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bind(spark: SparkSession, sf_dir: str, sql: str, **tables: str) -> DataFrame:
     """Run a binding SELECT on Spark; ``tables`` maps placeholder -> table."""
-    frames = {ph: load(spark, sf_dir, t) for ph, t in tables.items()}
+    frames = {ph: spread(load(spark, sf_dir, t)) for ph, t in tables.items()}
     return spark.sql(sql, **frames)
 
 

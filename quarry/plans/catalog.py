@@ -126,7 +126,8 @@ def h1_clean_text(spark, d):
 SELECT doc_id, {O.fold_text('text')} AS value FROM documents""")
 def h2_fold_text(spark, d):
     from ..functions.text import fold_text
-    return B.load(spark, d, "documents").select("doc_id", fold_text("text").alias("value"))
+    from ..session import spread
+    return spread(B.load(spark, d, "documents")).select("doc_id", fold_text("text").alias("value"))
 
 
 @register("h3_parse_decimal", "SELECT ordinal, raw, value FROM (" + O.layers(
@@ -1007,15 +1008,14 @@ SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_name, p_brand, p_type, CAST(p_s
 UNION ALL
 SELECT NULL, NULL, NULL, NULL, NULL, NULL, CAST(n_nationkey AS BIGINT), n_name FROM nation""")
 def a4_json_auto(spark, d):
-    import json
     from ..session import scratch_path
     from ..sources.files import read_json
     root = scratch_path(spark, "a4")
     B.load(spark, d, "part").write.json(f"{root}/part_lines")
-    # nation has a fixed 25 rows: a JSON *array* document written as text
-    nation = [r.asDict() for r in B.load(spark, d, "nation").select("n_nationkey", "n_name").collect()]
-    spark.createDataFrame([(json.dumps(nation, ensure_ascii=False),)], "value string") \
-         .coalesce(1).write.text(f"{root}/nation_array")
+    # nation (a fixed 25 rows) as one JSON *array* document, built on Spark
+    (B.load(spark, d, "nation")
+      .agg(F.to_json(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("value"))
+      .coalesce(1).write.text(f"{root}/nation_array"))
     out = read_json(spark, [f"{root}/part_lines", f"{root}/nation_array"])
     return out.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice",
                       "n_nationkey", "n_name")

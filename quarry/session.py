@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a local run needs; on a cluster these come from spark-defaults.
 LOCAL_CONF = {
@@ -66,6 +66,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return str(root).rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one task per core for CPU-heavy row work (parsing, HTML).
+
+    A large input arrives in many scan partitions and passes through
+    untouched (no shuffle).  Only an input with fewer partitions than the
+    cluster's parallelism (a small file of one row group) is dealt
+    round-robin over the cores, which costs one shuffle of a small table.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused sub folder of the checkpoint root."""
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
