@@ -28,11 +28,22 @@ def render(col, dtype: T.DataType | None = None) -> Column:
     return value.cast("string")
 
 
+def key_text(*parts: Column) -> Column:
+    """The unfolded key text: each part as storage text (or ''), joined with '|'."""
+    return F.concat_ws("|", *[F.coalesce(storage_text(p), F.lit("")) for p in parts])
+
+
+def hash_key(text: Column) -> Column:
+    """Fold the joined key text and hash it.  Folding the joined text equals
+    joining the folded parts ('|' is ASCII and a starter, so NFKD never
+    reorders across it) and needs one fold per key instead of one per part."""
+    return F.sha2(fold_ascii(text), 256)
+
+
 def canonical_key(*parts: Column) -> Column:
     """Each part as storage text (or ''), NFKD folded to lower-case ASCII,
     joined with '|', SHA-256 hex."""
-    folded = [F.coalesce(fold_ascii(storage_text(p)), F.lit("")) for p in parts]
-    return F.sha2(F.concat_ws("|", *folded), 256)
+    return hash_key(key_text(*parts))
 
 
 def _truthy_text(col) -> Column:
@@ -48,8 +59,8 @@ def book_source_key(df: DataFrame) -> Column:
     url = storage_text("url")
     category = F.when(_truthy_text("category"), render("category", types.get("category"))) \
                 .otherwise(render("product_type", types.get("product_type")))
-    derived = F.when(url.isNotNull(), canonical_key(F.lit("book-url"), url)) \
-               .otherwise(canonical_key(F.lit("book"), storage_text("title"), category))
+    derived = hash_key(F.when(url.isNotNull(), key_text(F.lit("book-url"), url))
+                        .otherwise(key_text(F.lit("book"), storage_text("title"), category)))
     explicit = storage_text("source_key") if "source_key" in types else F.lit(None).cast("string")
     return F.coalesce(explicit, derived)
 
@@ -60,7 +71,7 @@ def car_source_key(df: DataFrame) -> Column:
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     url = storage_text("url")
     parts = [render(c, types.get(c)) for c in ("model", "year", "price", "mileage", "region")]
-    derived = F.when(url.isNotNull(), canonical_key(F.lit("car-url"), url)) \
-               .otherwise(canonical_key(F.lit("car"), storage_text("brand"), *parts))
+    derived = hash_key(F.when(url.isNotNull(), key_text(F.lit("car-url"), url))
+                        .otherwise(key_text(F.lit("car"), storage_text("brand"), *parts)))
     explicit = storage_text("source_key") if "source_key" in types else F.lit(None).cast("string")
     return F.coalesce(explicit, derived)

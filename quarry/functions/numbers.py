@@ -70,7 +70,7 @@ def parse_integer(col) -> Column:
     """H4 (text input): all digit runs concatenated; negative only when the
     stripped text starts with '-'."""
     text = _c(col).cast("string")
-    digits = F.regexp_replace(text, r"[^0-9]", "")
+    digits = F.regexp_replace(text, r"[^0-9]+", "")
     sign = F.when(text.rlike(r"(?U)^\s*-"), F.lit(-1)).otherwise(F.lit(1))
     value = digits.try_cast("bigint")
     return F.when(digits != "", value * sign)
@@ -89,7 +89,7 @@ def analytics_number(col) -> Column:
         return (F.when(has_comma & has_dot, F.translate(F.translate(clean, ".", ""), ",", "."))
                  .when(has_comma, F.translate(clean, ",", "."))
                  .otherwise(clean))
-    return _to_double(_let(F.regexp_replace(_c(col).cast("string"), r"[^0-9,.\-]", ""), rules))
+    return _to_double(_let(F.regexp_replace(_c(col).cast("string"), r"[^0-9,.\-]+", ""), rules))
 
 
 def storage_number(col, integer: bool = False) -> Column:
@@ -102,7 +102,7 @@ def storage_number(col, integer: bool = False) -> Column:
         return (F.when(has_comma & has_dot, both)
                  .when(has_comma, F.translate(clean, ",", "."))
                  .otherwise(clean))
-    value = _to_double(_let(F.regexp_replace(_c(col).cast("string"), r"[^0-9,.\-]", ""), rules))
+    value = _to_double(_let(F.regexp_replace(_c(col).cast("string"), r"[^0-9,.\-]+", ""), rules))
     return value.try_cast("bigint") if integer else value
 
 

@@ -83,8 +83,8 @@ def normalize_records(batch: DataFrame, source: str, order: str = "ordinal") ->
 
 def empty_table(spark: SparkSession, source: str) -> DataFrame:
     types = S.STORED_TYPES[source]
-    schema = T.StructType([T.StructField(n, t, True) for n, t in types.items()])
-    return spark.createDataFrame([], schema)
+    from ..sources.inline import empty_frame
+    return empty_frame(spark, T.StructType([T.StructField(n, t, True) for n, t in types.items()]))
 
 
 def match_keys(target: DataFrame, batch: DataFrame, key: str = "source_key") -> DataFrame:

@@ -33,6 +33,7 @@ from ..operators.extract import (BOOK_CARD_SPEC, CAR_CARD_SPEC, COUNT, Field, Sp
                                  extract_nested)
 from ..operators.upsert import SnapshotTable
 from ..session import checkpoint_root
+from ..sources.inline import one_row
 from ..sources.sinks import write_csv
 from .clean import clean_books, clean_cars
 
@@ -159,7 +160,8 @@ def run_source(spark: SparkSession, source: str, listing_pages: DataFrame, *, ma
         out_path = f"{export_dir.rstrip('/')}/{S.EXPORT_NAMES[source]}"
         write_csv(cleaned.drop("ordinal"), out_path, mode="overwrite")
     elapsed = time.monotonic() - started
-    report = spark.createDataFrame(
-        [(source, row_count, int(persisted), out_path, float(elapsed))],
-        "source string, row_count bigint, persisted_rows bigint, cleaned_file string, elapsed_seconds double")
+    report = one_row(spark, {"source": source, "row_count": row_count, "persisted_rows": int(persisted),
+                             "cleaned_file": out_path, "elapsed_seconds": float(elapsed)},
+                     "source string, row_count bigint, persisted_rows bigint, cleaned_file string, "
+                     "elapsed_seconds double")
     return report, cleaned

@@ -66,17 +66,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return str(root).rstrip("/")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, min_bytes: int = 64 * 1024) -> DataFrame:
     """At least one task per core for CPU-heavy row work (parsing, HTML).
 
     A large input arrives in many scan partitions and passes through
     untouched (no shuffle).  Only an input with fewer partitions than the
     cluster's parallelism (a small file of one row group) is dealt
-    round-robin over the cores, which costs one shuffle of a small table.
+    round-robin over the cores, which costs one shuffle of a small table;
+    inputs below ``min_bytes`` (plan statistics) are not worth a shuffle.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < min_bytes:
+        return df
     return df.repartition(want)
 
 

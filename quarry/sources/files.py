@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.fmt import date_label, file_size
+from .inline import empty_frame
 
 LISTING_SCHEMA = "path string, label string, suffix string, length bigint, modificationTime timestamp"
 
@@ -41,7 +42,7 @@ def list_files(spark: SparkSession, root: str, suffixes: Sequence[str] = S.SUPPO
         files = reader.load(root)
     except Exception as exc:  # noqa: BLE001 - missing directory -> empty listing
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], LISTING_SCHEMA)
+            return empty_frame(spark, LISTING_SCHEMA)
         raise
     suffix = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
     out = files.select(
@@ -77,7 +78,7 @@ def read_csv(spark: SparkSession, paths, schema: T.StructType | str | None = Non
     """
     paths = _paths(spark, paths)
     if not paths:
-        return spark.createDataFrame([], schema or "value string")
+        return empty_frame(spark, schema or "value string")
     probe = (spark.read.option("encoding", "UTF-8").text(paths)
                   .select(F.col("_metadata.file_path").alias("file"), (~F.is_valid_utf8("value")).alias("bad"))
                   .groupBy("file").agg(F.max("bad").alias("bad")))
@@ -140,7 +141,7 @@ def read_json(spark: SparkSession, paths, schema: T.StructType | str | None = No
                 reader = reader.schema(schema)
             frames.append(reader.json(chosen))
     if not frames:
-        return spark.createDataFrame([], schema or "value string")
+        return empty_frame(spark, schema or "value string")
     out = frames[0]
     for other in frames[1:]:
         out = out.unionByName(other, allowMissingColumns=True)
