@@ -1262,7 +1262,23 @@ def d14_run_report(spark, d):
     return report.select("source", "row_count", "persisted_rows")
 
 
-@register("u5_stream_ingest", None)
+def _stream_sql() -> str:
+    """U5 as one batch query: each drop cleaned (U2) on its own, then merged
+    into the table in arrival order (what three stream triggers must give)."""
+    page = "coalesce(source_page, 0)"
+    conds = [f"{page} < 30", f"{page} >= 30 AND {page} < 60", f"{page} >= 60"]
+    ctes = [f"c{i} AS ({O.clean_books(f'SELECT * FROM ({RAW_BOOKS_SQL}) r WHERE {c}')})"
+            for i, c in enumerate(conds)]
+    target = _EMPTY_BOOKS
+    for i in range(len(conds)):
+        ctes.append(f"s{i} AS ({_merge_sql(target, _book_norm_sql(f'SELECT * FROM c{i}'), f'SELECT * FROM c{i}', BATCH_TIME + _dt.timedelta(hours=i))})")
+        target = f"SELECT * FROM s{i}"
+    cols = ("id, source_key, title, price, availability, products_on_page, rating, review_count, description, "
+            "product_type, category, tax, url, source_page, scraped_at, created_at, updated_at")
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT {cols} FROM s{len(conds) - 1}"
+
+
+@register("u5_stream_ingest", _stream_sql())
 def u5_stream_ingest(spark, d):
     """Raw book ads arrive as three drops (by listing page range); each drop
     is ingested by the stream; the result is the stored table."""
