@@ -3,6 +3,8 @@ import hashlib
 import re
 import unicodedata
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quarry.functions.keys import canonical_key
@@ -55,3 +57,20 @@ def test_key_folds_joined_text_like_parts(spark):
     got = [r.k for r in df.select(canonical_key(F.lit("book"), F.col("a"), F.col("b"), F.col("c"))
                                   .alias("k")).collect()]
     assert got == [_py_key("book", *r) for r in rows]
+
+
+# Latin letters, accents (precomposed and combining), ligatures, the key
+# separator and whitespace; U+001C-U+001F are left out (whitespace for Python,
+# not for Java, see README "Known differences").
+_ALPHABET = st.sampled_from(list("abcXYZ09 |-'\t\n") + [chr(c) for c in range(0xC0, 0x180)]
+                            + [chr(c) for c in range(0x300, 0x316)] + ["ﬁ", "ﬀ", "Ⅻ", " ", " "])
+_PART = st.one_of(st.none(), st.text(_ALPHABET, max_size=12))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(_PART, _PART, _PART), min_size=1, max_size=80))
+def test_key_property_matches_python_rule(spark, rows):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a string, b string, c string")
+    got = [r.k for r in df.orderBy("i").select(
+        canonical_key(F.lit("car"), F.col("a"), F.col("b"), F.col("c")).alias("k")).collect()]
+    assert got == [_py_key("car", *r) for r in rows]
