@@ -106,7 +106,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str,
 
     1. Range-partition and sort by (group, value): a hot group is spread over
        many partitions.  A row's position is its ``monotonically_increasing_id``
-       (partition id and offset), fixed by checkpointing the sorted rows.
+       (partition id and offset), fixed by writing the sorted rows once (``session.materialize``).
     2. A small table of (partition, group) blocks: row count and first
        position.  Cumulative counts over blocks give each block's first rank.
     3. For each wanted rank (floor and ceil of q*(n-1)) the block holding it
@@ -118,15 +118,13 @@ def exact_quantiles(df: DataFrame, group: str, value: str,
     base = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")) \
              .where(F.col("v").isNotNull() & ~F.isnan("v"))
     n_parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    from ..session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    # materialised once (shared checkpoint folder): every later step reads the
-    # same positions, and a lost executor never re-sorts
-    ordered = (base.repartitionByRange(int(n_parts), "g", "v")
-                   .sortWithinPartitions("g", "v")
-                   .withColumn("pos", F.monotonically_increasing_id())
-                   .withColumn("pid", F.spark_partition_id())
-                   .checkpoint(eager=True))
+    from ..session import materialize
+    # written once as a table in the shared checkpoint folder: every later
+    # step reads the same positions, and a lost executor never re-sorts
+    ordered = materialize(base.repartitionByRange(int(n_parts), "g", "v")
+                              .sortWithinPartitions("g", "v")
+                              .withColumn("pos", F.monotonically_increasing_id())
+                              .withColumn("pid", F.spark_partition_id()), "quantiles")
     blocks = ordered.groupBy("pid", "g").agg(F.count(F.lit(1)).alias("cnt"), F.min("pos").alias("first_pos"))
     w = Window.partitionBy("g").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("start", F.coalesce(F.sum("cnt").over(w), F.lit(0)))

@@ -32,7 +32,7 @@ from ..operators.enrich import enrich_listing
 from ..operators.extract import (BOOK_CARD_SPEC, CAR_CARD_SPEC, COUNT, Field, Spec, book_details, extract,
                                  extract_nested)
 from ..operators.upsert import SnapshotTable
-from ..session import checkpoint_root
+from ..session import materialize
 from ..sources.inline import one_row
 from ..sources.sinks import write_csv
 from .clean import clean_books, clean_cars
@@ -53,15 +53,15 @@ def validate(source: str, max_pages: int) -> None:
 def parse_listing_pages(pages: DataFrame, card_spec: Spec, next_selectors: tuple[str, ...]) -> DataFrame:
     """One parse per listing page: page facts + card records (nested).
 
-    The result is checkpointed to the shared checkpoint folder: page facts,
-    signatures and cards are all read from it, so HTML is parsed once even
-    though several joins consume it, and a lost executor never re-parses.
+    The result is written once as a table in the shared checkpoint folder:
+    page facts, signatures and cards are all read from it, so HTML is parsed
+    once even though several joins consume it, and a lost executor never
+    re-parses.
     """
     page_fields = (Field("next_links", next_selectors, COUNT),) if next_selectors else ()
     spec = Spec(fields=card_spec.fields, records=card_spec.records, ready=card_spec.ready,
                 page_fields=card_spec.page_fields + page_fields)
-    checkpoint_root(pages.sparkSession)  # the session's shared folder (set only when unset)
-    return extract_nested(pages, spec, ("crawl_id", "page", "url")).checkpoint(eager=True)
+    return materialize(extract_nested(pages, spec, ("crawl_id", "page", "url")), "parsed-pages")
 
 
 def crawl_pages(parsed: DataFrame, cards: DataFrame, source: str, max_pages: int,
@@ -150,7 +150,7 @@ def run_source(spark: SparkSession, source: str, listing_pages: DataFrame, *, ma
     cleaned = cleaned.observe(obs, F.count(F.lit(1)).alias("row_count"))
     # one materialisation in the shared checkpoint folder; later actions
     # (upsert, export) read it instead of re-parsing pages
-    cleaned = cleaned.checkpoint(eager=True)
+    cleaned = materialize(cleaned, "cleaned")
     row_count = int(obs.get.get("row_count", 0))
 
     table = SnapshotTable(spark, table_root, source)

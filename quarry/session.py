@@ -84,6 +84,16 @@ def spread(df: DataFrame, min_bytes: int = 64 * 1024) -> DataFrame:
     return df.repartition(want)
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Cut lineage by writing ``df`` as a Parquet table in a fresh folder of
+    the shared checkpoint root and reading it back.  Columnar and compressed,
+    it is cheaper to write and to read twice than a row checkpoint, and it
+    survives the loss of any executor."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused sub folder of the checkpoint root."""
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
