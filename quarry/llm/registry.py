@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, exact, mixing
+from quarry.llm import chat, decontam, exact, mixing
 from quarry.llm.common import table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        decontam.items_digest("items").alias("items_sha256"), "contaminated")
+
+
 def op3_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("mask", lambda m: F.concat_ws("-", m["start"], m["end"])), ",")
@@ -25,7 +31,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op3_chat_perspectives, op8_mix_sources, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_chat_perspectives, op8_mix_sources, op9_exact_dedup)}
 
 ORACLE_SQL = {
     "op3_chat_perspectives": """

@@ -1,0 +1,12 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(__file__))
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shared_folder(spark, tmp_path_factory):
+    spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
