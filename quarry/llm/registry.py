@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, exact, mixing
+from quarry.llm import chat, decontam, exact, mixing, suffix
 from quarry.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         decontam.items_digest("items").alias("items_sha256"), "contaminated")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op3_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("mask", lambda m: F.concat_ws("-", m["start"], m["end"])), ",")
@@ -31,7 +35,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_chat_perspectives, op8_mix_sources, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_chat_perspectives, op8_mix_sources, op9_exact_dedup)}
 
 ORACLE_SQL = {
     "op3_chat_perspectives": """
