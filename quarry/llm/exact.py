@@ -9,6 +9,8 @@ from quarry.session import materialize
 
 #: Bits of one filter row, fixed by bitmap_construct_agg.
 BUCKET_BITS = 32768
+#: Tasks over which a group of copies is dealt.
+SALTS = 16
 OUTPUT = ("keep_id", "group_size", "kept", "text_sha256")
 
 
@@ -53,7 +55,10 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", cells_
     order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col("__row").alias("row"))
     groups = (repeats.groupBy("text_sha256").agg(F.min(order).alias("__first"), F.count(F.lit(1)).alias("group_size")))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    grouped = repeats.join(groups, "text_sha256").select(
+    # A group's copies are dealt over SALTS tasks, each with the group's row, so no task gets a large group.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt")
+    salted = repeats.withColumn("__salt", F.pmod("__row", F.lit(SALTS)).cast("int"))
+    grouped = salted.join(groups.select("*", salts), ["text_sha256", "__salt"]).select(
         *columns, F.col("__first.id").alias("keep_id"), "group_size",
         (F.col("__row") == F.col("__first.row")).alias("kept"), "text_sha256")
     single = probed.filter(~F.col("__maybe")).select(

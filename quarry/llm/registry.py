@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, exact, mixing, suffix
+from quarry.llm import chat, decontam, exact, jaccard, mixing, suffix
 from quarry.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op3_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.select("conv_id", "participant", "segment", "n_turns", "n_chars", "n_masked", "rendered", spans.alias("mask"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", F.coalesce("source_size", F.lit(0)).alias("source_size"), "target", "taken", "copies", "source")
@@ -35,7 +40,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_chat_perspectives, op8_mix_sources, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_chat_perspectives, op6_jaccard_join, op8_mix_sources, op9_exact_dedup)}
 
 ORACLE_SQL = {
     "op3_chat_perspectives": """
