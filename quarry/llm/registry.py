@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, exact, jaccard, mixing, suffix
+from quarry.llm import chat, decontam, exact, jaccard, lines, mixing, suffix
 from quarry.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op3_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.select("conv_id", "participant", "segment", "n_turns", "n_chars", "n_masked", "rendered", spans.alias("mask"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_repeated_lines(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.jaccard_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
@@ -40,7 +44,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_chat_perspectives, op6_jaccard_join, op8_mix_sources, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_chat_perspectives, op5_line_dedup, op6_jaccard_join, op8_mix_sources, op9_exact_dedup)}
 
 ORACLE_SQL = {
     "op3_chat_perspectives": """
@@ -64,6 +68,21 @@ ORACLE_SQL = {
                coalesce(string_agg(CAST(CAST(upto - n + length(head) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(upto - 1 AS BIGINT) AS VARCHAR), ',' ORDER BY pos)
                         FILTER (own), '') AS mask
         FROM s GROUP BY conv_id, participant, segment""",
+    "op5_line_dedup": r"""
+        WITH x AS (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text <> ''),
+        l AS (SELECT doc_id, unnest(x) AS line, unnest(range(len(x))) AS pos FROM x),
+        t AS (SELECT *, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS t FROM l),
+        s AS (SELECT doc_id, pos, t, row_number() OVER d AS seq, lead(t, 1) OVER d AS t2, lead(t, 2) OVER d AS t3
+              FROM t WHERE t <> '' WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+        w AS (SELECT doc_id, pos, seq, t3 IS NOT NULL AND row_number() OVER (PARTITION BY t, t2, t3 ORDER BY doc_id, seq) > 1 AS later FROM s),
+        g AS (SELECT doc_id, pos, seq, bool_or(later) OVER (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS gone FROM w),
+        r AS (SELECT doc_id, pos, gone, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY seq), false) AS run FROM g),
+        k AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted, count(*) FILTER (run) AS n_runs,
+                     coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT coalesce(gone, false)), '') AS kept
+              FROM t LEFT JOIN r USING (doc_id, pos) GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted, coalesce(n_runs, 0) AS n_runs,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents d LEFT JOIN k USING (doc_id)""",
     "op9_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
