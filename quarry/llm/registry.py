@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, exact, jaccard, lines, mixing, suffix
-from quarry.llm.common import table
+from quarry.llm import chat, decontam, exact, jaccard, langid, lines, mixing, suffix
+from quarry.llm.common import held_out, table
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,13 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_chat_perspectives, op5_line_dedup, op6_jaccard_join, op8_mix_sources, op9_exact_dedup)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.learn(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_chat_perspectives, op5_line_dedup, op6_jaccard_join, op8_mix_sources, op9_exact_dedup, op10_language_id)}
 
 ORACLE_SQL = {
     "op3_chat_perspectives": """
