@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, exact, jaccard, langid, lines, mixing, suffix
+from quarry.llm import chat, decontam, exact, jaccard, langid, lines, mixing, quality, suffix
 from quarry.llm.common import held_out, table
 
 
@@ -25,6 +25,13 @@ def op3_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.select("conv_id", "participant", "segment", "n_turns", "n_chars", "n_masked", "rendered", spans.alias("mask"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = quality.learn(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_quality(docs.select("doc_id", "text", "n_chars"), machine)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_repeated_lines(table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -50,7 +57,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_chat_perspectives, op5_line_dedup, op6_jaccard_join, op8_mix_sources, op9_exact_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_chat_perspectives, op4_quality, op5_line_dedup, op6_jaccard_join, op8_mix_sources, op9_exact_dedup, op10_language_id)}
 
 ORACLE_SQL = {
     "op3_chat_perspectives": """
