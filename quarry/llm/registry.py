@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, exact, jaccard, langid, lines, mixing, quality, suffix
+from quarry.llm import chat, decontam, exact, jaccard, langid, lines, mixing, pages, quality, suffix
 from quarry.llm.common import held_out, table
 
 
@@ -41,6 +41,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def op7_extract_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "pages")
+    return pages.extract_main_text(rows.select("page_id", "url", "html"), pages.learn(rows))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", F.coalesce("source_size", F.lit(0)).alias("source_size"), "target", "taken", "copies", "source")
@@ -57,7 +62,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_chat_perspectives, op4_quality, op5_line_dedup, op6_jaccard_join, op8_mix_sources, op9_exact_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_chat_perspectives, op4_quality, op5_line_dedup, op6_jaccard_join, op7_extract_main_text, op8_mix_sources, op9_exact_dedup, op10_language_id)}
 
 ORACLE_SQL = {
     "op3_chat_perspectives": """
