@@ -103,12 +103,13 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id"
     id_type = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("__id"), text_key(text).alias("__th"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     places = materialize(rows.mapInArrow(lambda b: _fingerprints(b, window), f"__id {id_type}, __th long, at int, fp long, h long"), "line-windows")
-    again = places.groupBy("fp").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("fp")
+    # Sums are written before they are joined, so that AQE can split the join's hot fingerprints.
+    again = materialize(places.groupBy("fp").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("fp"), "repeated-lines")
     # The least place of every run of lines; sums before the shuffle take care of common ones.
     place = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__th").alias("th"), F.col("at"))
     repeated = places.join(again, "fp", "left_semi")
-    earliest = (repeated.groupBy("fp", "h").agg(F.min(place).alias("earliest"), F.max(place).alias("latest"))
-                .filter("earliest <> latest").select("fp", "h", "earliest"))
+    earliest = materialize(repeated.groupBy("fp", "h").agg(F.min(place).alias("earliest"), F.max(place).alias("latest"))
+                           .filter("earliest <> latest").select("fp", "h", "earliest"), "earliest-lines")
     later = (places.join(earliest, ["fp", "h"]).filter(place != F.col("earliest"))
              .groupBy("__id", "__th").agg(F.collect_set("at").alias("later")))
     later = materialize(later, "later-runs").select(F.col("__id").alias("__i"), F.col("__th").alias("__t"), "later")
