@@ -29,8 +29,8 @@ def kilometres(col) -> Column:
 
 
 def one_decimal(col) -> Column:
-    """Reviews average with one decimal, NULL -> '—'."""
-    return F.coalesce(F.format_number(_c(col), 1), F.lit(EMPTY_KPI))
+    """Reviews average with one decimal and no grouping ('1234.6'), NULL -> '—'."""
+    return F.coalesce(F.replace(F.format_number(_c(col), 1), F.lit(",")), F.lit(EMPTY_KPI))
 
 
 def file_size(col) -> Column:

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.numbers import analytics_for
+from ..session import materialize
 
 
 def _type(df: DataFrame, name: str) -> T.DataType:
@@ -25,12 +26,6 @@ def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def _summary(df: DataFrame, value: str, prefix: str = "") -> list[Column]:
-    v = analytics_for(_type(df, value), F.col(value))
-    return [F.avg(v).alias(f"average_{prefix}"), F.min(v).alias(f"minimum_{prefix}"),
-            F.max(v).alias(f"maximum_{prefix}")]
-
-
 def book_metrics(df: DataFrame) -> DataFrame:
     """Total rows, avg/min/max price, avg review count (H5 numbers;
     missing, malformed and non-finite values ignored)."""
@@ -99,73 +94,50 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     return counted.select("bin", lower.alias("lower"), upper.alias("upper"), "count").orderBy("bin")
 
 
-def exact_quantiles(df: DataFrame, group: str, value: str,
-                    probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Exact linearly interpolated quantiles per group, without collecting a
-    group anywhere.
+def ranked_values(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Distinct values by group (g, v) with their count ``c``, the number of the
+    group's values ``before`` them and in all (``n``).
 
-    1. Range-partition and sort by (group, value): a hot group is spread over
-       many partitions.  A row's position is its ``monotonically_increasing_id``
-       (partition id and offset), fixed by writing the sorted rows once (``session.materialize``).
-    2. A small table of (partition, group) blocks: row count and first
-       position.  Cumulative counts over blocks give each block's first rank.
-    3. For each wanted rank (floor and ceil of q*(n-1)) the block holding it
-       gives an absolute position; those positions are semi-joined back to
-       the sorted rows (a few rows per group), then interpolated.
+    Equal values are counted first (map-side), so a value or a group that holds
+    a third of all rows is a third of nothing after one shuffle of sums.
+    Distinct values are range-partitioned by (g, v) and written once; counts
+    run on in each partition and are shifted by those of the (partition, group)
+    blocks before it.
     """
-    from pyspark.sql import Window
-
-    base = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")) \
-             .where(F.col("v").isNotNull() & ~F.isnan("v"))
-    n_parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    from ..session import materialize
-    # written once as a table in the shared checkpoint folder: every later
-    # step reads the same positions, and a lost executor never re-sorts
-    ordered = materialize(base.repartitionByRange(int(n_parts), "g", "v")
-                              .sortWithinPartitions("g", "v")
-                              .withColumn("pos", F.monotonically_increasing_id())
-                              .withColumn("pid", F.spark_partition_id()), "quantiles")
-    blocks = ordered.groupBy("pid", "g").agg(F.count(F.lit(1)).alias("cnt"), F.min("pos").alias("first_pos"))
-    w = Window.partitionBy("g").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("start", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
-    totals = blocks.groupBy("g").agg(F.sum("cnt").alias("n"))
-    wanted = totals.select(
-        "g", "n", F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("q"))
-    wanted = wanted.withColumn("p", F.col("q") * (F.col("n") - 1))
-    ranks = wanted.select("g", F.explode(F.array_distinct(F.array(
-        F.floor("p").cast("bigint"), F.ceil("p").cast("bigint")))).alias("rank")).distinct()
-    located = (ranks.join(blocks, on="g")
-                    .where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("cnt")))
-                    .select("g", "rank", (F.col("first_pos") + F.col("rank") - F.col("start")).alias("pos")))
-    picked = ordered.join(located, on=["g", "pos"], how="inner").select("g", "rank", "v")
-    lo = picked.select("g", F.col("rank").alias("lo_rank"), F.col("v").alias("lo_v"))
-    hi = picked.select("g", F.col("rank").alias("hi_rank"), F.col("v").alias("hi_v"))
-    res = (wanted.withColumn("lo_rank", F.floor("p").cast("bigint"))
-                 .withColumn("hi_rank", F.ceil("p").cast("bigint"))
-                 .join(lo, on=["g", "lo_rank"]).join(hi, on=["g", "hi_rank"]))
-    frac = F.col("p") - F.col("lo_rank")
-    res = res.select("g", "q", (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * frac).alias("value"))
-    return res.groupBy("g").pivot("q", [float(q) for q in probs]).agg(F.first("value")) \
-              .withColumnRenamed("g", group)
+    values = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    counts = values.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
+    here = Window.partitionBy("pid", "g").orderBy("v")
+    ranged = materialize(counts.repartitionByRange("g", "v").withColumn("pid", F.spark_partition_id())
+                         .withColumn("before", F.sum("c").over(here) - F.col("c")), "value-counts")
+    blocks = ranged.groupBy("pid", "g").agg(F.sum("c").alias("_sum"))
+    whole = Window.partitionBy("g")
+    blocks = blocks.select("pid", F.col("g").alias("_g"), F.sum("_sum").over(whole).alias("n"),
+                           (F.sum("_sum").over(whole.orderBy("pid")) - F.col("_sum")).alias("_shift"))
+    same = (ranged["pid"] == blocks["pid"]) & ranged["g"].eqNullSafe(blocks["_g"])
+    return ranged.join(blocks, same).select("g", "v", "c", "n", (F.col("before") + F.col("_shift")).alias("before"))
+
+
+def _quantile(q: float) -> Column:
+    """Linear interpolation between the values at the ranks around q * (n - 1), as an aggregate over ``ranked_values``."""
+    place = F.lit(q) * (F.col("n") - 1)
+    at = lambda rank: F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("c")), F.col("v")))
+    low, high = at(F.floor(place)), at(F.ceil(place))
+    return low + (high - low) * F.max(place - F.floor(place))
 
 
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Per group n, min, q1, median, q3, max, 1.5·IQR fences and the
-    number of values outside them (exact quartiles, linear interpolation)."""
-    q = exact_quantiles(df, group, value)
-    cols = q.columns
-    q = q.select(F.col(group), F.col(f"`{cols[1]}`").alias("q1"), F.col(f"`{cols[2]}`").alias("median"),
-                 F.col(f"`{cols[3]}`").alias("q3"))
-    base = df.select(F.col(group), F.col(value).cast("double").alias("v")) \
-             .where(F.col("v").isNotNull() & ~F.isnan("v"))
+    number of values outside them (exact quartiles, linear interpolation).
+    NULL groups are left out."""
+    ranked = materialize(ranked_values(df.where(F.col(group).isNotNull()), group, value), "ranked-values")
+    stats = ranked.groupBy("g").agg(_quantile(0.25).alias("q1"), _quantile(0.5).alias("median"), _quantile(0.75).alias("q3"),
+                                    F.max("n").alias("n"), F.min("v").alias("minimum"), F.max("v").alias("maximum"))
     iqr = F.col("q3") - F.col("q1")
-    fences = q.select(group, "q1", "median", "q3", (F.col("q1") - 1.5 * iqr).alias("lower_fence"),
-                      (F.col("q3") + 1.5 * iqr).alias("upper_fence"))
-    joined = base.join(fences, on=group)
-    outlier = (F.col("v") < F.col("lower_fence")) | (F.col("v") > F.col("upper_fence"))
-    return joined.groupBy(group, "q1", "median", "q3", "lower_fence", "upper_fence").agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("minimum"), F.max("v").alias("maximum"),
-        F.sum(outlier.cast("bigint")).alias("outliers"))
+    stats = materialize(stats.withColumns({"lower_fence": F.col("q1") - 1.5 * iqr, "upper_fence": F.col("q3") + 1.5 * iqr}), "boxes")
+    outside = F.when((F.col("v") < F.col("lower_fence")) | (F.col("v") > F.col("upper_fence")), F.col("c")).otherwise(0)
+    outliers = (ranked.join(stats.select("g", "lower_fence", "upper_fence"), "g").groupBy("g").agg(F.sum(outside).alias("outliers")))
+    return stats.join(outliers, "g").select(F.col("g").alias(group), "q1", "median", "q3", "lower_fence", "upper_fence",
+                                            "n", "minimum", "maximum", "outliers")
 
 
 def shares(df: DataFrame, column: str | Column, name: str = "value") -> DataFrame:

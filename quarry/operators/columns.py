@@ -3,6 +3,7 @@ on the driver from the schema; no data moves."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -19,20 +20,18 @@ def ensure_columns(df: DataFrame, columns: Sequence[str] | Mapping[str, T.DataTy
     return df.withColumns(missing) if missing else df
 
 
-def normalize_header(name: str) -> str:
-    return str(name).strip().casefold().replace(" ", "_")
+_BLANKS = re.compile(" ")
 
 
 def apply_aliases(df: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
-    """B2: strip + casefold headers, spaces -> '_', then map aliases.
+    """B2: headers are matched without case or outer blanks, inner blanks
+    count as ``_``; aliases become field names.
 
     When two input headers land on the same field the later column wins.
     """
-    target_of = {}
-    for name in df.columns:
-        clean = normalize_header(name)
-        target_of[aliases.get(clean, clean)] = name  # later wins
-    return df.select([F.col(f"`{src}`").alias(dst) for dst, src in target_of.items()])
+    matched = {header: _BLANKS.sub("_", header.strip()).casefold() for header in df.columns}
+    source = {aliases.get(field, field): header for header, field in matched.items()}
+    return df.select([F.col(f"`{header}`").alias(field) for field, header in source.items()])
 
 
 def canonical_projection(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -42,7 +41,6 @@ def canonical_projection(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def display_projection(df: DataFrame, source: str) -> DataFrame:
     """Preferred columns first, other columns after, metadata hidden."""
-    preferred = [c for c in S.DISPLAY_COLUMNS[source] if c in df.columns]
-    hidden = set(S.HIDDEN_DISPLAY_COLUMNS)
-    extras = [c for c in df.columns if c not in hidden and c not in preferred]
-    return df.select(*preferred, *extras)
+    rank = {name: place for place, name in enumerate(S.DISPLAY_COLUMNS[source])}
+    shown = df.drop(*S.HIDDEN_DISPLAY_COLUMNS)
+    return shown.select(sorted(shown.columns, key=lambda name: rank.get(name, len(rank))))

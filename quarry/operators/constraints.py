@@ -67,3 +67,8 @@ def assert_valid(df: DataFrame, source: str) -> None:
     broken = df.where(any_bad).limit(1).count()
     if broken:
         raise ValueError(f"{source}: batch breaks an integrity rule; nothing written")
+
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """The unique-key rule: key values held by several rows, with their number (one sum by key)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")

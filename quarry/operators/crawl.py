@@ -1,17 +1,17 @@
 """Page-level operators over captured listing pages.
 
 A crawl is a set of listing pages ``(crawl_id, page)``; each page holds cards.
-None of these operators sorts or collects a whole group: per-page values are
-partial aggregates (map-side combined) joined back on their key, and crawl
-stops are ``min`` aggregates, so a crawl or a page holding a third of all
-rows costs the same as any other.
+Cards are many: per-page values are partial aggregates (map-side combined)
+joined back on their key, so a page holding a third of all cards costs the
+same as any other.  Page facts are few and small: they are dealt once by
+crawl, and repeated pages and stops are windows over that one exchange.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def cards_per_page(cards: DataFrame, keys: Sequence[str] = ("crawl_id", "page"),
@@ -57,16 +57,12 @@ def repeated_pages(pages: DataFrame, crawl: str = "crawl_id", page: str = "page"
                    signature: str = "signature", usable: Column | None = None,
                    name: str = "repeated") -> DataFrame:
     """A page is repeated when an earlier usable page of the same crawl has
-    the same signature.  First page per (crawl, signature) via ``min``
-    aggregate, joined back."""
-    usable = F.lit(True) if usable is None else usable
-    base = pages.withColumn("_usable", F.coalesce(usable, F.lit(False)))
-    firsts = (base.where("_usable")
-                  .groupBy(crawl, signature)
-                  .agg(F.min(page).alias("_first_page")))
-    out = base.join(firsts, on=[crawl, signature], how="left")
-    flag = F.col("_usable") & F.coalesce(F.col(page) > F.col("_first_page"), F.lit(False))
-    return out.withColumn(name, flag).drop("_first_page", "_usable")
+    the same signature.  Pages are dealt by crawl; the window by (crawl,
+    signature) and those of ``crawl_prefix`` need no further exchange."""
+    usable = F.coalesce(F.lit(True) if usable is None else usable, F.lit(False))
+    same = Window.partitionBy(crawl, signature)
+    first = F.min(F.when(usable, F.col(page))).over(same)
+    return pages.repartition(crawl).withColumn(name, usable & F.coalesce(F.col(page) > first, F.lit(False)))
 
 
 def crawl_prefix(pages: DataFrame, mode: str = "cars", strict: bool = False,
@@ -74,48 +70,33 @@ def crawl_prefix(pages: DataFrame, mode: str = "cars", strict: bool = False,
                  page: str = "page") -> DataFrame:
     """Pages the sequential crawler would keep.
 
-    ``pages`` has one row per expected page number with boolean columns
-    ``failed``, ``empty`` and (cars) ``repeated``, (books) ``has_next``.
-    Cars: keep pages before the first failed/empty/repeated page; strict mode
-    skips bad pages instead.  Books: keep pages before the first failed or
-    empty page, and stop after a page without a next link.  ``max_pages``
-    caps the page numbers.  Page 1 failing is an error (checked by
-    ``first_page_failed``).
+    ``pages`` has a row per captured page number (from 1) with boolean columns
+    ``failed``, ``empty`` and (cars) ``repeated``, (books) ``has_next``; a page
+    number that is absent is a failed load.  Cars: keep pages before the first
+    failed/empty/repeated page; strict mode skips bad pages instead.  Books:
+    keep pages before the first failed or empty page, and stop after a page
+    without a next link.  ``max_pages`` caps the page numbers.
     """
     if max_pages is not None and max_pages < 1:
         raise ValueError("max_pages must be >= 1")
-    df = pages if max_pages is None else pages.where(F.col(page) <= max_pages)
+    df = pages.where(F.col(page) >= 1) if max_pages is None else pages.where(F.col(page).between(1, max_pages))
     bad = F.coalesce(F.col("failed"), F.lit(False)) | F.coalesce(F.col("empty"), F.lit(False))
     if mode == "cars":
         bad = bad | F.coalesce(F.col("repeated"), F.lit(False))
     if strict:
         return df.where(~bad)
-    df = df.withColumn("_bad", bad)
-    stop_cols = [F.min(F.when(F.col("_bad"), F.col(page))).alias("_first_bad")]
+    order = Window.partitionBy(crawl).orderBy(page)
+    # A gap in the numbers shows as a page number above its rank.
+    df = df.withColumn("_bad", bad | (F.col(page) > F.dense_rank().over(order)))
+    keep = ~F.max("_bad").over(order)
     if mode == "books":
-        stop_cols.append(F.min(F.when(~F.coalesce(F.col("has_next"), F.lit(False)),
-                                      F.col(page))).alias("_last_page"))
-    stops = df.groupBy(crawl).agg(*stop_cols)
-    out = df.join(stops, on=crawl, how="left")
-    keep = F.col("_first_bad").isNull() | (F.col(page) < F.col("_first_bad"))
-    if mode == "books":
-        keep = keep & (F.col("_last_page").isNull() | (F.col(page) <= F.col("_last_page")))
-    return out.where(keep).drop("_bad", "_first_bad", "_last_page")
+        before = order.rangeBetween(Window.unboundedPreceding, -1)
+        ended = F.max(~F.coalesce(F.col("has_next"), F.lit(False))).over(before)
+        keep = keep & ~F.coalesce(ended, F.lit(False))
+    return df.withColumn("_keep", keep).where("_keep").drop("_bad", "_keep")
 
 
 def first_page_failed(pages: DataFrame, crawl: str = "crawl_id", page: str = "page") -> DataFrame:
-    """Crawls whose first page failed (the run must stop with an error)."""
-    return pages.where((F.col(page) == 1) & F.col("failed")).select(crawl)
-
-
-def expected_pages(captured: DataFrame, max_pages: int | None = None, crawl: str = "crawl_id",
-                   page: str = "page") -> DataFrame:
-    """Page numbers 1..max_pages (or 1..highest captured page) per crawl,
-    left-joined to the captured pages; absent pages are failed."""
-    bounds = captured.groupBy(crawl).agg(F.max(page).alias("_hi"))
-    hi = F.lit(max_pages) if max_pages is not None else F.col("_hi")
-    page_type = captured.schema[page].dataType
-    grid = bounds.select(crawl, F.explode(F.sequence(F.lit(1).cast("bigint"), hi.cast("bigint"))).alias(page))
-    grid = grid.withColumn(page, F.col(page).cast(page_type))
-    out = grid.join(captured, on=[crawl, page], how="left")
-    return out
+    """Crawls whose first page is absent or failed."""
+    loaded = F.max((F.col(page) == 1) & ~F.coalesce(F.col("failed"), F.lit(False)))
+    return pages.groupBy(crawl).agg(loaded.alias("_loaded")).where(~F.col("_loaded")).select(crawl)

@@ -28,22 +28,18 @@ def dedup_first(df: DataFrame, key: Column, order: str = "ordinal") -> DataFrame
               .drop(_KEY, _RANK))
 
 
-def dedup_last(df: DataFrame, key: Column, order: str = "ordinal") -> DataFrame:
-    """Keep the last row (by ``order``) of every ``key`` value."""
-    w = Window.partitionBy(_KEY).orderBy(F.col(order).desc())
-    return (df.withColumn(_KEY, key)
-              .withColumn(_RANK, F.row_number().over(w))
-              .where(F.col(_RANK) == 1)
-              .drop(_KEY, _RANK))
+def _caseless(text: Column) -> Column:
+    """Lower case in which sharp s equals ss."""
+    return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
 
 
 def clean_dedup_key(df: DataFrame, fallback_columns: Sequence[str], url: str = "url") -> Column:
     """E1 key: ('url', casefolded stripped url) when the url is non-blank,
     else ('fallback', folded fallback fields)."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    url_key = F.lower(F.regexp_replace(F.col(url).cast("string"), r"(?U)^\s+|\s+$", ""))
+    url_key = _caseless(F.regexp_replace(F.col(url).cast("string"), r"(?U)^\s+|\s+$", ""))
     has_url = F.coalesce(url_key != "", F.lit(False))
-    parts = [F.coalesce(F.lower(F.regexp_replace(render(c, types.get(c)), r"(?U)^\s+|\s+$", "")), F.lit(""))
+    parts = [F.coalesce(_caseless(F.regexp_replace(render(c, types.get(c)), r"(?U)^\s+|\s+$", "")), F.lit(""))
              for c in fallback_columns]
     return F.when(has_url, F.struct(F.lit("url").alias("kind"), F.array(url_key).alias("parts"))) \
             .otherwise(F.struct(F.lit("fallback").alias("kind"), F.array(*parts).alias("parts")))

@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from . import html as H
-from ..session import spread
 
 TEXT, ATTR, TEXT_OR_ATTR, MAP, LAST_TEXT, ALL_TEXT, ALL_ATTR, COUNT = (
     "text", "attr", "text_or_attr", "map", "last_text", "all_text", "all_attr", "count")
@@ -112,18 +111,9 @@ def information_table(scope: H.Element, row_selectors: Sequence[str]) -> dict:
     """``th`` (casefolded) -> ``td`` text over the rows of the first row
     selector that matches; rows without heading text or ``td`` are skipped;
     a later duplicate heading wins."""
-    info: dict[str, str] = {}
-    rows: list = []
-    for sel in row_selectors:
-        rows = H.select(scope, sel)
-        if rows:
-            break
-    for row in rows:
-        heading = H.text_first(row, ("th",))
-        value = H.text_first(row, ("td",))
-        if heading and value is not None:
-            info[heading.strip().casefold()] = value
-    return info
+    rows = next(filter(None, (H.select(scope, sel) for sel in row_selectors)), [])
+    cells = ((H.text_first(row, ("th",)), H.text_first(row, ("td",))) for row in rows)
+    return {name.casefold(): value for name, value in cells if name and value is not None}
 
 
 def output_schema(pages: DataFrame, spec: Spec, keep: Sequence[str]) -> T.StructType:

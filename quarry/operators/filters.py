@@ -1,8 +1,7 @@
 """Row filters and derived filter columns.
 
 Every predicate is a plain Column expression so that Catalyst can push it
-into the Parquet scan.  Large option sets become a left-semi join instead of
-a literal IN list.
+into the Parquet scan, whatever the number of options.
 """
 
 from __future__ import annotations
@@ -11,12 +10,10 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 
-# Above this many values an option set is joined rather than inlined.
-MAX_INLINE_OPTIONS = 1000
-
 
 def _and(conds: list[Column]) -> Column | None:
     return reduce(lambda a, b: a & b, conds) if conds else None
@@ -37,13 +34,15 @@ def analysis_category(df: DataFrame, fallthrough_blank: bool = False) -> Column:
     return F.coalesce(category, F.col("product_type"))
 
 
-def _member(col: Column, selected: Iterable | None) -> Column | None:
+def _member(col: Column, selected: Iterable | None, dtype: T.DataType | None = None) -> Column | None:
     if selected is None:
         return None
     choices = list(selected)
     if not choices:
         return None
     non_null = [v for v in choices if v is not None]
+    if dtype is not None:
+        non_null = [F.lit(v).cast(dtype) for v in non_null]
     cond = col.isin(*non_null) if non_null else F.lit(False)
     if len(non_null) != len(choices):
         cond = cond | col.isNull()
@@ -94,33 +93,24 @@ def dashboard_filter(df: DataFrame, columns: Sequence[str],
     rows NULL in a filtered column drop out; an empty selection (no options
     or cleared by the user) skips the filter.
 
-    The default "all options" selection is ``IS NOT NULL`` (pushed to the
-    scan) guarded by a scalar count; explicit selections larger than
-    ``MAX_INLINE_OPTIONS`` become a left-semi join.
+    One aggregate counts the non-NULL values of the filters left at their
+    default; a default filter with any option is then a plain ``IS NOT NULL``
+    and one without options is no filter.  Pass a written table: it is read
+    for the counts and again by the result.  Explicit selections are IN lists
+    of any size, compared in the column's own type.
     """
     selections = dict(selections or {})
-    out = df
-    defaults = [c for c in columns if selections.get(c, "all") == "all"]
-    # one scalar subquery for all default filters: non-null counts per column
-    option_counts = (df.select(F.struct(*[F.count(F.col(c)).alias(c) for c in defaults])).scalar()
-                     if defaults else None)
+    defaults = [c for c in columns if isinstance(selections.get(c, "all"), str) and selections.get(c, "all") == "all"]
+    found = df.agg(*[F.count(F.col(c)).alias(c) for c in defaults]).first() if defaults else {}
+    conds = []
     for column in columns:
-        chosen = selections.get(column, "all")
-        if chosen == "all":
-            # all non-null options: equivalent to "column IS NOT NULL", unless
-            # there are no options at all (then the filter is skipped, which
-            # leaves the all-NULL rows in place).
-            no_option = option_counts.getField(column) == F.lit(0)
-            out = out.where(F.col(column).isNotNull() | no_option)
-        elif chosen:
-            chosen = list(chosen)
-            if len(chosen) > MAX_INLINE_OPTIONS:
-                spark = df.sparkSession
-                opts = spark.createDataFrame([(v,) for v in chosen], [column]).distinct()
-                out = out.join(opts, on=column, how="left_semi")
-            else:
-                out = out.where(F.col(column).isin(*chosen))
-    return out
+        if column in defaults:
+            if found[column]:
+                conds.append(F.col(column).isNotNull())
+        elif selections[column]:
+            conds.append(_member(F.col(column), selections[column], df.schema[column].dataType))
+    cond = _and(conds)
+    return df if cond is None else df.where(cond)
 
 
 def drop_null(df: DataFrame, subset: Sequence[str]) -> DataFrame:

@@ -1,11 +1,4 @@
-"""Idempotent upsert by stable content key (U1, C2) and snapshot tables.
-
-The stored table is a directory of immutable snapshot versions
-(``<root>/v=<n>``).  An upsert reads the newest committed version, merges the
-batch with a full outer join on ``source_key`` and writes the next version;
-readers only see versions whose write committed (``_SUCCESS``), so a failed
-or retried job never exposes a half-written table, and the input path is
-never overwritten while it is read.
+"""Idempotent upsert by stable content key (U1, C2) and the stored table.
 
 Merge semantics:
 
@@ -13,19 +6,26 @@ Merge semantics:
   ISO timestamps, source_key) and checked against the integrity rules; any
   violation aborts before anything is written;
 * inside a batch the *last* row of a key wins (``max_by`` aggregate, combined
-  map-side so a hot key never lands whole in one task);
+  map-side so a hot key never lands whole in one task; rows tied in order
+  are ordered by a hash of their fields, so reruns agree);
 * matched keys get all non-key fields replaced (NULLs too) and keep ``id``
   and ``created_at``; ``updated_at`` = batch time;
-* new keys get ids above the current maximum, ordered by the key's first
-  appearance in the batch (``max_id + 1 + first_ordinal - min_batch_ordinal``;
-  id gaps are not part of the contract, so no global ranking is needed and
-  both scalars are cheap aggregates: ``max(id)`` over the stored snapshot,
-  ``min(ordinal)`` over the raw batch column).
+* new keys get the ids after the current maximum, in order of the key's first
+  appearance in the batch (``ordering.with_position``: no one-task window, and
+  no two rows share an id whatever the order column holds).
+
+The stored table is split in buckets by key hash.  An upsert rewrites the
+buckets its keys fall in, into a folder of its own, and then commits a small
+record that names the folder of every bucket: readers see all of a commit or
+nothing, a failed attempt leaves an unnamed folder, and a retry takes the next
+record number.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -36,7 +36,9 @@ from ..functions.keys import book_source_key, car_source_key
 from ..functions.numbers import storage_for
 from ..functions.text import storage_text
 from .columns import apply_aliases, ensure_columns
+from ..session import materialize
 from .constraints import assert_valid, split_valid
+from .ordering import with_position
 
 _TEXT = {"books": ("title", "availability", "description", "product_type", "category", "url"),
          "cars": ("brand", "model", "transmission", "region", "url")}
@@ -98,37 +100,36 @@ def match_keys(target: DataFrame, batch: DataFrame, key: str = "source_key") ->
 
 
 def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.datetime,
-          strict: bool = True, normalized: bool = False, observation=None) -> DataFrame:
-    """The next snapshot of ``target`` after upserting ``batch``.
+          strict: bool = True, normalized: bool = False, max_id: int | None = None) -> DataFrame:
+    """``target`` after upserting ``batch``.
 
     ``strict`` (the reference behaviour) raises when any batch row breaks an
-    integrity rule; otherwise broken rows are left out (see
-    ``constraints.split_valid`` to keep them for inspection).
+    integrity rule; otherwise broken rows are left out (``SnapshotTable`` keeps
+    them, see ``rejected``).  ``max_id`` is the highest id in use when ``target``
+    is a part of the table.
     """
     rows = batch if normalized else normalize_records(batch, source)
     if strict:
         assert_valid(rows, source)
-    if observation is not None:  # counted by the job that writes the snapshot
-        rows = rows.observe(observation, F.count(F.lit(1)).alias("input_rows"))
-    if not strict:
+    else:
         rows, _ = split_valid(rows, source)
     fields = [c for c in S.FIELDS[source] if c != "source_key"]
     last = (rows.groupBy("source_key")
-                .agg(F.max_by(F.struct(*fields), F.col("ordinal")).alias("_row"),
+                .agg(F.max_by(F.struct(*fields), F.struct("ordinal", F.xxhash64(*fields))).alias("_row"),
                      F.min("ordinal").alias("_first")))
     last = last.select("source_key", "_first", *[F.col(f"_row.{c}").alias(c) for c in fields])
+    fresh = last.select("source_key", "_first").join(target.select("source_key"), "source_key", "left_anti")
+    fresh = with_position(fresh, [F.col("_first"), F.col("source_key")], "_place").select("source_key", "_place")
+    last = last.join(fresh, "source_key", "left")
 
     t = target.select([F.col(c).alias(f"_t_{c}") for c in target.columns])
     joined = t.join(last, t["_t_source_key"] == last["source_key"], "full_outer")
-
-    max_id = target.select(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    new_first = batch.select(F.min("ordinal")).scalar()
+    top = target.select(F.coalesce(F.max("id"), F.lit(0))).scalar() if max_id is None else F.lit(max_id)
     ts = F.lit(batch_time).cast(S.STORED_TYPES[source]["created_at"])
     in_batch = F.col("source_key").isNotNull()
     in_target = F.col("_t_source_key").isNotNull()
 
-    out = [F.when(in_target, F.col("_t_id"))
-            .otherwise(max_id + 1 + F.col("_first") - new_first).cast("bigint").alias("id"),
+    out = [F.coalesce(F.col("_t_id"), top + F.col("_place")).cast("bigint").alias("id"),
            F.coalesce(F.col("_t_source_key"), F.col("source_key")).alias("source_key")]
     for c in fields:
         dtype = S.STORED_TYPES[source][c]
@@ -139,48 +140,98 @@ def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.date
 
 
 class SnapshotTable:
-    """A stored table as immutable, versioned Parquet snapshots."""
+    """A stored table: bucket folders of Parquet files and numbered commit records."""
 
-    def __init__(self, spark: SparkSession, root: str, source: str):
+    def __init__(self, spark: SparkSession, root: str, source: str, buckets: int = 64):
         if source not in S.STORED_TYPES:
             raise ValueError("table not allowed")
-        self.spark, self.root, self.source = spark, root.rstrip("/"), source
+        self.spark, self.root, self.source, self.buckets = spark, root.rstrip("/"), source, buckets
+
+    def _path(self, *parts: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
 
     def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
+        return self._path().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def versions(self) -> list[int]:
-        fs, jvm = self._fs()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        if not fs.exists(root):
+    def _numbers(self) -> list[int]:
+        fs, folder = self._fs(), self._path("_commits")
+        if not fs.exists(folder):
             return []
-        out = []
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            if name.startswith("v=") and name[2:].isdigit():
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                    out.append(int(name[2:]))
-        return sorted(out)
+        return sorted(int(name[:-5]) for s in fs.listStatus(folder) if (name := s.getPath().getName()).endswith(".json"))
+
+    def _record(self, number: int) -> dict | None:
+        """A commit record; ``None`` for one whose writer died before its end."""
+        text = self.spark.read.text(f"{self.root}/_commits/{number:08d}.json", wholetext=True).first()
+        try:
+            return json.loads(text[0]) if text else None
+        except ValueError:
+            return None
+
+    def latest(self) -> dict:
+        for number in reversed(self._numbers()):
+            record = self._record(number)
+            if record:
+                return record
+        return {"version": 0, "buckets": {}, "n_buckets": self.buckets, "max_id": 0, "batch_id": None}
 
-    def read(self) -> DataFrame:
-        versions = self.versions()
-        if not versions:
+    def versions(self) -> list[int]:
+        return [n for n in self._numbers() if self._record(n)]
+
+    def _load(self, record: dict, only: list[int] | None = None) -> DataFrame:
+        paths = [f"{folder}/bucket={b}" for b, folder in record["buckets"].items() if only is None or int(b) in only]
+        if not paths:
             return empty_table(self.spark, self.source)
-        return self.spark.read.parquet(f"{self.root}/v={versions[-1]}")
+        return self.spark.read.schema(empty_table(self.spark, self.source).schema).parquet(*paths)
 
-    def upsert(self, batch: DataFrame, batch_time: _dt.datetime | None = None, strict: bool = True) -> int:
-        """Merge ``batch`` and commit the next version; returns the number of
-        input rows (0 for an empty batch, nothing written).  ``strict=False``
-        leaves rows that break an integrity rule out instead of failing."""
-        if batch.isEmpty():
+    def read(self) -> DataFrame:
+        return self._load(self.latest())
+
+    def rejected(self) -> DataFrame | None:
+        """Rows that lenient upserts left out, with the rules they break."""
+        folders = [r["rejected"] for n in self._numbers() if (r := self._record(n)) and r.get("rejected")]
+        return self.spark.read.parquet(*folders) if folders else None
+
+    def upsert(self, batch: DataFrame, batch_time: _dt.datetime | None = None, strict: bool = True,
+               batch_id: int | None = None) -> int:
+        """Merge ``batch`` and commit; returns the number of rows merged.
+
+        ``strict=False`` stores rows that break an integrity rule beside the
+        commit (``rejected``) instead of failing.  A ``batch_id`` not above the
+        last committed one has been merged before: nothing happens.  An empty
+        batch without id commits nothing.
+        """
+        latest = self.latest()
+        if batch_id is not None and latest["batch_id"] is not None and batch_id <= latest["batch_id"]:
+            return 0
+        bucket = F.pmod(F.xxhash64("source_key"), F.lit(latest["n_buckets"])).cast("int").alias("bucket")
+        rows = materialize(normalize_records(batch, self.source), "batch")
+        if strict:
+            assert_valid(rows, self.source)
+        valid, bad = split_valid(rows, self.source)
+        touched = sorted(r["bucket"] for r in valid.select(bucket).distinct().collect())
+        n_bad = 0 if strict else bad.count()
+        if not touched and not n_bad and batch_id is None:
             return 0
-        from pyspark.sql import Observation
-        batch_time = batch_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        versions = self.versions()
-        nxt = (versions[-1] + 1) if versions else 1
-        obs = Observation(f"upsert_{self.source}_{nxt}")
-        snapshot = merge(self.read(), batch, self.source, batch_time, strict=strict, observation=obs)
-        snapshot.write.mode("errorifexists").parquet(f"{self.root}/v={nxt}")
-        return int(obs.get.get("input_rows", 0))
+        folder = f"{self.root}/data/{uuid.uuid4().hex}"
+        record = dict(latest, rejected=None)
+        if n_bad:
+            record["rejected"] = f"{folder}/rejected"
+            bad.write.parquet(record["rejected"])
+        if touched:
+            batch_time = batch_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+            merged = merge(self._load(latest, touched), valid, self.source, batch_time, strict=False, normalized=True,
+                           max_id=latest["max_id"])
+            merged.withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").parquet(f"{folder}/rows")
+            top = self.spark.read.parquet(f"{folder}/rows").agg(F.max("id")).first()[0]
+            record["max_id"] = max(latest["max_id"], top or 0)
+            record["buckets"] = {**latest["buckets"], **{str(b): f"{folder}/rows" for b in touched}}
+        record["batch_id"] = latest["batch_id"] if batch_id is None else batch_id
+        self._commit(record)
+        return valid.count()
+
+    def _commit(self, record: dict) -> None:
+        """Write the next record; creating it fails if another writer has taken its number."""
+        number = max([0, *self._numbers()]) + 1
+        stream = self._fs().create(self._path("_commits", f"{number:08d}.json"), False)
+        stream.write(bytearray(json.dumps({**record, "version": number}).encode()))
+        stream.close()

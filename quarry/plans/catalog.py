@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from . import bindings as B
 from . import oracle as O
 
@@ -253,6 +254,20 @@ def h12_source_key(spark, d):
     return raw.select("ordinal", book_source_key(raw).alias("source_key"))
 
 
+def _car_key_sql(raw: str) -> str:
+    url, t = O.storage_text("url"), O.storage_text
+    key = (f"CASE WHEN {url} IS NOT NULL THEN {O.canonical_key(O.q('car-url'), url)} ELSE "
+           f"{O.canonical_key(O.q('car'), t('brand'), 'model', 'year', 'price', 'mileage', 'region')} END")
+    return f"SELECT ordinal, {key} AS source_key FROM ({raw}) r"
+
+
+@register("h12_car_key", _car_key_sql(RAW_CARS_SQL))
+def h12_car_key(spark, d):
+    from ..functions.keys import car_source_key
+    raw = B.raw_cars(spark, d)
+    return raw.select("ordinal", car_source_key(raw).alias("source_key"))
+
+
 @register("h13_availability", f"""
 SELECT ordinal, {O.availability('a', O.fold_text('a'))} AS availability
 FROM (SELECT ordinal, {O.clean_text('availability')} AS a FROM ({RAW_BOOKS_SQL}) r) t""")
@@ -386,7 +401,7 @@ def h19_vehicle_heading(spark, d):
 SELECT p_partkey, format('{:,.2f} £', p_retailprice) AS price_label,
        format('{:,.0f} FCFA', p_retailprice * 1000) AS cfa_label,
        format('{:,.0f} km', CAST(p_size AS DOUBLE) * 1234.5) AS km_label,
-       format('{:,.1f}', CAST(p_size AS DOUBLE) / 4) AS reviews_label
+       format('{:.1f}', p_retailprice * 4 + 0.03) AS reviews_label
 FROM part""")
 def h20_kpi_format(spark, d):
     from ..functions.fmt import kilometres, money, one_decimal
@@ -394,7 +409,7 @@ def h20_kpi_format(spark, d):
     return p.select("p_partkey", money("p_retailprice").alias("price_label"),
                     money(F.col("p_retailprice") * 1000, "FCFA", 0).alias("cfa_label"),
                     kilometres(F.col("p_size").cast("double") * 1234.5).alias("km_label"),
-                    one_decimal(F.col("p_size").cast("double") / 4).alias("reviews_label"))
+                    one_decimal(F.col("p_retailprice") * 4 + 0.03).alias("reviews_label"))
 
 
 @register("h21_file_size", """
@@ -525,8 +540,26 @@ def b7_dashboard_filter(spark, d):
     from ..operators.filters import analysis_category, dashboard_filter
     df = _clean_books(spark, d)
     df = df.withColumn("analysis_category", analysis_category(df))
-    out = dashboard_filter(df, ["analysis_category", "availability", "rating"])
-    return out.select("ordinal", "analysis_category", "availability", "rating")
+    df = materialize(df.select("ordinal", "analysis_category", "availability", "rating"), "b7")
+    return dashboard_filter(df, ["analysis_category", "availability", "rating"])
+
+
+@register("b7_many_options", """
+SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders
+WHERE o_custkey IN (SELECT CAST(i * 3 AS INTEGER) FROM range(1, 1801) t(i)) AND o_orderpriority IN ('1-URGENT', '5-LOW')""")
+def b7_many_options(spark, d):
+    from ..operators.filters import dashboard_filter
+    chosen = {"o_custkey": [float(i * 3) for i in range(1, 1801)], "o_orderpriority": ["1-URGENT", "5-LOW"]}
+    return dashboard_filter(B.load(spark, d, "orders"), list(chosen), chosen).select("o_orderkey", "o_totalprice", "o_orderpriority")
+
+
+@register("b6_filter_cars", f"""
+SELECT ordinal, brand, year, region FROM ({CLEAN_CARS_SQL}) c
+WHERE brand IN ('BMW', 'Toyota', 'Peugeot') AND year IN (1990, 1992, 2000, 2004, 2010)""")
+def b6_filter_cars(spark, d):
+    from ..operators.filters import filter_cars
+    out = filter_cars(_clean_cars(spark, d), brands=["BMW", "Toyota", "Peugeot"], years=[1990, 1992, 2000, 2004, 2010], regions=None)
+    return out.select("ordinal", "brand", "year", "region")
 
 
 @register("b8_drop_nulls", f"""
@@ -567,6 +600,15 @@ def b10_violations(spark, d):
     return violations(rows, "cars").select("ordinal", F.array_join("violations", ",").alias("violations"))
 
 
+@register("b10_unique_keys", f"""
+SELECT source_key, CAST(count(*) AS BIGINT) AS n_rows FROM ({_book_key_sql(RAW_BOOKS_SQL)}) k GROUP BY 1 HAVING count(*) > 1""")
+def b10_unique_keys(spark, d):
+    from ..functions.keys import book_source_key
+    from ..operators.constraints import repeated_keys
+    raw = B.raw_books(spark, d)
+    return repeated_keys(raw.select(book_source_key(raw).alias("source_key")), "source_key")
+
+
 @register("b11_analysis_category", f"""
 SELECT ordinal, coalesce(category, product_type) AS analysis_category FROM ({CLEAN_BOOKS_SQL}) c""")
 def b11_analysis_category(spark, d):
@@ -705,11 +747,10 @@ SELECT value, count, CAST(row_number() OVER (ORDER BY count DESC, value) AS INTE
   (SELECT coalesce(o_orderpriority, 'Non renseigné') AS value, CAST(count(*) AS BIGINT) AS count FROM orders GROUP BY 1) c""")
 def f2_sorted_counts(spark, d):
     from ..operators.aggregates import value_counts
-    from pyspark.sql import Window
+    from ..operators.ordering import with_position
     counts = value_counts(B.load(spark, d, "orders"), "o_orderpriority")
-    # the count table has one row per distinct key: a global window over it is small
-    w = Window.orderBy(F.desc("count"), F.asc("value"))
-    return counts.withColumn("position", F.row_number().over(w))
+    out = with_position(counts, [F.desc("count"), F.asc("value")], "position")
+    return out.withColumn("position", F.col("position").cast("int"))
 
 
 # --- E / D12 / D13: order-dependent operators -----------------------------------
@@ -744,7 +785,8 @@ def e2_dedup_raw(spark, d):
 
 
 CONV_PAGES = """
-SELECT conv_id AS crawl_id, CAST(turn + 1 AS BIGINT) AS page, substr(md5(text), 1, 1) AS signature,
+SELECT conv_id AS crawl_id, CAST(turn + 1 AS BIGINT) AS page,
+       md5(CASE WHEN (conv_id + turn) % 5 IN (1, 4) THEN 'the same cards in crawl ' || CAST(conv_id AS STRING) ELSE text END) AS signature,
        length(text) < 60 AS empty, length(text) % 7 <> 0 AS has_next, false AS failed
 FROM {conversations}
 """
@@ -778,15 +820,19 @@ SELECT r.crawl_id, r.page FROM rep r JOIN stop s ON r.crawl_id = s.crawl_id
 WHERE (s.first_bad IS NULL OR r.page < s.first_bad){keep_extra}"""
 
 
-def _crawl(spark, d, mode):
-    from ..operators.crawl import crawl_prefix, expected_pages, repeated_pages
-    captured = B.bind(spark, d, CONV_PAGES, conversations="conversations").drop("failed")
-    pages = expected_pages(captured)
-    pages = pages.withColumn("failed", F.col("signature").isNull()) \
-                 .withColumn("empty", F.coalesce("empty", F.lit(False)))
+def _crawl(spark, d, mode, strict=False):
+    from ..operators.crawl import crawl_prefix, repeated_pages
+    pages = B.bind(spark, d, CONV_PAGES, conversations="conversations")
     if mode == "cars":
         pages = repeated_pages(pages, usable=~F.col("failed") & ~F.col("empty"))
-    return crawl_prefix(pages, mode=mode).select("crawl_id", "page")
+    return crawl_prefix(pages, mode=mode, strict=strict).select("crawl_id", "page")
+
+
+@register("e4_crawl_strict", f"""
+SELECT crawl_id, page FROM (SELECT *, coalesce(page > min(CASE WHEN NOT empty THEN page END)
+  OVER (PARTITION BY crawl_id, signature), false) AS repeated FROM ({CONV_PAGES_SQL}) c) r WHERE NOT empty AND NOT repeated""")
+def e4_crawl_strict(spark, d):
+    return _crawl(spark, d, "cars", strict=True)
 
 
 @register("e4_crawl_prefix", _crawl_sql("cars"))
@@ -875,20 +921,21 @@ def c1_enrich_listing(spark, d):
 ORDERS_BASE = """
 SELECT CAST(o_orderkey AS BIGINT) AS ordinal, 'order-' || CAST(o_orderkey AS STRING) AS source_key,
        o_totalprice AS price
-FROM {orders} WHERE o_orderdate < DATE '1996-01-01'
+FROM {orders}
 """
 ORDERS_BATCH = """
-SELECT CAST(o_orderkey AS BIGINT) AS ordinal, 'order-' || CAST(o_orderkey AS STRING) AS source_key,
+SELECT CAST(o_orderkey AS BIGINT) AS ordinal,
+       'order-' || CAST(o_orderkey * CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 3 END AS STRING) AS source_key,
        o_totalprice + 1 AS price
-FROM {orders} WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+FROM {orders}
 """
 
 
 @register("c2_upsert_match", f"""
 SELECT coalesce(t.source_key, b.source_key) AS source_key, t.source_key IS NOT NULL AS in_target,
        b.source_key IS NOT NULL AS in_batch
-FROM ({B.oracle(ORDERS_BASE, orders='orders')}) t
-FULL OUTER JOIN ({B.oracle(ORDERS_BATCH, orders='orders')}) b ON t.source_key = b.source_key""")
+FROM (SELECT DISTINCT source_key FROM ({B.oracle(ORDERS_BASE, orders='orders')}) x) t
+FULL OUTER JOIN (SELECT DISTINCT source_key FROM ({B.oracle(ORDERS_BATCH, orders='orders')}) y) b ON t.source_key = b.source_key""")
 def c2_upsert_match(spark, d):
     from ..operators.upsert import match_keys
     base = B.bind(spark, d, ORDERS_BASE, orders="orders")
@@ -927,13 +974,13 @@ BOOK_STORED = ("title", "price", "availability", "products_on_page", "rating", "
                "product_type", "category", "tax", "url", "source_page", "scraped_at")
 
 
-def _merge_sql(target: str, norm: str, raw: str, ts: _dt.datetime) -> str:
+def _merge_sql(target: str, norm: str, ts: _dt.datetime, stored: tuple[str, ...] = BOOK_STORED) -> str:
     tsl = f"TIMESTAMP '{ts.isoformat(sep=' ')}'"
-    fields = ", ".join(f"CASE WHEN b.source_key IS NOT NULL THEN b.{c} ELSE t.{c} END AS {c}" for c in BOOK_STORED)
+    fields = ", ".join(f"CASE WHEN b.source_key IS NOT NULL THEN b.{c} ELSE t.{c} END AS {c}" for c in stored)
     return f"""
 SELECT CAST(CASE WHEN t.source_key IS NOT NULL THEN t.id
-            ELSE (SELECT coalesce(max(id), 0) FROM ({target}) m) + 1 + b.first_ord
-                 - (SELECT min(ordinal) FROM ({raw}) rb) END AS BIGINT) AS id,
+            ELSE (SELECT coalesce(max(id), 0) FROM ({target}) m)
+                 + row_number() OVER (PARTITION BY t.source_key IS NULL ORDER BY b.first_ord, b.source_key) END AS BIGINT) AS id,
        coalesce(t.source_key, b.source_key) AS source_key, {fields},
        CASE WHEN t.source_key IS NOT NULL THEN t.created_at ELSE {tsl} END AS created_at,
        CASE WHEN b.source_key IS NOT NULL THEN {tsl} ELSE t.updated_at END AS updated_at
@@ -948,24 +995,78 @@ _EMPTY_BOOKS = ("SELECT CAST(NULL AS BIGINT) AS id, CAST(NULL AS VARCHAR) AS sou
                 + ", CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at WHERE false")
 _U1_B1 = f"SELECT * FROM ({RAW_BOOKS_SQL}) r WHERE products_on_page <= 25"
 _U1_B2 = RAW_BOOKS_V2.format(raw=RAW_BOOKS_SQL)
-_U1_SQL = _merge_sql(_merge_sql(_EMPTY_BOOKS, _book_norm_sql(_U1_B1), _U1_B1, T0), _book_norm_sql(_U1_B2), _U1_B2, T1)
+_U1_SQL = _merge_sql(_merge_sql(_EMPTY_BOOKS, _book_norm_sql(_U1_B1), T0), _book_norm_sql(_U1_B2), T1)
 
 
 @register("u1_upsert", "SELECT id, source_key, title, price, availability, products_on_page, rating, review_count, "
           "description, product_type, category, tax, url, source_page, scraped_at, "
           f"created_at, updated_at FROM ({_U1_SQL}) u")
 def u1_upsert(spark, d):
-    """Two crawls upserted into a snapshot table: the first saw the small
-    ads, the second sees all of them with new prices."""
-    from ..operators.upsert import SnapshotTable
+    """Two crawls upserted into a stored table: the first saw the small ads
+    and keeps to the rules, the second sees all of them with new prices.  A
+    batch that breaks a rule is refused in between and leaves no trace."""
+    from ..operators.constraints import split_valid
+    from ..operators.upsert import SnapshotTable, normalize_records
     from ..session import scratch_path
     raw = B.raw_books(spark, d)
     table = SnapshotTable(spark, scratch_path(spark, "u1"), "books")
-    table.upsert(raw.where(F.col("products_on_page") <= 25), T0, strict=False)
+    valid, _ = split_valid(normalize_records(raw.where(F.col("products_on_page") <= 25), "books"), "books")
+    table.upsert(valid, T0, strict=True)
+    try:
+        table.upsert(raw.withColumn("title", F.lit(" ")), T1, strict=True)
+        raise AssertionError("a batch without titles was stored")
+    except ValueError:
+        pass
     table.upsert(spark.sql(RAW_BOOKS_V2, raw=raw), T1, strict=False)
     return table.read()
 
 
+CAR_STORED = ("brand", "model", "year", "price", "mileage", "transmission", "region", "url", "source_page", "scraped_at")
+_EMPTY_CARS = ("SELECT CAST(NULL AS BIGINT) AS id, CAST(NULL AS VARCHAR) AS source_key, "
+               + ", ".join(f"CAST(NULL AS {'DOUBLE' if c in ('price', 'mileage') else 'BIGINT' if c in ('year', 'source_page') else 'VARCHAR'}) AS {c}" for c in CAR_STORED)
+               + ", CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at WHERE false")
+
+
+def _car_norm_sql(raw: str) -> str:
+    t, n = O.storage_text, O.storage_number
+    rows = (f"SELECT r.ordinal, k.source_key, {t('brand')} AS brand, {t('model')} AS model, TRY_CAST(trunc({n('year')}) AS BIGINT) AS year, "
+            f"{n('price')} AS price, {n('mileage')} AS mileage, {t('transmission')} AS transmission, {t('region')} AS region, {t('url')} AS url, "
+            f"CAST(source_page AS BIGINT) AS source_page, CAST(NULL AS VARCHAR) AS scraped_at "
+            f"FROM ({raw}) r JOIN ({_car_key_sql(raw)}) k ON r.ordinal = k.ordinal")
+    valid = ("brand IS NOT NULL AND length(trim(brand)) > 0 AND coalesce(year BETWEEN 1886 AND 2100, true) AND coalesce(price >= 0, true) "
+             "AND coalesce(mileage >= 0, true) AND coalesce(source_page >= 1, true)")
+    return f"SELECT * FROM ({rows}) v WHERE {valid}"
+
+
+_CARS_B1 = f"SELECT * FROM ({RAW_CARS_SQL}) r WHERE ordinal % 3 <> 0"
+RAW_CARS_V2 = "SELECT * FROM (SELECT ordinal, brand, model, year, mileage AS price, mileage, transmission, region, url, source_page FROM ({raw}) r) x"
+
+
+@register("u1_upsert_cars", "SELECT id, source_key, " + ", ".join(CAR_STORED) + ", created_at, updated_at FROM ("
+          + _merge_sql(_merge_sql(_EMPTY_CARS, _car_norm_sql(_CARS_B1), T0, CAR_STORED),
+                       _car_norm_sql(RAW_CARS_V2.format(raw=RAW_CARS_SQL)), T1, CAR_STORED) + ") u")
+def u1_upsert_cars(spark, d):
+    from ..operators.upsert import SnapshotTable
+    from ..session import scratch_path
+    raw = B.raw_cars(spark, d)
+    table = SnapshotTable(spark, scratch_path(spark, "u1-cars"), "cars")
+    table.upsert(raw.where("ordinal % 3 <> 0"), T0, strict=False)
+    table.upsert(spark.sql(RAW_CARS_V2, raw=raw), T1, strict=False)
+    return table.read()
+
+
+@register("u1_unique_ids", f"""
+SELECT CAST(count(DISTINCT source_key) AS BIGINT) AS n_rows, CAST(count(DISTINCT source_key) AS BIGINT) AS n_ids,
+       CAST(count(DISTINCT source_key) AS BIGINT) AS max_id FROM ({_book_norm_sql(RAW_BOOKS_SQL)}) n""")
+def u1_unique_ids(spark, d):
+    """Ids stay unique and dense when many rows of a batch share their place in the order."""
+    from ..operators.upsert import SnapshotTable
+    from ..session import scratch_path
+    table = SnapshotTable(spark, scratch_path(spark, "u1-ids"), "books")
+    table.upsert(B.raw_books(spark, d).withColumn("ordinal", F.col("ordinal") % 7), T0, strict=False)
+    return table.read().agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.max("id").alias("max_id"))
+
+
 # --- A: sources and sinks ----------------------------------------------------------
 
 @register("a1_list_files", None)
@@ -1004,21 +1105,22 @@ def a3_csv_fallback(spark, d):
 
 @register("a4_json_auto", """
 SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice,
-       CAST(NULL AS BIGINT) AS n_nationkey, CAST(NULL AS VARCHAR) AS n_name FROM part
+       CAST(NULL AS BIGINT) AS s_suppkey, CAST(NULL AS VARCHAR) AS s_name FROM part
 UNION ALL
-SELECT NULL, NULL, NULL, NULL, NULL, NULL, CAST(n_nationkey AS BIGINT), n_name FROM nation""")
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, CAST(s_suppkey AS BIGINT), s_name FROM supplier""")
 def a4_json_auto(spark, d):
+    """One folder of JSON lines (part) and array documents (supplier, an array
+    per nation) that begin with long blanks."""
     from ..session import scratch_path
     from ..sources.files import read_json
     root = scratch_path(spark, "a4")
-    B.load(spark, d, "part").write.json(f"{root}/part_lines")
-    # nation (a fixed 25 rows) as one JSON *array* document, built on Spark
-    (B.load(spark, d, "nation")
-      .agg(F.to_json(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("value"))
-      .coalesce(1).write.text(f"{root}/nation_array"))
-    out = read_json(spark, [f"{root}/part_lines", f"{root}/nation_array"])
-    return out.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice",
-                      "n_nationkey", "n_name")
+    B.load(spark, d, "part").write.json(f"{root}/all")
+    arrays = B.load(spark, d, "supplier").groupBy("s_nationkey").agg(F.to_json(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("value"))
+    (arrays.select(F.concat(F.lit("\n" + " " * 400), "value").alias("value"), "s_nationkey").repartition("s_nationkey")
+     .write.partitionBy("s_nationkey").text(f"{root}/arrays"))
+    files = spark.read.text(f"{root}/arrays/*").select("_metadata.file_path").distinct()
+    out = read_json(spark, [f"{root}/all", *[r[0] for r in files.collect()]])
+    return out.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice", "s_suppkey", "s_name")
 
 
 @register("a5_read_parquet", "SELECT * FROM region")
@@ -1056,10 +1158,57 @@ def a8_source_preference(spark, d):
     return frame.withColumn("origin", F.lit(origin))
 
 
-@register("a9_inline_records", "SELECT * FROM part")
+@register("a8_load_cleaned", f"SELECT ordinal, title, price, url, 'books_cleaned_new.csv' AS origin FROM ({CLEAN_BOOKS_SQL}) c")
+def a8_load_cleaned(spark, d):
+    """The stored table is empty, so the newest cleaned export is read."""
+    from ..operators.upsert import empty_table
+    from ..session import scratch_path
+    from ..sources.files import load_cleaned
+    from ..sources.sinks import write_csv
+    root = scratch_path(spark, "a8")
+    write_csv(_clean_books(spark, d), f"{root}/books_cleaned_new.csv")
+    write_csv(_clean_cars(spark, d), f"{root}/cars_cleaned.csv")
+    frame, origin = load_cleaned(spark, empty_table(spark, "books"), root, "books")
+    return frame.select(F.col("ordinal").cast("bigint").alias("ordinal"), F.col("title").cast("string").alias("title"),
+                        F.col("price").cast("double").alias("price"), "url", F.lit(origin).alias("origin"))
+
+
+@register("a9_inline_records", "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey, "
+          "CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS BIGINT) AS ordinal FROM nation")
 def a9_inline_records(spark, d):
+    """Records (mappings) of the smallest table; data sets are no case for inline records."""
     from ..sources.inline import as_frame
-    return as_frame(spark, B.load(spark, d, "part"))
+    return as_frame(spark, [r.asDict() for r in B.load(spark, d, "nation").orderBy("n_nationkey").collect()])
+
+
+def _bundle_sql(counts: str, column: str, dataset: str) -> str:
+    return f"SELECT '{dataset}' AS dataset, coalesce(CAST({column} AS VARCHAR), 'Non renseigné') AS value, CAST(count(*) AS BIGINT) AS count FROM ({counts}) x GROUP BY ALL"
+
+
+_DASH_BOOKS_SQL = f"""SELECT * FROM (SELECT *, coalesce(category, product_type) AS analysis_category FROM ({CLEAN_BOOKS_SQL}) c) x
+WHERE analysis_category IS NOT NULL AND availability IS NOT NULL AND rating IS NOT NULL"""
+_DASH_CARS_SQL = f"SELECT * FROM ({CLEAN_CARS_SQL}) c WHERE brand IS NOT NULL AND year IS NOT NULL AND region IS NOT NULL AND transmission IS NOT NULL"
+
+
+def _counts_of(bundle, names: dict):
+    from functools import reduce
+    parts = [bundle[n].select(F.lit(n).alias("dataset"), F.col(c).cast("string").alias("value"), F.col("count").cast("bigint").alias("count"))
+             for n, c in names.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("dash_books", " UNION ALL ".join([_bundle_sql(_DASH_BOOKS_SQL, "analysis_category", "category_counts"),
+                                            _bundle_sql(_DASH_BOOKS_SQL, "availability", "availability_shares")]))
+def dash_books(spark, d):
+    from .dashboard import books_bundle
+    return _counts_of(books_bundle(_clean_books(spark, d)), {"category_counts": "value", "availability_shares": "value"})
+
+
+@register("dash_cars", " UNION ALL ".join([_bundle_sql(_DASH_CARS_SQL, "year", "year_counts"),
+                                           _bundle_sql(_DASH_CARS_SQL, "transmission", "transmission_shares")]))
+def dash_cars(spark, d):
+    from .dashboard import cars_bundle
+    return _counts_of(cars_bundle(_clean_cars(spark, d)), {"year_counts": "key", "transmission_shares": "value"})
 
 
 @register("a10_table_scan", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
@@ -1271,7 +1420,7 @@ def _stream_sql() -> str:
             for i, c in enumerate(conds)]
     target = _EMPTY_BOOKS
     for i in range(len(conds)):
-        ctes.append(f"s{i} AS ({_merge_sql(target, _book_norm_sql(f'SELECT * FROM c{i}'), f'SELECT * FROM c{i}', BATCH_TIME + _dt.timedelta(hours=i))})")
+        ctes.append(f"s{i} AS ({_merge_sql(target, _book_norm_sql(f'SELECT * FROM c{i}'), BATCH_TIME + _dt.timedelta(hours=i))})")
         target = f"SELECT * FROM s{i}"
     cols = ("id, source_key, title, price, availability, products_on_page, rating, review_count, description, "
             "product_type, category, tax, url, source_page, scraped_at, created_at, updated_at")

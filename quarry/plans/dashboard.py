@@ -3,16 +3,16 @@
 One call builds every dataset the two dashboards show from the stored or
 cleaned table: numeric coercion (H7), derived category (B11), default
 filters (B7), KPIs (D2/D3), counts (D4/D6/D7), histograms (D8), box
-statistics (D9), shares (D10) and the scatter extract (D11).  The filtered
-frame is persisted once because all datasets read it; call ``release`` when
-the bundle is no longer needed.
+statistics (D9), shares (D10) and the scatter extract (D11).  The prepared
+table is written once to the shared folder because all datasets read it; the
+filters are predicates on its scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
@@ -20,6 +20,7 @@ from ..functions.numbers import coerce_numeric, is_numeric_type
 from ..operators import aggregates as A
 from ..operators.columns import ensure_columns
 from ..operators.filters import analysis_category, dashboard_filter, drop_null
+from ..session import materialize
 
 
 def _coerce(df: DataFrame, columns) -> DataFrame:
@@ -34,8 +35,8 @@ def books_bundle(stored: DataFrame, selections: Mapping | None = None) -> dict[s
     df = ensure_columns(_coerce(stored, ("price", "rating", "review_count")),
                         ("category", "product_type", "availability"))
     df = df.withColumn("analysis_category", analysis_category(df))
+    df = materialize(df, "dashboard")
     filtered = dashboard_filter(df, ["analysis_category", "availability", "rating"], selections)
-    filtered = filtered.persist(StorageLevel.MEMORY_AND_DISK)
     return {
         "filtered": filtered,
         "kpis": A.book_metrics(filtered),
@@ -48,8 +49,8 @@ def books_bundle(stored: DataFrame, selections: Mapping | None = None) -> dict[s
 
 def cars_bundle(stored: DataFrame, selections: Mapping | None = None) -> dict[str, DataFrame]:
     df = ensure_columns(_coerce(stored, ("year", "price", "mileage")), ("brand", "region", "transmission"))
+    df = materialize(df, "dashboard")
     filtered = dashboard_filter(df, ["brand", "year", "region", "transmission"], selections)
-    filtered = filtered.persist(StorageLevel.MEMORY_AND_DISK)
     return {
         "filtered": filtered,
         "kpis": A.car_metrics(filtered),
@@ -61,5 +62,8 @@ def cars_bundle(stored: DataFrame, selections: Mapping | None = None) -> dict[st
     }
 
 
-def release(bundle: Mapping[str, DataFrame]) -> None:
-    bundle["filtered"].unpersist()
+def as_rows(bundle: Mapping[str, DataFrame]) -> DataFrame:
+    """The bundle's summaries (all but the filtered table) as one table: dataset and its rows as JSON."""
+    parts = [df.select(F.lit(name).alias("dataset"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
+             for name, df in bundle.items() if name != "filtered"]
+    return reduce(DataFrame.unionByName, parts)

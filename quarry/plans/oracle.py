@@ -235,8 +235,8 @@ def strip(x: str) -> str:
 
 def dedup_first_sql(rows: str, fallback: list[tuple[str, str]], cols: list[str]) -> str:
     """E1 over ``rows``: keep-first per key (url casefold, else folded fields)."""
-    url_key = f"lower({strip('CAST(url AS VARCHAR)')})"
-    parts = ", ".join(f"coalesce(lower({strip(py_str(c, k))}), '')" for c, k in fallback)
+    url_key = f"replace(lower({strip('CAST(url AS VARCHAR)')}), 'ß', 'ss')"
+    parts = ", ".join(f"coalesce(replace(lower({strip(py_str(c, k))}), 'ß', 'ss'), '')" for c, k in fallback)
     key = (f"CASE WHEN coalesce({url_key} <> '', false) THEN 'url' || chr(31) || {url_key} "
            f"ELSE 'fallback' || chr(31) || concat_ws(chr(30), {parts}) END")
     return (f"SELECT {', '.join(cols)} FROM (SELECT *, row_number() OVER "

@@ -31,15 +31,13 @@ from ..operators.dedup import dedup_first, dedup_raw
 from ..operators.enrich import enrich_listing
 from ..operators.extract import (BOOK_CARD_SPEC, CAR_CARD_SPEC, COUNT, Field, Spec, book_details, extract,
                                  extract_nested)
+from ..operators.ordering import with_position
 from ..operators.upsert import SnapshotTable
 from ..session import materialize
 from ..sources.inline import one_row
 from ..sources.sinks import write_csv
 from .clean import clean_books, clean_cars
 
-# cards per page are bounded by this in the ordinal (page * CARD_SLOTS + position)
-CARD_SLOTS = 1_000_000
-
 
 def validate(source: str, max_pages: int) -> None:
     if source not in S.MAX_PAGES:
@@ -66,15 +64,15 @@ def parse_listing_pages(pages: DataFrame, card_spec: Spec, next_selectors: tuple
 
 def crawl_pages(parsed: DataFrame, cards: DataFrame, source: str, max_pages: int,
                 strict_pages: bool) -> tuple[DataFrame, DataFrame]:
-    """(page grid with flags, pages the sequential crawler keeps) (E3 + E4).
+    """(captured pages with flags, pages the sequential crawler keeps) (E3 + E4).
 
-    Page numbers 1..max_pages are expected for every crawl; a page absent
-    from the captured table, or captured but not ready, is a failed load.
+    A page absent from the captured table, or captured but not ready, is a
+    failed load.
     """
-    facts = parsed.select("crawl_id", "page", "ready", F.col("n_records").alias("n_cards"),
-                          *(["next_links"] if "next_links" in parsed.columns else []))
-    grid = C.expected_pages(facts, max_pages)
-    grid = grid.withColumn("failed", ~F.coalesce(F.col("ready"), F.lit(False))) \
+    grid = parsed.select("crawl_id", "page", "ready", F.col("n_records").alias("n_cards"),
+                         *(["next_links"] if "next_links" in parsed.columns else []))
+    grid = grid.where(F.col("page") <= max_pages) \
+               .withColumn("failed", ~F.coalesce(F.col("ready"), F.lit(False))) \
                .withColumn("empty", F.coalesce(F.col("n_cards"), F.lit(0)) == 0)
     if source == "books":
         grid = grid.withColumn("has_next", F.coalesce(F.col("next_links"), F.lit(0)) > 0)
@@ -103,10 +101,12 @@ def run_source(spark: SparkSession, source: str, listing_pages: DataFrame, *, ma
     cards = parsed.select("crawl_id", "page", F.col("url").alias("page_url"), "n_records",
                           F.explode("records").alias("_r")).select("*", "_r.*").drop("_r")
     grid, kept = crawl_pages(parsed, cards, source, max_pages, strict_pages)
-    if not C.first_page_failed(grid).isEmpty():
+    crawls = grid.select("crawl_id").distinct()
+    if crawls.join(C.first_page_failed(grid), "crawl_id", "left_anti").isEmpty():
         raise ValueError("first listing page could not be loaded")
     cards = cards.join(kept.select("crawl_id", "page"), on=["crawl_id", "page"], how="left_semi")
-    cards = cards.withColumn("ordinal", F.col("page") * CARD_SLOTS + F.col("position"))
+    # crawl order: one place for every card, whatever the number of crawls, pages or cards
+    cards = with_position(cards, [F.col("crawl_id"), F.col("page"), F.col("position")], "ordinal")
     cards = cards.withColumn("source_page", F.col("page").cast("bigint"))
 
     if source == "books":
@@ -128,8 +128,8 @@ def run_source(spark: SparkSession, source: str, listing_pages: DataFrame, *, ma
             details = (book_details(detail_pages.select("url", "html").withColumn("page_id", F.lit(0)),
                                     ("page_id", "url")) if detail_spec is None
                        else extract(detail_pages, detail_spec, ("url",)))
-            details = details.withColumn("rating", F.col("rating").cast("string")) \
-                             .withColumn("ordinal", F.lit(0).cast("bigint"))
+            details = with_position(details.withColumn("rating", F.col("rating").cast("string")),
+                                    [F.col("url"), F.xxhash64("*")], "ordinal")
             raw = enrich_listing(raw.withColumn("rating", F.col("rating").cast("string")), details)
         raw = dedup_raw(raw, ("title", "price"))
         cleaned = clean_books(raw.drop("crawl_id"))

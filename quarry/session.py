@@ -8,8 +8,6 @@ the bench and local runs.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,62 +45,31 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
-
-    Read from ``spark.checkpoint.dir`` (the cluster names a shared folder
-    there).  Only when it is unset, as in unit tests, a private folder is
-    created and registered, so that later calls agree on it.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # pragma: no cover - py4j returns None on some paths
-            root = None
+    """Shared folder for checkpoints and intermediate tables, as the session
+    names it in ``spark.checkpoint.dir`` (or by ``setCheckpointDir``).  There is
+    no fallback: a folder that only one machine sees would lose data."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return str(root).rstrip("/")
 
 
-def spread(df: DataFrame, min_bytes: int = 64 * 1024) -> DataFrame:
-    """At least one task per core for CPU-heavy row work (parsing, HTML).
-
-    A large input arrives in many scan partitions and passes through
-    untouched (no shuffle).  Only an input with fewer partitions than the
-    cluster's parallelism (a small file of one row group) is dealt
-    round-robin over the cores, which costs one shuffle of a small table;
-    inputs below ``min_bytes`` (plan statistics) are not worth a shuffle.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size < min_bytes:
-        return df
-    return df.repartition(want)
-
-
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage by writing ``df`` as a Parquet table in a fresh folder of
     the shared checkpoint root and reading it back.  Columnar and compressed,
     it is cheaper to write and to read twice than a row checkpoint, and it
-    survives the loss of any executor."""
+    survives the loss of any executor.  The folder goes when the application
+    ends."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused sub folder of the checkpoint root."""
-    return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str | None:
-    """Local filesystem path for ``file:`` or bare paths, else ``None``."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else os.path.abspath(path)
+    """A path, never used before, in a folder of the checkpoint root that is
+    deleted when the application ends."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return f"{folder.toString()}/data"

@@ -2,9 +2,8 @@
 
 File *listings* use the ``binaryFile`` source with the ``content`` column
 pruned, so only file-system metadata is read.  Format detection that needs
-bytes (CSV encoding, JSON array vs lines) is done by Spark jobs over the
-files themselves (CSV) or by peeking at the first bytes of each file through
-the Hadoop file system (JSON), never by loading a file on the driver.
+bytes (CSV encoding and headers, JSON array vs lines) is done by Spark jobs
+over the files themselves, never by loading a file on the driver.
 """
 
 from __future__ import annotations
@@ -12,13 +11,16 @@ from __future__ import annotations
 import fnmatch
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.fmt import date_label, file_size
+from ..session import materialize
 from .inline import empty_frame
+from .sinks import BOM, CSV_OPTIONS
 
 LISTING_SCHEMA = "path string, label string, suffix string, length bigint, modificationTime timestamp"
 
@@ -68,84 +70,112 @@ def _paths(spark: SparkSession, paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_csv(spark: SparkSession, paths, schema: T.StructType | str | None = None) -> DataFrame:
-    """A3: CSV with header and an encoding fallback per file.
+def _lines(spark: SparkSession, paths: list[str], **options) -> DataFrame:
+    """(file, at, value) for every line; ``at`` grows along each file."""
+    return spark.read.options(**options).text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), F.col("value"))
+
+
+def _typed(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Text columns as bigint, double or boolean where every value parses as such (one aggregate)."""
+    kinds = ("bigint", "double", "boolean")
+    if not names:
+        return df
+    tests = [F.struct(F.count(F.col(f"`{n}`")).alias("n"), *[F.count(F.col(f"`{n}`").try_cast(k)).alias(k) for k in kinds]).alias(n)
+             for n in names]
+    found = df.agg(*tests).first()
+    kind = {n: next((k for k in kinds if found[n]["n"] and found[n][k] == found[n]["n"]), "string") for n in names}
+    return df.select(*[F.col(f"`{c}`").cast(kind[c]).alias(c) if c in kind else F.col(f"`{c}`") for c in df.columns])
+
 
-    A file is read as UTF-8 (a leading BOM is dropped by the reader) unless
-    one of its lines is not valid UTF-8, in which case it is read as
-    ISO-8859-1, which accepts every byte.  The check is one distributed pass
-    over the lines (``is_valid_utf8``), grouped by file.
+def read_csv(spark: SparkSession, paths, schema: T.StructType | str | None = None) -> DataFrame:
+    """A3: CSV with header, each file by its own header, with an encoding
+    fallback per file.
+
+    A file is read as UTF-8 (a leading byte order mark is dropped) unless one
+    of its lines is not valid UTF-8, in which case it is read as ISO-8859-1,
+    which accepts every byte.  Quoted values may hold quotes (doubled),
+    separators and line feeds.  Files may differ in the order and number of
+    their columns: a column that a file lacks is NULL there.  Files without a
+    line give no rows; without any header the result has no columns but
+    ``_encoding`` (or those of ``schema``).
+
+    File facts (header, encoding) stay a distributed table, joined by file
+    where files differ; the driver sees the distinct headers alone.
     """
     paths = _paths(spark, paths)
-    if not paths:
-        return empty_frame(spark, schema or "value string")
-    probe = (spark.read.option("encoding", "UTF-8").text(paths)
-                  .select(F.col("_metadata.file_path").alias("file"), (~F.is_valid_utf8("value")).alias("bad"))
-                  .groupBy("file").agg(F.max("bad").alias("bad")))
-    decided = probe.collect()  # one row per file: file-system sized, not data sized
+    facts = None
+    if paths:
+        facts = materialize(_lines(spark, paths, encoding="UTF-8").groupBy("file").agg(
+            F.max(~F.is_valid_utf8("value")).alias("latin"), F.min_by("value", "at").alias("header")), "csv-files")
+        variants = [(r["header"], r["latin"]) for r in facts.select("header", "latin").distinct().collect()]
+    if not paths or not variants:
+        empty = empty_frame(spark, schema) if schema is not None else spark.range(0).select()
+        return empty.withColumn("_encoding", F.lit(None).cast("string"))
     frames = []
-    for encoding, flag in (("UTF-8", False), ("ISO-8859-1", True)):
-        chosen = [r["file"] for r in decided if bool(r["bad"]) == flag]
-        if not chosen:
-            continue
-        reader = spark.read.option("header", "true").option("encoding", encoding)
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
-        frames.append(reader.csv(chosen).withColumn("_encoding", F.lit(encoding)))
-    out = frames[0]
-    for other in frames[1:]:
-        out = out.unionByName(other, allowMissingColumns=True)
-    return out
-
-
-def _peek(spark: SparkSession, path: str, n: int = 256) -> bytes:
-    """First ``n`` bytes of a file through the Hadoop file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    target = p
-    if fs.getFileStatus(p).isDirectory():
-        for status in fs.listStatus(p):
-            name = status.getPath().getName()
-            if status.isFile() and not name.startswith(("_", ".")) and status.getLen() > 0:
-                target = status.getPath()
-                break
+    for latin in sorted({v[1] for v in variants}):
+        encoding = "ISO-8859-1" if latin else "UTF-8"
+        headers = sorted({h for h, x in variants if x == latin})
+        names = {h: _header_names(spark, h) for h in headers}
+        width = max(map(len, names.values()))
+        generic = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+        rows = (spark.read.schema(generic).options(header="true", encoding=encoding, multiLine="true", **CSV_OPTIONS)
+                .csv(paths).select("*", F.col("_metadata.file_path").alias("_file")))
+        if len(variants) > 1:
+            rows = rows.join(facts.where(F.col("latin") == F.lit(latin)).select(F.col("file").alias("_file"), "header"), "_file")
         else:
-            return b""
-    stream = fs.open(target)
-    try:
-        buf = bytearray()
-        while len(buf) < n:
-            b = stream.read()
-            if b < 0:
-                break
-            buf.append(b)
-        return bytes(buf)
-    finally:
-        stream.close()
+            rows = rows.withColumn("header", F.lit(headers[0]))
+        columns = dict.fromkeys(n for h in headers for n in names[h])
+        picked = []
+        for name in columns:
+            value = F.lit(None).cast("string")
+            for h in headers:
+                if name in names[h]:
+                    here = F.col(f"_c{len(names[h]) - 1 - names[h][::-1].index(name)}")
+                    value = here if len(headers) == 1 else F.when(F.col("header") == F.lit(h), here).otherwise(value)
+            picked.append(value.alias(name))
+        frames.append(rows.select(*picked, F.lit(encoding).alias("_encoding")))
+    out = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
+    if schema is None:
+        return _typed(out, [c for c in out.columns if c != "_encoding"])
+    fields = (schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)).fields
+    return out.select(*[(F.col(f"`{f.name}`") if f.name in out.columns else F.lit(None)).try_cast(f.dataType).alias(f.name)
+                        for f in fields], "_encoding")
+
+
+def _header_names(spark: SparkSession, line: str) -> list[str]:
+    """Column names of a header line, parsed by the reader's own rules."""
+    parsed = spark.range(1).select(F.from_csv(F.lit(line.lstrip(BOM) + ","), ", ".join(f"_c{i} string" for i in range(line.count(",") + 2)),
+                                              CSV_OPTIONS).alias("h")).select("h.*").first()
+    names = [v for v in parsed]
+    while names and names[-1] is None:
+        names.pop()
+    return [n if n is not None else f"_c{i}" for i, n in enumerate(names)]
 
 
 def read_json(spark: SparkSession, paths, schema: T.StructType | str | None = None) -> DataFrame:
-    """A4: a JSON array document, else JSON lines, decided per file by its
-    first non-blank byte (``multiLine`` on JSON lines would silently keep only
-    the first object, and the line reader turns an array into corrupt
-    records)."""
-    arrays, lines = [], []
-    for path in _paths(spark, paths):
-        head = _peek(spark, path).lstrip(b"\xef\xbb\xbf \t\r\n")
-        (arrays if head.startswith(b"[") else lines).append(path)
+    """A4: a JSON array document, else JSON lines, decided for every file by
+    its first non-blank character, wherever that is (``multiLine`` on JSON
+    lines would silently keep only the first object, and the line reader turns
+    an array into corrupt records).  The test is a distributed pass over the
+    lines; only a mix of both kinds needs the list of files."""
+    paths = _paths(spark, paths)
+    kinds: dict[bool, list[str]] = {}
+    if paths:
+        solid = _lines(spark, paths).withColumn("value", F.regexp_replace("value", "^[\ufeff\\s]+", "")).where("value <> ''")
+        facts = materialize(solid.groupBy("file").agg(F.min_by(F.col("value").startswith("["), "at").alias("array")), "json-files")
+        found = [r["array"] for r in facts.select("array").distinct().collect()]
+        if len(found) == 1:
+            kinds[found[0]] = paths
+        for kind in found if len(found) > 1 else []:
+            kinds[kind] = [r["file"] for r in facts.where(F.col("array") == F.lit(kind)).select("file").collect()]
     frames = []
-    for chosen, multiline in ((arrays, True), (lines, False)):
-        if chosen:
-            reader = spark.read.option("multiLine", str(multiline).lower())
-            if schema is not None:
-                reader = reader.schema(schema)
-            frames.append(reader.json(chosen))
+    for array, chosen in sorted(kinds.items()):
+        reader = spark.read.option("multiLine", str(array).lower())
+        frames.append((reader.schema(schema) if schema is not None else reader).json(chosen))
     if not frames:
         return empty_frame(spark, schema or "value string")
-    out = frames[0]
-    for other in frames[1:]:
-        out = out.unionByName(other, allowMissingColumns=True)
-    return out
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
 
 
 def read_parquet(spark: SparkSession, paths) -> DataFrame:

@@ -2,29 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 BOM = "\ufeff"
 
+#: One dialect for writing and reading: doubled quotes inside quotes, blanks kept.
+CSV_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", bom: bool = False,
+
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", bom: bool = True,
               encoding: str = "UTF-8") -> str:
     """Header row, no index.  The result is a directory of part files
-    written in parallel.  ``bom=True`` produces one spreadsheet-ready file
-    whose first header name starts with U+FEFF (single writer task: use it
-    for exports meant for people, not for data sets)."""
-    out = df
-    if bom:
-        first = df.columns[0]
-        out = df.withColumnRenamed(first, BOM + first).coalesce(1)
-    out.write.mode(mode).option("header", "true").option("encoding", encoding).csv(path)
-    return path
-
-
-def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    df.write.mode(mode).parquet(path)
+    written in parallel, each a CSV of its own; in UTF-8 each starts with a
+    byte order mark, as spreadsheets want it."""
+    if bom and encoding.upper().replace("-", "") == "UTF8" and df.columns:
+        df = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
+    df.write.mode(mode).options(header="true", encoding=encoding, **CSV_OPTIONS).csv(path)
     return path
-
-
-def with_source_label(df: DataFrame, label: str, name: str = "origin") -> DataFrame:
-    return df.withColumn(name, F.lit(label))

@@ -4,18 +4,19 @@ Raw export files dropped into a folder are picked up by a file-source stream
 with an explicit schema, cleaned row by row (the stateless part of U2/U3)
 and appended to a Parquet staging folder with ``trigger(availableNow=True)``:
 every new file is processed exactly once, tracked by the stream checkpoint.
-The rows staged by a trigger are then de-duplicated (E1) and upserted (U1)
-into the snapshot table as one batch.
+The rows of each staged batch are then de-duplicated (E1) and upserted (U1)
+into the stored table.
 
 No ``foreachBatch`` callback is used (it needs a callback server in the
 Python process); the staging folder plays its role.  Re-running after a
-crash is safe: the stream resumes from its checkpoint and the upsert is
-idempotent by key.
+crash is safe at any point: the sink's commit log says what is staged, and
+the table's commits say up to which batch it is merged.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -29,14 +30,42 @@ from ..plans.clean import clean_books_rows, clean_cars_rows
 _FALLBACK = {"books": ("title", "price"), "cars": ("brand", "model", "year", "price", "mileage")}
 
 
-def _files(spark: SparkSession, root: str) -> set[str]:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
+_SINK_LOG = "_spark_metadata"
+
+
+def _log_names(spark: SparkSession, staging: str) -> dict[int, str]:
+    """Committed batches of the file sink: id -> name of its log file."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{staging}/{_SINK_LOG}")
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return set()
-    return {str(s.getPath().toString()) for s in fs.listStatus(path)
-            if s.isFile() and s.getPath().getName().endswith(".parquet")}
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return {int(n.removesuffix(".compact")): n for n in sorted(names) if n.removesuffix(".compact").isdigit()}
+
+
+def _logged(spark: SparkSession, staging: str, name: str) -> list[str]:
+    """Files that a log file adds (Spark's readers leave the log's folder out)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{staging}/{_SINK_LOG}/{name}")
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return [json.loads(line)["path"] for line in text.splitlines() if line.startswith("{")]
+
+
+def staged_batches(spark: SparkSession, staging: str, after: int) -> list[tuple[int, list[str]]]:
+    """Files of every committed batch above ``after``, in order, from the sink's
+    own log: files of failed attempts are not in it.  A compacted log file
+    holds all batches up to its id; what is not its own is subtracted."""
+    names = _log_names(spark, staging)
+    out = []
+    for batch in sorted(b for b in names if b > after):
+        files = _logged(spark, staging, names[batch])
+        if names[batch].endswith(".compact"):
+            earlier = {f for b in names if b < batch for f in _logged(spark, staging, names[b])}
+            files = [f for f in files if f not in earlier]
+        out.append((batch, files))
+    return out
 
 
 def stage(spark: SparkSession, source: str, raw_dir: str, schema: T.StructType, staging_dir: str,
@@ -65,27 +94,32 @@ def ingest(spark: SparkSession, source: str, raw_dir: str, schema: T.StructType,
            table_root: str, fmt: str = "parquet", batch_time: _dt.datetime | None = None,
            max_year: int | None = None, max_files_per_trigger: int | None = None,
            strict: bool = False) -> int:
-    """Ingest the files that arrived since the last call; returns the
-    number of rows offered to the upsert (0 when nothing new arrived).
-
-    Unattended ingestion defaults to lenient mode: rows breaking an
-    integrity rule are written to ``<work_dir>/quarantine`` with the rule
-    names instead of failing the whole drop (``strict=True`` fails it)."""
-    staging = f"{work_dir.rstrip('/')}/staging"
-    before = _files(spark, staging)
-    stage(spark, source, raw_dir, schema, staging, f"{work_dir.rstrip('/')}/checkpoint", fmt, max_year,
-          max_files_per_trigger)
-    new = sorted(_files(spark, staging) - before)
-    if not new:
-        return 0
-    staged = spark.read.schema(spark.read.parquet(staging).schema).parquet(*new)
-    cleaned = canonical_projection(dedup_clean(staged, _FALLBACK[source]), ("ordinal",) + S.COLUMNS[source])
-    if not strict:
-        from ..operators.constraints import split_valid
-        from ..operators.upsert import normalize_records
-        _, bad = split_valid(normalize_records(cleaned, source), source)
-        bad.write.mode("append").parquet(f"{work_dir.rstrip('/')}/quarantine")
-    return SnapshotTable(spark, table_root, source).upsert(cleaned, batch_time, strict=strict)
+    """Ingest the files that arrived and merge every staged batch that the
+    table has not merged yet; returns the number of rows merged.
+
+    The table stores the id of the last merged batch in the same commit as its
+    rows.  A crash after staging or before the commit is made good by the next
+    call; a batch is never merged twice.  Unattended ingestion is lenient: rows
+    breaking an integrity rule are stored beside the commit
+    (``SnapshotTable.rejected``); ``strict=True`` fails the batch instead."""
+    work = work_dir.rstrip("/")
+    stage(spark, source, raw_dir, schema, f"{work}/staging", f"{work}/checkpoint", fmt, max_year, max_files_per_trigger)
+    return merge_staged(spark, source, f"{work}/staging", table_root, batch_time, strict)
+
+
+def merge_staged(spark: SparkSession, source: str, staging: str, table_root: str,
+                 batch_time: _dt.datetime | None = None, strict: bool = False) -> int:
+    """Merge the staged batches above the table's last one, each in a commit of its own."""
+    table = SnapshotTable(spark, table_root, source)
+    last = table.latest()["batch_id"]
+    merged = 0
+    for batch, files in staged_batches(spark, staging, -1 if last is None else last):
+        if not files:
+            continue
+        staged = spark.read.schema(spark.read.parquet(files[0]).schema).parquet(*files)
+        cleaned = canonical_projection(dedup_clean(staged, _FALLBACK[source]), ("ordinal",) + S.COLUMNS[source])
+        merged += table.upsert(cleaned, batch_time, strict=strict, batch_id=batch)
+    return merged
 
 
 def batch_equivalent(raw: DataFrame, source: str, max_year: int | None = None) -> DataFrame:
@@ -93,11 +127,3 @@ def batch_equivalent(raw: DataFrame, source: str, max_year: int | None = None) -
     check stream == batch)."""
     rows = clean_books_rows(raw) if source == "books" else clean_cars_rows(raw, max_year)
     return canonical_projection(dedup_clean(rows, _FALLBACK[source]), ("ordinal",) + S.COLUMNS[source])
-
-
-def staged_rows(spark: SparkSession, work_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{work_dir.rstrip('/')}/staging")
-
-
-def with_batch_time(df: DataFrame, batch_time: _dt.datetime) -> DataFrame:
-    return df.withColumn("ingested_at", F.lit(batch_time))

@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
     spark = (SparkSession.builder.master("local[*]")
              .config("spark.sql.shuffle.partitions", "8")
@@ -16,6 +16,7 @@ def spark():
              .config("spark.sql.session.timeZone", "UTC")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield spark
 
 

@@ -149,3 +149,68 @@ def test_snapshot_table(spark, tmp_root):
     assert table.versions() == [1, 2]
     got = {r.title: r.price for r in table.read().collect()}
     assert got == {"A": 7.0, "B": 2.0}
+
+
+def test_upsert_ids_unique_with_tied_order(spark, tmp_root):
+    rows = [(n % 3, f"T{n}", "1", None, "c") for n in range(40)]
+    table = SnapshotTable(spark, f"{tmp_root}/t", "books", buckets=4)
+    table.upsert(_batch(spark, rows), dt.datetime(2026, 1, 1))
+    table.upsert(_batch(spark, [(0, f"U{n}", "1", None, "c") for n in range(5)]), dt.datetime(2026, 1, 2))
+    assert sorted(r.id for r in table.read().collect()) == list(range(1, 46))
+
+
+def test_upsert_survives_dead_attempts_and_rewrites_touched_buckets(spark, tmp_root):
+    table = SnapshotTable(spark, f"{tmp_root}/t", "books")
+    table.upsert(_batch(spark, [(n, f"T{n}", "1", None, "c") for n in range(30)]), dt.datetime(2026, 1, 1))
+    first = table.latest()
+    spark.range(3).write.parquet(f"{tmp_root}/t/data/dead/rows")          # a writer that died before its commit
+    with open(f"{tmp_root}/t/_commits/00000002.json", "w") as f:           # and one that died inside it
+        f.write('{"version": 2, "buck')
+    assert table.latest() == first
+    assert table.upsert(_batch(spark, [(0, "T3", "9", None, "c")]), dt.datetime(2026, 1, 2)) == 1
+    second = table.latest()
+    changed = [b for b in second["buckets"] if second["buckets"][b] != first["buckets"].get(b)]
+    assert len(changed) == 1 and table.versions() == [1, 3]
+    assert {r.title: r.price for r in table.read().collect()} == {f"T{n}": 9.0 if n == 3 else 1.0 for n in range(30)}
+
+
+def test_upsert_keeps_rejected_rows_beside_the_commit(spark, tmp_root):
+    table = SnapshotTable(spark, f"{tmp_root}/t", "books")
+    rows = _batch(spark, [(0, "A", "1", None, "c"), (1, " ", "2", None, "c")])
+    assert table.rejected() is None
+    try:
+        table.upsert(rows, dt.datetime(2026, 1, 1))
+        raise AssertionError("blank title accepted")
+    except ValueError:
+        pass
+    assert table.versions() == [] and table.upsert(rows, dt.datetime(2026, 1, 1), strict=False) == 1
+    assert [r.violations for r in table.rejected().collect()] == [["title_required"]]
+
+
+def test_missing_page_ends_the_prefix(spark):
+    rows = [("c", 1, "a", False, False, True), ("c", 3, "b", False, False, True), ("d", 2, "a", False, False, True)]
+    pages = C.repeated_pages(_pages(spark, rows))
+    assert [(r.crawl_id, r.page) for r in C.crawl_prefix(pages, "cars").collect()] == [("c", 1)]
+    assert [r.crawl_id for r in C.first_page_failed(pages).collect()] == ["d"]
+    plan = C.crawl_prefix(pages, "cars")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") + plan.count("Exchange REPARTITION") <= 1
+
+
+def test_box_stats_with_a_hot_value(spark):
+    import numpy as np
+    vals = [5.0] * 3000 + [float(i) for i in range(3000)]
+    df = spark.createDataFrame([("g", v) for v in vals] + [(None, 1.0), ("g", None)], "g string, v double")
+    row, = A.box_stats(df, "g", "v").collect()
+    assert [row.q1, row.median, row.q3] == list(np.quantile(vals, [0.25, 0.5, 0.75]))
+    assert (row.n, row.outliers) == (6000, sum(v > row.upper_fence or v < row.lower_fence for v in vals))
+
+
+def test_positions_follow_the_order(spark):
+    from quarry.operators.ordering import with_position
+    df = spark.range(0, 5000, numPartitions=7).withColumn("k", (F.col("id") * 7919) % 5000)
+    assert [r.k for r in with_position(df, [F.col("k")], "n").orderBy("n").collect()] == list(range(5000))
+
+
+def test_kpi_average_has_no_grouping(spark):
+    from quarry.functions.fmt import one_decimal
+    assert [r[0] for r in spark.createDataFrame([(1234.56,), (0.25,), (None,)], "x double").select(one_decimal("x")).collect()] == ["1234.6", "0.2", "—"]

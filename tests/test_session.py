@@ -3,27 +3,35 @@ import hashlib
 import re
 import unicodedata
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quarry.functions.keys import canonical_key
-from quarry.session import spread
+from quarry.functions.text import fold_text, folded
 from quarry.sources.inline import empty_frame, one_row
 
 
-def test_spread_passes_small_and_wide_inputs(spark):
-    tiny = spark.range(10).coalesce(1)
-    assert spread(tiny).rdd.getNumPartitions() == 1          # below min_bytes: no shuffle
-    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
-    assert spread(wide) is wide                                  # already one task per core
+def test_intermediate_tables_need_a_named_folder():
+    from types import SimpleNamespace as Of
 
+    from quarry import session
+    unset = Of(conf=Of(get=lambda key, default: default), sparkContext=Of(getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(unset)
 
-def test_spread_deals_single_partition_input(spark):
-    one = spark.range(0, 20000).coalesce(1)
-    out = spread(one, min_bytes=1)
-    assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sorted(r.id for r in out.collect()) == list(range(20000))   # nothing lost or repeated
+
+def test_jvm_fold_equals_the_rule(spark):
+    import unicodedata
+    chars = [chr(c) for c in (*range(0x20, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2200), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F), 0x301, 0x130, 0x3C2)]
+    texts = [*chars, "Épuisé", "ÉTÉ e\u0301t\u0301", "Straße ﬁn Ⅻ", "", None]
+    rule = lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).casefold()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for fold in (folded, fold_text):
+        assert [r.f for r in df.orderBy("i").select(fold("t").alias("f")).collect()] == [rule(t) for t in texts]
+    plan = df.select(folded("t"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
 
 
 def test_empty_and_one_row_frames_are_jvm_side(spark):

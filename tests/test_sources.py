@@ -74,13 +74,40 @@ def test_inline_records(spark):
         as_frame(spark, [{"a": 1}, 3])
 
 
-def test_csv_sink_bom(spark, tmp_root):
-    df = spark.createDataFrame([(1, "é")], "id int, t string")
-    path = write_csv(df, f"{tmp_root}/bom", bom=True)
-    part = [f for f in os.listdir(path) if f.endswith(".csv")]
-    assert len(part) == 1
-    with open(os.path.join(path, part[0]), "rb") as fh:
-        assert fh.read().startswith(b"\xef\xbb\xbfid,t")
+def test_csv_sink_marks_every_part(spark, tmp_root):
+    df = spark.createDataFrame([(n, "é") for n in range(4)], "id int, t string").repartition(2)
+    path = write_csv(df, f"{tmp_root}/bom")
+    parts = [f for f in os.listdir(path) if f.endswith(".csv")]
+    assert len(parts) == 2
+    for part in parts:
+        with open(os.path.join(path, part), "rb") as fh:
+            assert fh.read().startswith(b"\xef\xbb\xbfid,t")
+    assert sorted(tuple(r) for r in FS.read_csv(spark, path).drop("_encoding").collect()) == [(n, "é") for n in range(4)]
+
+
+def test_csv_round_trip_keeps_values(spark, tmp_root):
+    rows = [(1, "  pad "), (2, 'say ""hi"", ok'), (3, "two\nlines"), (4, ""), (5, None), (6, "a,b\\c")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    for encoding in ("UTF-8", "ISO-8859-1"):
+        path = write_csv(df, f"{tmp_root}/{encoding}", encoding=encoding)
+        # CSV has one form for empty text and NULL; both come back as NULL.
+        assert sorted(tuple(r) for r in FS.read_csv(spark, path).drop("_encoding").collect()) == [(i, t or None) for i, t in rows]
+
+
+def test_csv_files_by_their_own_header(spark, tmp_root):
+    _write(f"{tmp_root}/a.csv", b'title,price\n"A, ""one""",1\n')
+    _write(f"{tmp_root}/b.csv", b"price,title,extra\n2,B,x\n")
+    _write(f"{tmp_root}/c.csv", b"")
+    out = FS.read_csv(spark, [f"{tmp_root}/{x}.csv" for x in "abc"])
+    assert sorted((r.title, r.price, r.extra) for r in out.collect()) == [('A, "one"', 1, None), ("B", 2, "x")]
+    assert FS.read_csv(spark, f"{tmp_root}/c.csv").count() == 0
+
+
+def test_json_kinds_by_file_in_one_folder(spark, tmp_root):
+    _write(f"{tmp_root}/j/a.json", b"\n" + b" " * 5000 + json.dumps([{"a": 1}, {"a": 2}], indent=1).encode())
+    _write(f"{tmp_root}/j/b.json", b"\n" * 400 + b'{"a": 3}\n   {"a": 4}\n{"a": 5}\n')
+    _write(f"{tmp_root}/j/c.json", b"")
+    assert sorted(r.a for r in FS.read_json(spark, f"{tmp_root}/j").collect()) == [1, 2, 3, 4, 5]
 
 
 def test_table_allow_list(spark, tmp_root):
