@@ -1254,18 +1254,15 @@ def _text_sql(x: str) -> str:
     return "NULLIF(trim(regexp_replace(" + _unescape_sql(x) + ", '\\s+', ' ', 'g')), '')"
 
 
-def _page_spec():
-    from ..operators.extract import Field, Spec
-    return Spec(fields=(Field("title", ("title",)), Field("h1", ("article h1", "h1"))))
-
-
 @register("i1_extract_text", f"""
 SELECT page_id, url, true AS ready, {_text_sql("regexp_extract(html, '<title>(.*?)</title>', 1)")} AS title,
        {_text_sql("regexp_extract(html, '<article>.*?<h1>(.*?)</h1>', 1)")} AS h1
 FROM pages""")
 def i1_extract_text(spark, d):
-    from ..operators.extract import extract
-    return extract(B.load(spark, d, "pages"), _page_spec())
+    from ..operators.markup import element_text
+    html = F.col("html")
+    return B.load(spark, d, "pages").select("page_id", "url", F.lit(True).alias("ready"), element_text(html, "title").alias("title"),
+                                            element_text(html, "h1", inside="article").alias("h1"))
 
 
 NAV_SITEMAP = {
@@ -1302,17 +1299,12 @@ SELECT page_id, url, true AS ready, CAST(i AS INTEGER) AS position, CAST(len(hre
        {_HOST_SQL} || hrefs[i] AS card_url, {_text_sql('texts[i]')} AS title FROM e"""
 
 
-def _nav_card_spec():
-    from ..operators.extract import ATTR, TEXT_OR_ATTR, Field, Spec
-    return Spec(records=("nav ul li",),
-                fields=(Field("card_url", ("a",), ATTR, "href", absolute=True),
-                        Field("title", ("a",), TEXT_OR_ATTR, "title")))
-
-
 @register("i3_listing_cards", _nav_cards_sql())
 def i3_listing_cards(spark, d):
-    from ..operators.extract import extract
-    return extract(B.load(spark, d, "pages"), _nav_card_spec())
+    from ..operators.markup import absolute, link_items, plain_text
+    cards = link_items(B.load(spark, d, "pages")).select("page_id", "url", F.size("items").alias("n_records"), F.posexplode("items").alias("at", "item"))
+    return cards.select("page_id", "url", F.lit(True).alias("ready"), (F.col("at") + 1).alias("position"), "n_records",
+                        absolute(F.col("item.href"), F.col("url")).alias("card_url"), plain_text(F.col("item.text")).alias("title"))
 
 
 @register("i4_vehicle_cards", None)
@@ -1337,8 +1329,8 @@ _LAST_NAV = "list_filter(regexp_extract_all(html, " + _NAV_RE + ", 2), lambda t:
 SELECT page_id, url, true AS ready, {_text_sql(_LAST_NAV)} AS category
 FROM pages""")
 def i6_breadcrumb(spark, d):
-    from ..operators.extract import LAST_TEXT, Field, Spec, extract
-    return extract(B.load(spark, d, "pages"), Spec(fields=(Field("category", ("nav ul li a",), LAST_TEXT),)))
+    from ..operators.markup import last_text, link_items
+    return link_items(B.load(spark, d, "pages")).select("page_id", "url", F.lit(True).alias("ready"), last_text(F.col("items")).alias("category"))
 
 
 @register("i7_description", None)
@@ -1355,10 +1347,9 @@ def i7_description(spark, d):
 WITH l AS (SELECT page_id, url, regexp_extract_all(html, {_NAV_RE}, 1) AS hrefs FROM pages)
 SELECT page_id, {_HOST_SQL} || unnest(hrefs) AS link FROM l""")
 def i8_absolute_links(spark, d):
-    from ..operators.extract import ALL_ATTR, Field, Spec, extract
-    spec = Spec(fields=(Field("links", ("nav ul li a",), ALL_ATTR, "href", absolute=True),))
-    out = extract(B.load(spark, d, "pages"), spec)
-    return out.select("page_id", F.explode("links").alias("link"))
+    from ..operators.markup import absolute, link_items
+    out = link_items(B.load(spark, d, "pages")).select("page_id", "url", F.explode("items.href").alias("href"))
+    return out.select("page_id", absolute(F.col("href"), F.col("url")).alias("link"))
 
 
 # --- U4 / D14 / U5: runs and incremental ingestion ----------------------------------
