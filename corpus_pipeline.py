@@ -17,7 +17,7 @@ from quarry.llm.mixing import mix_sources
 from quarry.session import materialize
 
 #: A document whose likeliest language has less than this share of its words' probability is rejected.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -289,16 +289,21 @@ def _spans(labels: np.ndarray, starts: np.ndarray, ends: np.ndarray, langs: list
     return [{"start": int(starts[i]), "end": int(ends[j]), "lang": langs[labels[i]]} for i, j in zip(a, b, strict=True)]
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = 500, most_rows: int = 20_000, passage_chars: int = 1500) -> Tagger:
-    """A tagger learnt from a bounded sample: of each language the ``per_lang`` rows, ``most_rows`` in
-    all, that come first by a hash of their key, and of each a passage of ``passage_chars`` at a place that
-    the hash sets.  Held-out rows and null or empty texts or labels are never read for learning."""
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = 500, most_langs: int = 200, passage_chars: int = 1500) -> Tagger:
+    """A tagger learnt from a bounded sample: of each of the ``most_langs`` most frequent languages the
+    ``per_lang`` rows that come first by a hash of their key, and of each row a passage of
+    ``passage_chars`` at a place that the hash sets.  Held-out rows and null or empty texts or labels
+    are never read for learning.  Languages are counted first, so that of each only some times
+    ``per_lang`` rows, chosen by hash as well, are ranked in one task."""
     order = F.xxhash64(F.col(key), F.lit(5))
     rows = docs.filter(~held_out(F.col(key)) & F.col(lang).isNotNull() & (F.length(text) > 0))
+    counts = rows.groupBy(F.col(lang).alias("__lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "__lang").limit(most_langs)
     at = F.pmod(F.xxhash64(F.col(key), F.lit(6)), F.greatest(F.lit(1), F.length(text) - passage_chars)).cast("int") + 1
-    rows = rows.select(F.col(lang).alias("lang"), order.alias("o"), F.substring(F.col(text), at, F.lit(passage_chars)).alias("t"))
+    rows = rows.join(F.broadcast(counts), F.col(lang) == F.col("__lang"))
+    rows = rows.filter(F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.col("n")) < 4 * per_lang)
+    rows = rows.select(F.col("__lang").alias("lang"), order.alias("o"), F.substring(F.col(text), at, F.lit(passage_chars)).alias("t"))
     first = rows.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("o", "t"))).filter(F.col("k") <= per_lang)
-    got = first.orderBy("k", "lang").limit(most_rows).select("lang", "t").collect()
+    got = first.orderBy("lang", "k").collect()
     return train([(r["lang"], r["t"]) for r in got])
 
 
