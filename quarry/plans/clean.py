@@ -28,18 +28,20 @@ def clean_books_rows(raw: DataFrame) -> DataFrame:
     text = {c: X.clean_text(c) for c in ("title", "availability", "description", "product_type",
                                          "category", "url")}
     df = df.withColumns(text)
+    # folded once, in a layer of its own, for all the markers that look at it
+    df = df.withColumns({"__availability": X.folded("availability"), "__rating": X.folded("rating")})
     rating_type = types["rating"]
     rating = (X.rating_from_number("rating") if N.is_numeric_type(rating_type)
-              else X.rating_from_text("rating"))
+              else X.rating_from_text("rating", F.col("__rating")))
     cols = {
-        "availability": X.availability("availability"),
+        "availability": X.availability("availability", F.col("__availability")),
         "price": null_outside(N.decimal_for(types["price"], "price"), low=0),
         "tax": null_outside(N.decimal_for(types["tax"], "tax"), low=0),
         "rating": rating,
     }
     for c in ("products_on_page", "review_count", "source_page"):
         cols[c] = null_outside(N.integer_for(types[c], c), low=0)
-    return df.withColumns(cols)
+    return df.withColumns(cols).drop("__availability", "__rating")
 
 
 def clean_books(raw: DataFrame, order: str = "ordinal") -> DataFrame:
@@ -59,16 +61,17 @@ def clean_cars_rows(raw: DataFrame, max_year: int | None = None) -> DataFrame:
     df = ensure_columns(raw, S.CAR_COLUMNS)
     types = _types(df)
     df = df.withColumns({c: X.clean_text(c) for c in ("brand", "model", "transmission", "region", "url")})
+    df = df.withColumn("__transmission", X.folded("transmission"))
     cols = {
         "brand": X.brand("brand"),
-        "transmission": X.transmission("transmission"),
+        "transmission": X.transmission("transmission", F.col("__transmission")),
         "region": X.title_case("region"),
         "year": null_outside(N.integer_for(types["year"], "year"), S.MIN_CAR_YEAR, max_year),
         "price": null_outside(N.integer_for(types["price"], "price"), low=0),
         "mileage": null_outside(N.integer_for(types["mileage"], "mileage"), low=0),
         "source_page": null_outside(N.integer_for(types["source_page"], "source_page"), low=1),
     }
-    return df.withColumns(cols)
+    return df.withColumns(cols).drop("__transmission")
 
 
 def clean_cars(raw: DataFrame, max_year: int | None = None, order: str = "ordinal") -> DataFrame:
