@@ -37,7 +37,7 @@ from ..functions.numbers import storage_for
 from ..functions.text import storage_text
 from .columns import apply_aliases, ensure_columns
 from ..session import materialize
-from .constraints import assert_valid, split_valid
+from .constraints import assert_valid, split_valid, violations
 from .ordering import with_position
 
 _TEXT = {"books": ("title", "availability", "description", "product_type", "category", "url"),
@@ -100,18 +100,18 @@ def match_keys(target: DataFrame, batch: DataFrame, key: str = "source_key") ->
 
 
 def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.datetime,
-          strict: bool = True, normalized: bool = False, max_id: int | None = None) -> DataFrame:
+          strict: bool | None = True, normalized: bool = False, max_id: int | None = None) -> DataFrame:
     """``target`` after upserting ``batch``.
 
     ``strict`` (the reference behaviour) raises when any batch row breaks an
-    integrity rule; otherwise broken rows are left out (``SnapshotTable`` keeps
-    them, see ``rejected``).  ``max_id`` is the highest id in use when ``target``
+    integrity rule, ``False`` leaves broken rows out (``SnapshotTable`` keeps
+    them, see ``rejected``), ``None`` is for rows checked before.  ``max_id`` is the highest id in use when ``target``
     is a part of the table.
     """
     rows = batch if normalized else normalize_records(batch, source)
     if strict:
         assert_valid(rows, source)
-    else:
+    elif strict is not None:
         rows, _ = split_valid(rows, source)
     fields = [c for c in S.FIELDS[source] if c != "source_key"]
     last = (rows.groupBy("source_key")
@@ -142,7 +142,7 @@ def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.date
 class SnapshotTable:
     """A stored table: bucket folders of Parquet files and numbered commit records."""
 
-    def __init__(self, spark: SparkSession, root: str, source: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, source: str, buckets: int = 32):
         if source not in S.STORED_TYPES:
             raise ValueError("table not allowed")
         self.spark, self.root, self.source, self.buckets = spark, root.rstrip("/"), source, buckets
@@ -161,11 +161,13 @@ class SnapshotTable:
 
     def _record(self, number: int) -> dict | None:
         """A commit record; ``None`` for one whose writer died before its end."""
-        text = self.spark.read.text(f"{self.root}/_commits/{number:08d}.json", wholetext=True).first()
+        stream = self._fs().open(self._path("_commits", f"{number:08d}.json"))
         try:
-            return json.loads(text[0]) if text else None
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         except ValueError:
             return None
+        finally:
+            stream.close()
 
     def latest(self) -> dict:
         for number in reversed(self._numbers()):
@@ -204,14 +206,16 @@ class SnapshotTable:
         if batch_id is not None and latest["batch_id"] is not None and batch_id <= latest["batch_id"]:
             return 0
         bucket = F.pmod(F.xxhash64("source_key"), F.lit(latest["n_buckets"])).cast("int").alias("bucket")
-        rows = materialize(normalize_records(batch, self.source), "batch")
-        if strict:
-            assert_valid(rows, self.source)
-        valid, bad = split_valid(rows, self.source)
-        touched = sorted(r["bucket"] for r in valid.select(bucket).distinct().collect())
-        n_bad = 0 if strict else bad.count()
+        rows = materialize(violations(normalize_records(batch, self.source), self.source), "batch")
+        broken = F.size("violations") > 0
+        counts = rows.groupBy(bucket, broken.alias("broken")).agg(F.count(F.lit(1)).alias("n")).collect()
+        touched = sorted(r["bucket"] for r in counts if not r["broken"])
+        n_bad = sum(r["n"] for r in counts if r["broken"])
+        if strict and n_bad:
+            raise ValueError(f"{self.source}: batch breaks an integrity rule; nothing written")
         if not touched and not n_bad and batch_id is None:
             return 0
+        valid, bad = rows.where(~broken).drop("violations"), rows.where(broken)
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
         record = dict(latest, rejected=None)
         if n_bad:
@@ -219,7 +223,7 @@ class SnapshotTable:
             bad.write.parquet(record["rejected"])
         if touched:
             batch_time = batch_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-            merged = merge(self._load(latest, touched), valid, self.source, batch_time, strict=False, normalized=True,
+            merged = merge(self._load(latest, touched), valid, self.source, batch_time, strict=None, normalized=True,
                            max_id=latest["max_id"])
             merged.withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").parquet(f"{folder}/rows")
             top = self.spark.read.parquet(f"{folder}/rows").agg(F.max("id")).first()[0]
@@ -227,7 +231,7 @@ class SnapshotTable:
             record["buckets"] = {**latest["buckets"], **{str(b): f"{folder}/rows" for b in touched}}
         record["batch_id"] = latest["batch_id"] if batch_id is None else batch_id
         self._commit(record)
-        return valid.count()
+        return sum(r["n"] for r in counts if not r["broken"])
 
     def _commit(self, record: dict) -> None:
         """Write the next record; creating it fails if another writer has taken its number."""
