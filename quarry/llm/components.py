@@ -16,22 +16,22 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     hot nodes are pre-aggregated or split by AQE.  Ends when no link changes.
     """
     links = materialize(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    before = None
     for k in range(rounds):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a"), F.least("a", "m").alias("m"))
         # Large star: larger neighbours go to the least of the neighbourhood.
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        large = materialize(large, f"large-star-{k}")
         # Small star: smaller neighbours and the node itself go to the least of them.
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(small, "a")
         star = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b")))
-        star = materialize(star.filter("a <> b").distinct(), f"small-star-{k}")
+        links = materialize(star.filter("a <> b").distinct(), f"stars-{k}")
         # Equal numbers and equal sums of a hash of the links: nothing has changed.
-        check = [t.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first() for t in (links, star)]
-        links = star
-        if check[0] == check[1]:
+        now = links.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+        if now == before or not now["n"]:
             break
+        before = now
     else:
         raise RuntimeError(f"components have not settled after {rounds} rounds")
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(

@@ -38,7 +38,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.jaccard_components(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op7_extract_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,12 +69,20 @@ def test_small_cases_equal_brute_force(spark):
 
 def test_frequent_tokens_as_pairs_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(J, "RARE_DF", 2)
+    monkeypatch.setattr(J, "KNOWN_DF", 2)
     monkeypatch.setattr(J, "BLOCK", 3)
     check(spark, made(2, groups=6, size=30))
 
 
+def test_block_links_equal_all_pairs():
+    rng = np.random.default_rng(4)
+    x = [np.unique(rng.integers(0, 60, 40)) for _ in range(20)]
+    assert J._overlaps(x[:9], x[9:], columns=7).tolist() == [[len(np.intersect1d(a, b)) for b in x[9:]] for a in x[:9]]
+
+
 def test_few_frequent_tokens_known(spark, monkeypatch):
     monkeypatch.setattr(J, "FREQUENT_TOKENS", 40)
+    monkeypatch.setattr(J, "KNOWN_DF", 2)
     monkeypatch.setattr(J, "RARE_DF", 4)
     check(spark, made(3))
 
@@ -90,8 +98,9 @@ def test_similar_sets_share_an_entry():
         if len(y) < 2 or 100 * common < 85 * (len(x) + len(y) - common):
             continue
         cls = lambda t: np.where(J.mix(t) % np.uint64(10) < np.uint64(trial % 11), 9, 1).astype(np.uint8)
-        sigs = [J.signatures(r, len(t), cls(r), 2, 85, 8) for t in (x, y) for r in [J._region(t, 85)]]
-        assert len(np.intersect1d(*sigs)) > 0
+        sigs = [J.signatures(r, len(t), cls(r), 85, 8) for t in (x, y) for r in [J._region(t, 85)]]
+        least = 1 if sigs[0][1] and sigs[1][1] else min(J.SHARED, -(-85 * min(len(x), len(y)) // 100))
+        assert len(np.intersect1d(sigs[0][0], sigs[1][0])) >= least
 
 
 def test_nulls_repeats_and_empty_table(spark):
