@@ -252,12 +252,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     rows = docs.select(F.col(key).alias("__id"), text_key(text).alias("__th"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     records = materialize(rows.mapInArrow(
         lambda b: _records(b, length), f"__id {id_type}, __th long, s long, n int, h long, c long"), "anchors")
-    again = records.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h")
+    # Sums are written before they are joined, so that AQE can split the join's hot anchors.
+    again = materialize(records.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h"), "again")
     records = materialize(records.join(again, "h", "left_semi"), "repeated-anchors")
 
     first = F.min(F.struct("__id", "__th", "s", "n"))
     classes = materialize(records.groupBy("h", "c").agg(F.count(F.lit(1)).alias("many"), first.alias("at")), "classes")
-    several = classes.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    several = materialize(classes.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "several")
     wanted = materialize(classes.join(several, "h").select("h", "c", "k", "at.*"), "wanted")
 
     def bytes_of(some: DataFrame, schema: str, hashes: bool) -> DataFrame:
