@@ -32,6 +32,8 @@ FREQUENT_TOKENS = 4_000_000
 RARE_DF = 256
 #: Members of an index entry that are paired in one task.
 BLOCK = 256
+#: Bytes of text that a task works on at a time; a longer text is a slice of its own.
+SLICE_BYTES = 1 << 20
 #: Prefixes are so long that similar sets share this many tokens of them, or all of a smaller overlap.
 SHARED = 3
 
@@ -91,7 +93,7 @@ def _nodes(sets: list[np.ndarray]) -> list[bytes | None]:
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Size and node of each document."""
     for batch in batches:
-        for rows, raw, offsets in text_slices(batch, "__text"):
+        for rows, raw, offsets in text_slices(batch, "__text", SLICE_BYTES):
             sets = shingle_sets(raw, offsets, k)
             yield pa.RecordBatch.from_arrays([rows.column("__id"), rows.column("__th"), pa.array([len(x) for x in sets], pa.int64()),
                                               pa.array(_nodes(sets), pa.binary())], names=["__id", "__th", "n", "node"])
@@ -99,7 +101,7 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
 
 def _tokens(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, raw, offsets in text_slices(batch, "__text"):
+        for _, raw, offsets in text_slices(batch, "__text", SLICE_BYTES):
             regions = [_region(x, percent) for x in shingle_sets(raw, offsets, k)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(regions).view(np.int64))], names=["token"])
 
@@ -142,7 +144,7 @@ def _entries(batches: Iterator[pa.RecordBatch], frequent: tuple[np.ndarray, np.n
     maybe = np.zeros(1 << 20, bool)
     maybe[(tokens & low).astype(np.int64)] = True
     for batch in batches:
-        for _, raw, offsets in text_slices(batch, "__text"):
+        for _, raw, offsets in text_slices(batch, "__text", SLICE_BYTES):
             sets = [x for x in shingle_sets(raw, offsets, k) if len(x) > 1]
             regions = [_region(x, percent) for x in sets]
             whole = np.concatenate([np.zeros(0, np.uint64), *regions])
@@ -162,7 +164,7 @@ def _entries(batches: Iterator[pa.RecordBatch], frequent: tuple[np.ndarray, np.n
 
 def _whole(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for rows, raw, offsets in text_slices(batch, "__text"):
+        for rows, raw, offsets in text_slices(batch, "__text", SLICE_BYTES):
             sets = shingle_sets(raw, offsets, k)
             yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], names=["node", "tokens"])
 
