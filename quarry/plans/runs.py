@@ -128,8 +128,8 @@ def run_source(spark: SparkSession, source: str, listing_pages: DataFrame, *, ma
             details = (book_details(detail_pages.select("url", "html").withColumn("page_id", F.lit(0)),
                                     ("page_id", "url")) if detail_spec is None
                        else extract(detail_pages, detail_spec, ("url",)))
-            details = with_position(details.withColumn("rating", F.col("rating").cast("string")),
-                                    [F.col("url"), F.xxhash64("*")], "ordinal")
+            details = details.withColumn("rating", F.col("rating").cast("string"))
+            details = with_position(details, [F.col("url"), F.xxhash64(*details.columns)], "ordinal")
             raw = enrich_listing(raw.withColumn("rating", F.col("rating").cast("string")), details)
         raw = dedup_raw(raw, ("title", "price"))
         cleaned = clean_books(raw.drop("crawl_id"))
