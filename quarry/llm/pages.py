@@ -24,12 +24,13 @@ from quarry.llm.common import ALNUM, lower_ascii, prefix_hashes, span_hashes, te
 #: Hashed path tokens and words, their vectors' sizes, measures of a block, and cells in each direction.
 PATHS, WORDS, PATH_DIM, WORD_DIM, MEASURES, CELLS = 1024, 1024, 16, 8, 7, 16
 
-# Fixed values of HTML: elements that start a block, that hold no text, that are never text, and that close themselves.
+# Fixed values of HTML: elements that start a block, that hold no text, whose content is no markup, that are never text, and that close themselves.
 BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure "
                    "footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section "
                    "select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|template|noscript|title|textarea|svg|math|iframe|object|canvas|head(?!er)"
+RAW = frozenset("script style title textarea".split())
+HIDDEN = frozenset("svg math template noscript iframe object canvas".split())
 CLOSED_BY_LIKE = frozenset("li dt dd tr td th option p".split())
 
 # Fixed words of class names and ids, for training pages.
@@ -46,9 +47,11 @@ BOILER_NAMES = {
     "share": ("share", "social", "sharing", "tags", "meta", "byline", "follow"),
 }
 
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S | re.I)
+_COMMENT = r"<!--.*?(?:-->|\Z)"
+_ATTRIBUTES = r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>)|[^>]*)>"
+_TOKEN = re.compile(rf"{_COMMENT}|<(/?)([a-z][^\s/>]*){_ATTRIBUTES}|<[!?/][^>]*>", re.S | re.I)
+_HIDES = re.compile(rf"{_COMMENT}|<(/?)({'|'.join(sorted(HIDDEN | {'script', 'style', 'textarea'}))})(?=[\s/>]){_ATTRIBUTES}", re.S | re.I)
+_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -60,8 +63,33 @@ class Leaf:
     linked: int
 
 
+def _after_raw(html: str, name: str, at: int, closed: bool) -> int:
+    """End of an element whose text is no markup.  Without an end tag it takes the rest, or, written as closed, nothing."""
+    end = _END[name].search(html, at)
+    return end.end() if end else at if closed else len(html)
+
+
+def _hidden_ends(html: str) -> dict[int, int]:
+    """Start of the hidden elements that have an end tag of their own, and where they end."""
+    opened: dict[str, list[int]] = {name: [] for name in HIDDEN}
+    ends, at = {}, 0
+    while m := _HIDES.search(html, at):
+        at, name = m.end(), (m[2] or "").lower()
+        closed = m[3] is not None and m[3].endswith("/")
+        if name in HIDDEN:
+            if not m[1]:
+                if not (closed and name in ("svg", "math")):
+                    opened[name].append(m.start())
+            elif opened[name]:
+                ends[opened[name].pop()] = at
+        elif name and not m[1] and not (closed and (opened["svg"] or opened["math"])):
+            at = _after_raw(html, name, at, closed)
+    return ends
+
+
 def leaves(html: str | None) -> list[Leaf]:
-    """Leaf blocks in page order.  Character references are decoded and white space is one space."""
+    """Leaf blocks in page order.  Character references are decoded and white space is one space.  A hidden
+    element without an end tag is only a tag; head is none, its elements hold no text."""
     found: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
@@ -87,14 +115,22 @@ def leaves(html: str | None) -> list[Leaf]:
             state["links"] -= name == "a"
         del stack[at:]
 
-    html, at = html or "", 0
-    for m in _TOKEN.finditer(html):
+    html, at, hidden = html or "", 0, None
+    while m := _TOKEN.search(html, at):
         data(html[at:m.start()])
         at = m.end()
-        name = (m[3] or m[6] or "").lower()
-        if not name:
+        name = (m[2] or "").lower()
+        if not name or name == "head":
+            continue
+        closing, attributes = m[1], m[3]
+        if name in RAW and not closing:
+            at = _after_raw(html, name, at, attributes.endswith("/"))
+            continue
+        if name in HIDDEN:
+            if not closing:
+                hidden = _hidden_ends(html) if hidden is None else hidden
+                at = hidden.get(m.start(), at)
             continue
-        closing, attributes = m[2] or m[5], m[4] or m[7] or ""
         if name in BLOCKS:
             flush()
         elif name == "br":
@@ -376,7 +412,8 @@ def extract_main_text(pages: DataFrame, model: Labeller, html: str = "html") ->
 
     Every block of a page is read and labelled with the whole page as context; nothing is capped.
     A null or empty page, or one without article blocks, has empty text.  Broken markup is read as
-    far as it goes: an open element ends with its parent or the page.  Input columns named like the output
+    far as it goes: an open element ends with its parent or the page, and hides nothing unless it is a
+    comment, script, style, title or textarea.  Input columns named like the output
     columns are replaced, others pass through; equal pages give equal texts.
     """
     pages = without(pages, "text", "n_chars")

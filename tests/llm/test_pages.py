@@ -17,6 +17,32 @@ def test_leaves_of_broken_markup():
     assert P.leaves("<p>" + "<b " * 50)[0].path == ("<p",)
 
 
+@pytest.mark.parametrize("html", [
+    "<html><head><title>T</title><body>A<p>B</p></body></html>",
+    "<html><head><meta charset=x><title>T</title><div>A</div><p>B</p>",
+    "<svg class='i' viewBox='0 0 1 1'/>A<p>B</p>",
+    "<math/>A<p>B</p>",
+    "<svg data-x='a>b'/>A<p>B</p><svg><title>T</svg>",
+    "<svg><title/><svg><path/></svg>T<style/></svg>A<p>B</p>",
+    "<object data=x>A<p>B</p>",
+    "<canvas id=x>A<p>B</p><canvas id=y>T</canvas>",
+    "<noscript>A<p>B</p>",
+    "<div><template>A</div><p>B</p>",
+    "<iframe src=x />A<p>B</p><iframe src=y></iframe>",
+    "<title-bar>A</title-bar><p>B</p>",
+    "<object-x>A</object-x><p>B</p>",
+    "<header-x>A</header-x><p>B</p>",
+    "<object>T<object>T</object>T</object>A<p>B</p>",
+    "<object>A<!-- </object> --><p>B</p><script>'</object>'</script>",
+    "A<p>B</p><script>T",
+    "A<p>B</p><style>T<p>T",
+    "A<p>B</p><title>T",
+    "A<p>B</p><textarea>T<p>T",
+    "<script>'<svg>'</script foo>A<svg>T</svg ><p>B</p>"])
+def test_elements_without_end_tag_cut_nothing_else(html):
+    assert [b.text for b in P.leaves(html)] == ["A", "B"]
+
+
 def test_backpropagation_equals_differences():
     rng = np.random.default_rng(0)
     first = np.array([0, 3, 3, 8])
