@@ -23,6 +23,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def tmp_root(tmp_path):
     return str(tmp_path)
-
-
-SF_SMALL = "/root/testdata/sf0.001"

@@ -1,7 +1,7 @@
 """The page queries without SQL, and the fold query, run and give rows."""
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from quarry.plans import catalog
 
 

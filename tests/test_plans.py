@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from quarry import schema as S
 from quarry.plans import bindings as B
 from quarry.plans import catalog
