@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, exact, jaccard, langid, lines, mixing, pages, quality, suffix
+from quarry.llm import chat, decontam, exact, jaccard, langid, lines, mixing, pages, phrases, quality, search, suffix, trie
 from quarry.llm.common import held_out, table
 
 
@@ -62,7 +62,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_chat_perspectives, op4_quality, op5_line_dedup, op6_jaccard_join, op7_extract_main_text, op8_mix_sources, op9_exact_dedup, op10_language_id)}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.share_openings(trie.turn_sequences(table(spark, sf_dir, "conversations"))))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return search.exact_top_k(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op2_suffix_dedup, op3_chat_perspectives, op4_quality, op5_line_dedup, op6_jaccard_join, op7_extract_main_text,
+    op8_mix_sources, op9_exact_dedup, op10_language_id, op11_prefix_trie, op12_collocations, op13_exact_top_k)}
 
 ORACLE_SQL = {
     "op3_chat_perspectives": """
@@ -106,4 +121,46 @@ ORACLE_SQL = {
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM t""",
+    "op11_prefix_trie": r"""
+        WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos, struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) AS m
+                   FROM conversations WHERE conv_id IS NOT NULL),
+        o AS (SELECT c, list(m ORDER BY pos) AS own FROM t GROUP BY c),
+        h AS (SELECT *, c - c % 5 AS donor, (xor(4294967295, list_reduce(list_transform(range(1, length(CAST(c AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(c AS VARCHAR)[i]) AS BIGINT)),
+                     lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda i: CAST(i AS BIGINT))),
+                                              lambda z, i: xor(z // 2, CASE WHEN z % 2 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)) % 9) AS h FROM o),
+        p AS (SELECT h.c, list_concat(coalesce(d.own, [])[1:h.h], h.own[h.h + 1:]) AS path FROM h LEFT JOIN o d ON d.c = h.donor),
+        e AS (SELECT c, path, unnest(range(len(path) + 1)) AS d FROM p),
+        m AS (SELECT c, d, path[1:d] AS k, len(path) = d AS ends FROM e),
+        n AS (SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM m GROUP BY k, d),
+        u AS (SELECT n.*, q.conv_id AS parent_conv_id, CASE WHEN n.d = 0 THEN 0 ELSE (n.n_convs - 1) * strlen(n.k[n.d].x) END AS saved,
+                     (SELECT count(*) FROM n y WHERE y.d = n.d + 1 AND y.k[1:n.d] = n.k) AS n_children
+              FROM n LEFT JOIN n q ON q.d = n.d - 1 AND q.k = n.k[1:n.d - 1]),
+        a AS (SELECT k, d, saved, n_children = 0 AS leaf, unnest(range(d + 1)) AS up FROM u),
+        s AS (SELECT k[1:up] AS k, up, sum(saved) AS saved_tokens, count(*) FILTER (leaf) AS n_leaves FROM a GROUP BY 1, 2)
+        SELECT u.conv_id, u.d AS depth, u.parent_conv_id, u.n_convs, u.n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, u.ends_sha256
+        FROM u JOIN s ON s.up = u.d AND s.k = u.k""",
+    "op12_collocations": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+        g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s FROM w, range(1, 5) r(k) WHERE len(w) >= k),
+        f AS (SELECT lang, k, s, count(*) AS f FROM g GROUP BY lang, k, s),
+        n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, s, f AS a, string_split(s, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+        t AS (SELECT c.*, cut, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (x.f + y.f) AS BIGINT) AS score
+              FROM c, range(1, 4) z(cut) JOIN f x ON x.lang = c.lang AND x.s = array_to_string(c.w[1:cut], ' ') JOIN f y ON y.lang = c.lang AND y.s = array_to_string(c.w[cut + 1:], ' ')
+              WHERE cut < c.k QUALIFY row_number() OVER (PARTITION BY c.lang, c.s ORDER BY score, cut) = 1),
+        i AS (SELECT lang, a AS longer, array_to_string(w[j:j + m - 1], ' ') AS s FROM c, range(2, 4) x(m), range(1, 4) y(j) WHERE m < k AND j + m - 1 <= k),
+        d AS (SELECT lang, s, max(longer) AS longer FROM i GROUP BY lang, s)
+        SELECT t.lang, row_number() OVER (PARTITION BY t.lang ORDER BY score DESC, a DESC, t.s) AS rank, t.s AS phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+        FROM t JOIN n ON n.lang = t.lang LEFT JOIN d ON d.lang = t.lang AND d.s = t.s
+        WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a
+        QUALIFY rank <= 2000""",
+    "op13_exact_top_k": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+                   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+              FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 100 = 0)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+        QUALIFY rank <= 10""",
 }
