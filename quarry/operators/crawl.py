@@ -1,17 +1,22 @@
 """Page-level operators over captured listing pages.
 
 A crawl is a set of listing pages ``(crawl_id, page)``; each page holds cards.
-Cards are many: per-page values are partial aggregates (map-side combined)
-joined back on their key, so a page holding a third of all cards costs the
-same as any other.  Page facts are few and small: they are dealt once by
-crawl, and repeated pages and stops are windows over that one exchange.
+Per-page and per-crawl values are partial aggregates (map-side combined) that
+are written and joined back on their key, so neither a page that holds a third
+of all cards nor a crawl that holds a third of all pages makes a large task: no
+window runs over a crawl, and AQE can split the joins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ..session import materialize
+
+#: Page numbers of one segment: the bits of a bigint, but for two that arithmetic needs.
+SEGMENT = 62
 
 
 def cards_per_page(cards: DataFrame, keys: Sequence[str] = ("crawl_id", "page"),
@@ -57,12 +62,47 @@ def repeated_pages(pages: DataFrame, crawl: str = "crawl_id", page: str = "page"
                    signature: str = "signature", usable: Column | None = None,
                    name: str = "repeated") -> DataFrame:
     """A page is repeated when an earlier usable page of the same crawl has
-    the same signature.  Pages are dealt by crawl; the window by (crawl,
-    signature) and those of ``crawl_prefix`` need no further exchange."""
+    the same signature.
+
+    Signatures that occur on two pages are found by one aggregate; only these
+    (with their first page) are joined back, so a common signature costs a row
+    per task.  NULL signatures and crawls equal each other.
+    """
     usable = F.coalesce(F.lit(True) if usable is None else usable, F.lit(False))
-    same = Window.partitionBy(crawl, signature)
-    first = F.min(F.when(usable, F.col(page))).over(same)
-    return pages.repartition(crawl).withColumn(name, usable & F.coalesce(F.col(page) > first, F.lit(False)))
+    seen = pages.where(usable).groupBy(F.col(crawl).alias("_c"), F.col(signature).alias("_s")).agg(
+        F.min(page).alias("_first"), F.max(page).alias("_last")).where("_first < _last").drop("_last")
+    again = materialize(seen, "repeated-signatures")
+    same = F.col(crawl).eqNullSafe(F.col("_c")) & F.col(signature).eqNullSafe(F.col("_s"))
+    repeated = usable & F.coalesce(F.col(page) > F.col("_first"), F.lit(False))
+    return pages.join(again, same, "left").withColumn(name, repeated).drop("_c", "_s", "_first")
+
+
+def _lowest_gap(mask: Column) -> Column:
+    """Place of the lowest zero bit: adding one flips the ones below it."""
+    return F.bit_count(mask.bitwiseXOR(mask + F.lit(1).cast("bigint"))).cast("bigint") - 1
+
+
+def _segments(numbers: DataFrame, number: str, *more: Column) -> DataFrame:
+    """Masks of the numbers of each crawl, ``SEGMENT`` to a row, with further aggregates."""
+    bit = F.expr(f"shiftleft(cast(1 as bigint), cast({number} % {SEGMENT} as int))")
+    return materialize(numbers.groupBy("_c", F.expr(f"{number} div {SEGMENT}").alias("_seg")).agg(F.bit_or(bit).alias("_mask"), *more), "page-segments")
+
+
+def _first_missing(segments: DataFrame) -> DataFrame:
+    """(_c, _gap): the least number from 0 on that each crawl lacks.
+
+    The segments without a gap are numbers again, a sixty-second of them, so
+    the first segment with one is found the same way, carried down from level
+    to level; every level is an aggregate, none sees a crawl as a whole.
+    """
+    full = segments.where(F.col("_mask") == (1 << SEGMENT) - 1)
+    if full.isEmpty():
+        found = segments.withColumn("_n", F.lit(0).cast("bigint"))
+    else:
+        above = _first_missing(_segments(full.select("_c", "_seg"), "_seg")).select(F.col("_c").alias("_k"), F.col("_gap").alias("_g"))
+        found = segments.join(above, F.col("_c").eqNullSafe(F.col("_k")), "left").withColumn("_n", F.coalesce("_g", F.lit(0).cast("bigint")))
+    here = F.when(F.col("_seg") == F.col("_n"), _lowest_gap(F.col("_mask")))
+    return found.groupBy("_c").agg((F.min("_n") * SEGMENT + F.coalesce(F.min(here), F.lit(0).cast("bigint"))).alias("_gap"))
 
 
 def crawl_prefix(pages: DataFrame, mode: str = "cars", strict: bool = False,
@@ -76,6 +116,11 @@ def crawl_prefix(pages: DataFrame, mode: str = "cars", strict: bool = False,
     failed/empty/repeated page; strict mode skips bad pages instead.  Books:
     keep pages before the first failed or empty page, and stop after a page
     without a next link.  ``max_pages`` caps the page numbers.
+
+    The stops of a crawl are the least page that is bad, the least number that
+    is absent and the least page without a next link: aggregates over segments
+    of 62 page numbers (a bit for each) with a carry between segments.  One
+    written row per crawl is joined back to the pages.
     """
     if max_pages is not None and max_pages < 1:
         raise ValueError("max_pages must be >= 1")
@@ -85,15 +130,16 @@ def crawl_prefix(pages: DataFrame, mode: str = "cars", strict: bool = False,
         bad = bad | F.coalesce(F.col("repeated"), F.lit(False))
     if strict:
         return df.where(~bad)
-    order = Window.partitionBy(crawl).orderBy(page)
-    # A gap in the numbers shows as a page number above its rank.
-    df = df.withColumn("_bad", bad | (F.col(page) > F.dense_rank().over(order)))
-    keep = ~F.max("_bad").over(order)
-    if mode == "books":
-        before = order.rangeBetween(Window.unboundedPreceding, -1)
-        ended = F.max(~F.coalesce(F.col("has_next"), F.lit(False))).over(before)
-        keep = keep & ~F.coalesce(ended, F.lit(False))
-    return df.withColumn("_keep", keep).where("_keep").drop("_bad", "_keep")
+    number = F.col(page).cast("bigint")
+    ended = ~F.coalesce(F.col("has_next"), F.lit(False)) if mode == "books" else F.lit(False)
+    facts = df.select(F.col(crawl).alias("_c"), (number - 1).alias("_p"), F.when(bad, number).alias("_bad"), F.when(ended, number).alias("_end"))
+    segments = _segments(facts, "_p", F.min("_bad").alias("_bad"), F.min("_end").alias("_end"))
+    gaps = _first_missing(segments.select("_c", "_seg", "_mask")).select(F.col("_c").alias("_k"), "_gap")
+    stops = segments.groupBy("_c").agg(F.min("_bad").alias("_bad"), F.min("_end").alias("_end"))
+    stops = stops.join(gaps, F.col("_c").eqNullSafe(F.col("_k"))).select("_c", F.least("_bad", F.col("_gap") + 1).alias("_stop"), "_end")
+    stops = materialize(stops, "crawl-stops")
+    kept = (F.col(page) < F.col("_stop")) & F.coalesce(F.col(page) <= F.col("_end"), F.lit(True))
+    return df.join(stops, F.col(crawl).eqNullSafe(F.col("_c"))).where(kept).drop("_c", "_stop", "_end")
 
 
 def first_page_failed(pages: DataFrame, crawl: str = "crawl_id", page: str = "page") -> DataFrame:
