@@ -1080,26 +1080,26 @@ def a2_depot_summary(spark, d):
     return depot_summary(list_files(spark, d)).select("files", "total_bytes", "total_size_label")
 
 
-NATION_NOTES = """
-SELECT n_nationkey, n_name, n_regionkey, lower(n_name) || ' été' AS note FROM {nation}
+ORDER_NOTES = """
+SELECT o_orderkey, o_orderpriority, lower(o_orderpriority) || ' été' AS note FROM {orders}
 """
 
 
 @register("a3_csv_fallback", f"""
-SELECT n_nationkey, n_name, n_regionkey, lower(n_name) || ' été' AS note, 'UTF-8' AS _encoding FROM nation
+SELECT CAST(doc_id AS BIGINT) AS doc_id, nullif(text, '') AS text, NULL AS o_orderkey, NULL AS o_orderpriority, NULL AS note, 'UTF-8' AS _encoding FROM documents
 UNION ALL
-SELECT n_nationkey, n_name, n_regionkey, lower(n_name) || ' été' AS note, 'ISO-8859-1' AS _encoding FROM nation""")
+SELECT NULL, NULL, CAST(o_orderkey AS BIGINT), o_orderpriority, note, 'ISO-8859-1' FROM ({B.oracle(ORDER_NOTES, orders='orders')}) o""")
 def a3_csv_fallback(spark, d):
+    """Whole texts with quoted line feeds in UTF-8 (read file by file) beside
+    plain rows in another encoding with another header (split by the reader)."""
     from ..session import scratch_path
     from ..sources.files import read_csv
     from ..sources.sinks import write_csv
-    rows = B.bind(spark, d, NATION_NOTES, nation="nation")
     root = scratch_path(spark, "a3")
-    write_csv(rows, f"{root}/utf8")
-    write_csv(rows, f"{root}/latin1", encoding="ISO-8859-1")
-    out = read_csv(spark, [f"{root}/utf8", f"{root}/latin1"])
-    return out.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name",
-                      F.col("n_regionkey").cast("int").alias("n_regionkey"), "note", "_encoding")
+    write_csv(B.load(spark, d, "documents").select("doc_id", "text"), f"{root}/texts")
+    write_csv(B.bind(spark, d, ORDER_NOTES, orders="orders"), f"{root}/orders", encoding="ISO-8859-1")
+    out = read_csv(spark, [f"{root}/texts", f"{root}/orders"])
+    return out.select("doc_id", "text", "o_orderkey", "o_orderpriority", "note", "_encoding")
 
 
 @register("a4_json_auto", """
@@ -1108,17 +1108,17 @@ SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_name, p_brand, p_type, CAST(p_s
 UNION ALL
 SELECT NULL, NULL, NULL, NULL, NULL, NULL, CAST(s_suppkey AS BIGINT), s_name FROM supplier""")
 def a4_json_auto(spark, d):
-    """One folder of JSON lines (part) and array documents (supplier, an array
-    per nation) that begin with long blanks."""
+    """One depot of JSON lines (part) and array documents (supplier, up to 500
+    in a document) that begin with long blanks."""
     from ..session import scratch_path
     from ..sources.files import read_json
     root = scratch_path(spark, "a4")
     B.load(spark, d, "part").write.json(f"{root}/all")
-    arrays = B.load(spark, d, "supplier").groupBy("s_nationkey").agg(F.to_json(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("value"))
-    (arrays.select(F.concat(F.lit("\n" + " " * 400), "value").alias("value"), "s_nationkey").repartition("s_nationkey")
-     .write.partitionBy("s_nationkey").text(f"{root}/arrays"))
-    files = spark.read.text(f"{root}/arrays/*").select("_metadata.file_path").distinct()
-    out = read_json(spark, [f"{root}/all", *[r[0] for r in files.collect()]])
+    arrays = (B.load(spark, d, "supplier").groupBy(F.expr("s_suppkey div 500").alias("document"))
+              .agg(F.to_json(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("value")))
+    arrays = arrays.select(F.concat(F.lit("\n" + " " * 400), F.replace("value", F.lit("},"), F.lit("},\n"))).alias("value"), "document")
+    arrays.repartition("document").write.partitionBy("document").text(f"{root}/arrays")
+    out = read_json(spark, [f"{root}/all", f"{root}/arrays/*"])
     return out.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice", "s_suppkey", "s_name")
 
 
@@ -1128,10 +1128,22 @@ def a5_read_parquet(spark, d):
     return read_parquet(spark, f"{d}/region.parquet")
 
 
-@register("a6_read_dispatch", "SELECT * FROM part")
+@register("a6_read_dispatch", """
+SELECT 'csv' AS format, CAST(o_orderkey AS BIGINT) AS key, o_orderpriority AS name FROM orders
+UNION ALL SELECT 'json', CAST(c_custkey AS BIGINT), c_name FROM customer
+UNION ALL SELECT 'parquet', CAST(p_partkey AS BIGINT), p_name FROM part""")
 def a6_read_dispatch(spark, d):
+    """A folder of each format, chosen by its suffix."""
+    from ..session import scratch_path
     from ..sources.files import read_tabular
-    return read_tabular(spark, f"{d}/part.parquet")
+    from ..sources.sinks import write_csv
+    root = scratch_path(spark, "a6")
+    write_csv(B.load(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("name")), f"{root}/orders.CSV")
+    B.load(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")).write.json(f"{root}/customer.json")
+    frames = {"csv": read_tabular(spark, f"{root}/orders.CSV"), "json": read_tabular(spark, f"{root}/customer.json"),
+              "parquet": read_tabular(spark, f"{d}/part.parquet").select(F.col("p_partkey").alias("key"), F.col("p_name").alias("name"))}
+    from functools import reduce
+    return reduce(DataFrame.unionByName, [f.select(F.lit(n).alias("format"), F.col("key").cast("bigint").alias("key"), "name") for n, f in frames.items()])
 
 
 @register("a7_newest_export", None)

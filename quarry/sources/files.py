@@ -22,6 +22,9 @@ from ..session import materialize
 from .inline import empty_frame
 from .sinks import BOM, CSV_OPTIONS
 
+#: The reader's column for what it cannot parse; of a mixed folder it holds the other kind's lines.
+CORRUPT = "_corrupt_record"
+
 LISTING_SCHEMA = "path string, label string, suffix string, length bigint, modificationTime timestamp"
 
 
@@ -100,29 +103,40 @@ def read_csv(spark: SparkSession, paths, schema: T.StructType | str | None = Non
     line give no rows; without any header the result has no columns but
     ``_encoding`` (or those of ``schema``).
 
-    File facts (header, encoding) stay a distributed table, joined by file
-    where files differ; the driver sees the distinct headers alone.
+    Files are split and read by many tasks, except those where a quoted value
+    may hold a line feed, which shows as a line with an odd number of quotes:
+    these are read as a whole, one task each.  File facts (header, encoding,
+    odd quotes) come from one pass over the lines and stay a distributed table,
+    joined by file where files differ; the driver sees the distinct headers,
+    and the names of the files with odd quotes where both kinds are mixed.
     """
     paths = _paths(spark, paths)
     facts = None
     if paths:
+        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
         facts = materialize(_lines(spark, paths, encoding="UTF-8").groupBy("file").agg(
-            F.max(~F.is_valid_utf8("value")).alias("latin"), F.min_by("value", "at").alias("header")), "csv-files")
-        variants = [(r["header"], r["latin"]) for r in facts.select("header", "latin").distinct().collect()]
+            F.max(~F.is_valid_utf8("value")).alias("latin"), F.max(quotes % 2 == 1).alias("whole"), F.min_by("value", "at").alias("header")), "csv-files")
+        variants = [(r["header"], r["latin"], r["whole"]) for r in facts.select("header", "latin", "whole").distinct().collect()]
     if not paths or not variants:
         empty = empty_frame(spark, schema) if schema is not None else spark.range(0).select()
         return empty.withColumn("_encoding", F.lit(None).cast("string"))
+    wholes = [r["file"] for r in facts.where("whole").select("file").collect()] if len({v[2] for v in variants}) > 1 else []
     frames = []
-    for latin in sorted({v[1] for v in variants}):
+    for latin, whole in sorted({v[1:] for v in variants}):
         encoding = "ISO-8859-1" if latin else "UTF-8"
-        headers = sorted({h for h, x in variants if x == latin})
+        headers = sorted({v[0] for v in variants if v[1:] == (latin, whole)})
         names = {h: _header_names(spark, h) for h in headers}
         width = max(map(len, names.values()))
         generic = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-        rows = (spark.read.schema(generic).options(header="true", encoding=encoding, multiLine="true", **CSV_OPTIONS)
-                .csv(paths).select("*", F.col("_metadata.file_path").alias("_file")))
+        rows = spark.read.schema(generic).options(header="true", encoding=encoding, multiLine=str(whole).lower(), **CSV_OPTIONS).csv(paths)
+        if wholes:
+            # A filter by file name alone: files that fail it are not opened.
+            among = F.col("_metadata.file_path").isin(wholes)
+            rows = rows.where(among if whole else ~among)
+        rows = rows.select("*", F.col("_metadata.file_path").alias("_file"))
         if len(variants) > 1:
-            rows = rows.join(facts.where(F.col("latin") == F.lit(latin)).select(F.col("file").alias("_file"), "header"), "_file")
+            mine = facts.where((F.col("latin") == F.lit(latin)) & (F.col("whole") == F.lit(whole)))
+            rows = rows.join(mine.select(F.col("file").alias("_file"), "header"), "_file")
         else:
             rows = rows.withColumn("header", F.lit(headers[0]))
         columns = dict.fromkeys(n for h in headers for n in names[h])
@@ -157,24 +171,32 @@ def read_json(spark: SparkSession, paths, schema: T.StructType | str | None = No
     """A4: a JSON array document, else JSON lines, decided for every file by
     its first non-blank character, wherever that is (``multiLine`` on JSON
     lines would silently keep only the first object, and the line reader turns
-    an array into corrupt records).  The test is a distributed pass over the
-    lines; only a mix of both kinds needs the list of files."""
+    an array into corrupt records).
+
+    The test is a distributed pass over the lines; its result stays a table, a
+    row for each file.  Where both kinds are mixed, each kind's reader goes over
+    all files and keeps the rows of its own by a join on the file: the document
+    reader stops after the first value of a file of lines, and the line reader
+    splits whatever it reads.  Columns are those of either kind; files
+    without any value give no rows.
+    """
     paths = _paths(spark, paths)
-    kinds: dict[bool, list[str]] = {}
+    facts = None
     if paths:
         solid = _lines(spark, paths).withColumn("value", F.regexp_replace("value", "^[\ufeff\\s]+", "")).where("value <> ''")
         facts = materialize(solid.groupBy("file").agg(F.min_by(F.col("value").startswith("["), "at").alias("array")), "json-files")
-        found = [r["array"] for r in facts.select("array").distinct().collect()]
-        if len(found) == 1:
-            kinds[found[0]] = paths
-        for kind in found if len(found) > 1 else []:
-            kinds[kind] = [r["file"] for r in facts.where(F.col("array") == F.lit(kind)).select("file").collect()]
+        kinds = facts.agg(F.min("array").alias("least"), F.max("array").alias("most")).first()
+    if not paths or kinds["least"] is None:
+        return empty_frame(spark, schema or "value string")
     frames = []
-    for array, chosen in sorted(kinds.items()):
+    for array in sorted({kinds["least"], kinds["most"]}):
         reader = spark.read.option("multiLine", str(array).lower())
-        frames.append((reader.schema(schema) if schema is not None else reader).json(chosen))
-    if not frames:
-        return empty_frame(spark, schema or "value string")
+        rows = (reader.schema(schema) if schema is not None else reader).json(paths)
+        if kinds["least"] != kinds["most"]:
+            mine = facts.where(F.col("array") == F.lit(array)).select(F.col("file").alias("_file"))
+            rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != CORRUPT], F.col("_metadata.file_path").alias("_file"))
+            rows = rows.join(mine, "_file", "left_semi").drop("_file")
+        frames.append(rows)
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
 
 
