@@ -140,6 +140,31 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
                                             "n", "minimum", "maximum", "outliers")
 
 
+#: Normalised rank error of a sketch of size k, 99 of 100 times: RANK_ERROR[0] / k ** RANK_ERROR[1].
+RANK_ERROR = (2.296, 0.9723)
+
+
+def box_sketch(df: DataFrame, group: str, value: str, rank_error: float = 0.01) -> DataFrame:
+    """D9 in one pass: n, minimum, maximum, quartiles and 1.5·IQR fences per
+    group from mergeable quantile sketches.
+
+    Every task sketches its rows and one small row for each group shuffles.
+    A quartile's rank is within ``rank_error`` of its place; the sketch is
+    three times as exact as that nearly always holds.  NULL groups, NULLs and
+    NaN are left out.
+    """
+    k = max(8, min(65_535, int((3 * RANK_ERROR[0] / rank_error) ** (1 / RANK_ERROR[1])) + 1))
+    v = F.col(value).cast("double")
+    rows = df.select(F.col(group).alias("g"), v.alias("v")).where(F.col("g").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
+    stats = rows.groupBy("g").agg(F.kll_sketch_agg_double("v", F.lit(k)).alias("_s"), F.count(F.lit(1)).alias("n"),
+                                  F.min("v").alias("minimum"), F.max("v").alias("maximum"))
+    at = lambda q: F.kll_sketch_get_quantile_double("_s", F.lit(q))
+    stats = stats.select("*", at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
+    iqr = F.col("q3") - F.col("q1")
+    return stats.select(F.col("g").alias(group), "q1", "median", "q3", (F.col("q1") - 1.5 * iqr).alias("lower_fence"),
+                        (F.col("q3") + 1.5 * iqr).alias("upper_fence"), "n", "minimum", "maximum")
+
+
 def shares(df: DataFrame, column: str | Column, name: str = "value") -> DataFrame:
     """Value counts with their share of the total (pie slices)."""
     counts = value_counts(df, column, name)
@@ -153,6 +178,27 @@ def scatter_extract(df: DataFrame, x: str, y: str, extra: Sequence[str] = ()) ->
     return df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y, *present)
 
 
+def scatter_thinned(df: DataFrame, x: str, y: str, key: str, cells: int = 100, extra: Sequence[str] = ()) -> DataFrame:
+    """D11, bounded: one row for each cell of a ``cells`` by ``cells`` grid over
+    both ranges, the point whose key's hash is least, with the number of
+    points (``count``) it stands for.
+
+    At most ``cells`` squared rows come out of any table, and every point with
+    both coordinates is counted.  Of equal keys the least point stands.
+    """
+    present = [c for c in extra if c in df.columns and c not in (x, y)]
+    points = scatter_extract(df.select(F.col(key).alias("_key"), x, y, *present), x, y, ["_key", *present])
+    place = []
+    for axis in (x, y):
+        v = F.col(axis).cast("double")
+        lo, hi = (points.select(f(v)).scalar() for f in (F.min, F.max))
+        place.append(F.when(lo == hi, F.lit(0)).otherwise(F.least(F.floor((v - lo) / ((hi - lo) / F.lit(float(cells)))), F.lit(cells - 1))).cast("int"))
+    point = F.struct(x, y, *present)
+    order = F.struct(F.md5(F.coalesce(F.col("_key").cast("string"), F.lit(""))), F.col(x), F.col(y), *present)
+    thin = points.groupBy(place[0].alias("x_cell"), place[1].alias("y_cell")).agg(F.min_by(point, order).alias("_p"), F.count(F.lit(1)).alias("count"))
+    return thin.select("x_cell", "y_cell", *[F.col(f"_p.`{c}`").alias(c) for c in (x, y, *present)], "count")
+
+
 def ordered_limit(df: DataFrame, order_by: Sequence[str] | str = "id", limit: int | None = None) -> DataFrame:
     """ORDER BY [LIMIT n]; None = all, 0 = none, negative -> error."""
     cols = [order_by] if isinstance(order_by, str) else list(order_by)

@@ -133,11 +133,11 @@ def missing_bucket(col: Column, label: str = S.MISSING_LABEL) -> Column:
     return F.coalesce(col.cast("string"), F.lit(label))
 
 
-def preview(df: DataFrame, order_by: str = "ordinal", n: int = S.PREVIEW_ROWS) -> DataFrame:
-    """First ``n`` rows in order plus the total row count (scalar
-    subquery, so no second pass is written by hand)."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    return df.orderBy(order_by).limit(n).withColumn("total_rows", total)
+def preview(df: DataFrame, order_by: str = "ordinal", n: int = S.PREVIEW_ROWS, total: int | None = None) -> DataFrame:
+    """First ``n`` rows in order plus the total row count: ``total`` if it
+    is known (``footer_count`` of a stored table), else a scalar subquery."""
+    rows = df.select(F.count(F.lit(1))).scalar() if total is None else F.lit(total).cast("bigint")
+    return df.orderBy(order_by).limit(n).withColumn("total_rows", rows)
 
 
 def page_ready(html: Column, ready_patterns: Sequence[str]) -> Column:

@@ -38,6 +38,7 @@ from ..functions.text import storage_text
 from .columns import apply_aliases, ensure_columns
 from ..session import materialize
 from .constraints import assert_valid, split_valid, violations
+from .keyfilter import key_filter
 from .ordering import with_position
 
 _TEXT = {"books": ("title", "availability", "description", "product_type", "category", "url"),
@@ -89,14 +90,24 @@ def empty_table(spark: SparkSession, source: str) -> DataFrame:
     return empty_frame(spark, T.StructType([T.StructField(n, t, True) for n, t in types.items()]))
 
 
-def match_keys(target: DataFrame, batch: DataFrame, key: str = "source_key") -> DataFrame:
+def match_keys(target: DataFrame, batch: DataFrame, key: str = "source_key", unique: bool = False) -> DataFrame:
     """Full outer match of target and batch keys (which rows update,
-    which insert, which stay)."""
-    t = target.select(F.col(key).alias("_t_key")).distinct()
-    b = batch.select(F.col(key).alias("_b_key")).distinct()
-    j = t.join(b, t["_t_key"] == b["_b_key"], "full_outer")
-    return j.select(F.coalesce("_t_key", "_b_key").alias(key), F.col("_t_key").isNotNull().alias("in_target"),
-                    F.col("_b_key").isNotNull().alias("in_batch"))
+    which insert, which stay).
+
+    A filter of the batch's keys is tested on the target as it is scanned: keys
+    that it excludes are told ``in_batch`` false at once, and only the rest meet
+    the batch.  With ``unique`` (a stored table, whose keys are) those rows
+    pass without any shuffle; else equal keys are made one.
+    """
+    b = materialize(batch.select(F.col(key).alias("_b_key")).distinct(), "batch-keys")
+    t = target.select(F.col(key).alias("_t_key"))
+    maybe = key_filter(b, "_b_key")(F.col("_t_key"))
+    once = (lambda x: x) if unique else DataFrame.distinct
+    apart = once(t.where(~maybe)).select(F.col("_t_key").alias(key), F.lit(True).alias("in_target"), F.lit(False).alias("in_batch"))
+    near = once(t.where(maybe))
+    j = near.join(b, near["_t_key"] == b["_b_key"], "full_outer")
+    return apart.unionByName(j.select(F.coalesce("_t_key", "_b_key").alias(key), F.col("_t_key").isNotNull().alias("in_target"),
+                                      F.col("_b_key").isNotNull().alias("in_batch")))
 
 
 def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.datetime,
@@ -117,12 +128,15 @@ def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.date
     last = (rows.groupBy("source_key")
                 .agg(F.max_by(F.struct(*fields), F.struct("ordinal", F.xxhash64(*fields))).alias("_row"),
                      F.min("ordinal").alias("_first")))
-    last = last.select("source_key", "_first", *[F.col(f"_row.{c}").alias(c) for c in fields])
-    fresh = last.select("source_key", "_first").join(target.select("source_key"), "source_key", "left_anti")
+    last = materialize(last.select("source_key", "_first", *[F.col(f"_row.{c}").alias(c) for c in fields]), "batch-rows")
+    # Only target rows that the filter of the batch's keys lets through meet the batch; the others pass without a shuffle.
+    maybe = key_filter(last.select("source_key"), "source_key")(F.col("source_key"))
+    near = target.where(maybe)
+    fresh = last.select("source_key", "_first").join(near.select("source_key"), "source_key", "left_anti")
     fresh = with_position(fresh, [F.col("_first"), F.col("source_key")], "_place").select("source_key", "_place")
     last = last.join(fresh, "source_key", "left")
 
-    t = target.select([F.col(c).alias(f"_t_{c}") for c in target.columns])
+    t = near.select([F.col(c).alias(f"_t_{c}") for c in target.columns])
     joined = t.join(last, t["_t_source_key"] == last["source_key"], "full_outer")
     top = target.select(F.coalesce(F.max("id"), F.lit(0))).scalar() if max_id is None else F.lit(max_id)
     ts = F.lit(batch_time).cast(S.STORED_TYPES[source]["created_at"])
@@ -136,7 +150,8 @@ def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.date
         out.append(F.when(in_batch, F.col(c).cast(dtype)).otherwise(F.col(f"_t_{c}").cast(dtype)).alias(c))
     out.append(F.when(in_target, F.col("_t_created_at")).otherwise(ts).alias("created_at"))
     out.append(F.when(in_batch, ts).otherwise(F.col("_t_updated_at")).alias("updated_at"))
-    return joined.select(*out)
+    merged = joined.select(*out)
+    return merged.unionByName(target.where(~maybe).select(*[F.col(f.name).cast(f.dataType) for f in merged.schema.fields]))
 
 
 class SnapshotTable:

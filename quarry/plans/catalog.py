@@ -516,6 +516,19 @@ def b5_equality_filter(spark, d):
     return equality_filter(p, {"p_type": "SMALL", "p_size": 5, "p_brand": None})
 
 
+@register("b5_clustered_listing", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice FROM orders
+WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' AND o_totalprice >= 100000 ORDER BY o_orderkey""")
+def b5_clustered_listing(spark, d):
+    """Orders stored by a cluster key of the filter columns; the listing reads few row groups."""
+    from ..operators.layout import list_rows, write_clustered
+    from ..session import scratch_path
+    path = write_clustered(B.load(spark, d, "orders"), scratch_path(spark, "clustered"), ("o_orderstatus", "o_orderpriority", "o_totalprice"), row_group_rows=500)
+    table = spark.read.parquet(path).where("o_totalprice >= 100000")
+    return list_rows(table, {"o_orderstatus": "F", "o_orderpriority": "2-HIGH", "o_custkey": None}, "o_orderkey").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+
+
 BOOK_CATEGORY_CHOICE = ["Brand#13", "Brand#21", "MEDIUM", "LARGE"]
 BOOK_AVAIL_CHOICE = ["in_stock", "sur_commande"]
 
@@ -628,8 +641,9 @@ SELECT doc_id, lang, n_chars, (SELECT CAST(count(*) AS BIGINT) FROM documents) A
 FROM documents ORDER BY doc_id LIMIT 100""")
 def b13_preview(spark, d):
     from ..operators.filters import preview
+    from ..sources.files import footer_count
     docs = B.load(spark, d, "documents").select("doc_id", "lang", "n_chars")
-    return preview(docs, "doc_id", 100)
+    return preview(docs, "doc_id", 100, total=footer_count(spark, f"{d}/documents.parquet").first()[0])
 
 
 READY_MARKERS = (r"<article[\s>]", r"class=\"[^\"]*\bproduct_main\b")
@@ -647,8 +661,9 @@ def b14_page_ready(spark, d):
 
 @register("d1_row_count", "SELECT CAST(count(*) AS BIGINT) AS row_count FROM lineitem")
 def d1_row_count(spark, d):
-    from ..operators.aggregates import row_count
-    return row_count(B.load(spark, d, "lineitem"))
+    """From the footers: the plan shows the pushed aggregate."""
+    from ..sources.files import footer_count
+    return footer_count(spark, f"{d}/lineitem.parquet")
 
 
 @register("d4_value_counts", f"""
@@ -716,6 +731,23 @@ def d9_box_stats(spark, d):
     return round_doubles(box_stats(B.load(spark, d, "lineitem"), "l_returnflag", "l_extendedprice"))
 
 
+@register("d9_box_sketch", """
+SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n, round(min(l_extendedprice), 6) AS minimum, round(max(l_extendedprice), 6) AS maximum,
+       true AS q1_near, true AS median_near, true AS q3_near
+FROM lineitem WHERE l_extendedprice IS NOT NULL AND l_returnflag IS NOT NULL GROUP BY l_returnflag""")
+def d9_box_sketch(spark, d):
+    """Quartiles by sketches, and whether each one's rank among all values is within the stated error."""
+    from ..operators.aggregates import box_sketch
+    error = 0.01
+    rows = B.load(spark, d, "lineitem").select("l_returnflag", F.col("l_extendedprice").cast("double").alias("v")).where("v IS NOT NULL")
+    boxes = materialize(box_sketch(rows, "l_returnflag", "v", error), "box-sketches")
+    places = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    ranks = [F.sum((F.col("v") < F.col(q)).cast("long")).alias(f"{q}_below") for q in places] + [F.sum((F.col("v") <= F.col(q)).cast("long")).alias(f"{q}_upto") for q in places]
+    ranked = rows.join(boxes, "l_returnflag").groupBy("l_returnflag", "n", "minimum", "maximum").agg(*ranks)
+    near = [((F.col(f"{q}_below") <= (p + error) * F.col("n")) & (F.col(f"{q}_upto") >= (p - error) * F.col("n"))).alias(f"{q}_near") for q, p in places.items()]
+    return round_doubles(ranked.select("l_returnflag", "n", "minimum", "maximum", *near))
+
+
 @register("d10_shares", """
 SELECT coalesce(c_mktsegment, 'Non renseigné') AS value, CAST(count(*) AS BIGINT) AS count,
        round(count(*) / (SELECT count(*) FROM customer), 6) AS share
@@ -732,6 +764,20 @@ def d11_scatter(spark, d):
     return scatter_extract(_clean_cars(spark, d), "mileage", "price", ("model", "year", "region"))
 
 
+@register("d11_scatter_thinned", """
+WITH p AS (SELECT l_orderkey * 8 + l_linenumber AS k, l_quantity, l_extendedprice, l_returnflag FROM lineitem WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL),
+b AS (SELECT min(CAST(l_quantity AS DOUBLE)) AS xl, max(CAST(l_quantity AS DOUBLE)) AS xh, min(CAST(l_extendedprice AS DOUBLE)) AS yl, max(CAST(l_extendedprice AS DOUBLE)) AS yh FROM p),
+c AS (SELECT p.*, CAST(least(floor((CAST(l_quantity AS DOUBLE) - xl) / ((xh - xl) / 40.0)), 39) AS INTEGER) AS x_cell,
+             CAST(least(floor((CAST(l_extendedprice AS DOUBLE) - yl) / ((yh - yl) / 40.0)), 39) AS INTEGER) AS y_cell FROM p, b)
+SELECT x_cell, y_cell, round(arg_min(l_quantity, row(md5(CAST(k AS VARCHAR)), l_quantity, l_extendedprice, l_returnflag)), 6) AS l_quantity, round(arg_min(l_extendedprice, row(md5(CAST(k AS VARCHAR)), l_quantity, l_extendedprice, l_returnflag)), 6) AS l_extendedprice,
+       arg_min(l_returnflag, row(md5(CAST(k AS VARCHAR)), l_quantity, l_extendedprice, l_returnflag)) AS l_returnflag, CAST(count(*) AS BIGINT) AS count
+FROM c GROUP BY x_cell, y_cell""")
+def d11_scatter_thinned(spark, d):
+    from ..operators.aggregates import scatter_thinned
+    points = B.load(spark, d, "lineitem").withColumn("k", F.expr("l_orderkey * 8 + l_linenumber"))
+    return round_doubles(scatter_thinned(points, "l_quantity", "l_extendedprice", "k", 40, ("l_returnflag",)))
+
+
 @register("f1_ordered_limit", """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' ORDER BY o_orderkey LIMIT 20""")
 def f1_ordered_limit(spark, d):
@@ -939,7 +985,7 @@ def c2_upsert_match(spark, d):
     from ..operators.upsert import match_keys
     base = B.bind(spark, d, ORDERS_BASE, orders="orders")
     batch = B.bind(spark, d, ORDERS_BATCH, orders="orders")
-    return match_keys(base, batch)
+    return match_keys(base, batch, unique=True)
 
 
 RAW_BOOKS_V2 = """

@@ -276,6 +276,18 @@ def read_table(spark: SparkSession, tables: Mapping[str, str], name: str) -> Dat
     return spark.read.parquet(tables[name])
 
 
+def footer_count(spark: SparkSession, path: str, name: str = "row_count") -> DataFrame:
+    """D1 on a Parquet table: rows counted from the files' footers.
+
+    The count is pushed into the source (no row group is opened), which
+    Spark's newer reader does; a session of its own holds that setting, so the
+    caller's plans stay as they are."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(path).agg(F.count(F.lit(1)).alias(name))
+
+
 def page_urls(crawls: DataFrame, template: str, first: str | int = 1, last: str | int = "max_pages",
               page: str = "page", url: str = "page_url") -> DataFrame:
     """One row per page number in [first, last] per crawl row, with the
