@@ -80,7 +80,7 @@ def test_sketched_quartiles_are_near(spark):
     rng = random.Random(3)
     values = {"hot": [5.0] * 4000 + [rng.gauss(0, 10) for _ in range(6000)], "one": [3.5], "two": [1.0, 2.0]}
     rows = [(g, v) for g, vs in values.items() for v in vs] + [(None, 1.0), ("hot", None), ("hot", float("nan"))]
-    out = A.box_sketch(spark.createDataFrame(rows, "g string, v double").repartition(6), "g", "v", 0.02)
+    out = A.box_sketch(spark.createDataFrame(rows, "g string, v double"), "g", "v", 0.02)
     assert _plan(out).count("Exchange") == 1
     for r in out.collect():
         vs = sorted(values[r.g])
