@@ -731,6 +731,17 @@ def d9_box_stats(spark, d):
     return round_doubles(box_stats(B.load(spark, d, "lineitem"), "l_returnflag", "l_extendedprice"))
 
 
+@register("d8_histogram_aligned", """
+WITH x AS (SELECT CAST(o_totalprice AS DOUBLE) AS x FROM orders WHERE o_totalprice IS NOT NULL),
+b AS (SELECT min(x) AS lo, max(x) AS hi FROM x),
+w AS (SELECT lo, min(pow(2.0, e)) AS w FROM b, range(-20, 60) r(e) WHERE floor(hi / pow(2.0, e)) - floor(lo / pow(2.0, e)) < 25 GROUP BY lo)
+SELECT CAST(floor(x / w) - floor(lo / w) AS INTEGER) AS bin, floor(x / w) * w AS lower, floor(x / w) * w + w AS upper, CAST(count(*) AS BIGINT) AS count
+FROM x, w GROUP BY ALL""")
+def d8_histogram_aligned(spark, d):
+    from ..operators.aggregates import histogram_aligned
+    return histogram_aligned(B.load(spark, d, "orders"), "o_totalprice", 25)
+
+
 @register("d9_box_sketch", """
 SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n, round(min(l_extendedprice), 6) AS minimum, round(max(l_extendedprice), 6) AS maximum,
        true AS q1_near, true AS median_near, true AS q3_near

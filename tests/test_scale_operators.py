@@ -108,3 +108,20 @@ def test_rows_are_counted_from_footers(spark, tmp_root):
     spark.range(0, 1234, numPartitions=3).write.parquet(f"{tmp_root}/t")
     out = footer_count(spark, f"{tmp_root}/t")
     assert "PushedAggregation: [COUNT(*)]" in _plan(out) and out.first()[0] == 1234
+
+
+def test_aligned_histogram_counts_every_value_once(spark):
+    rng = random.Random(6)
+    sets = [[rng.gauss(0, 300) for _ in range(3000)] + [-256.0, 0.0, 256.0, 512.0, -0.0], [1e9 + i / 8 for i in range(100)], [7.25], [0.0, 0.0],
+            [-1.0, 1.0], [2.0 ** -40, 3.0], [float(i) for i in range(1, 6)] * 3]
+    for values in sets:
+        for bins in (2, 5, 25):
+            rows = [(v,) for v in values] + [(None,), (float("nan"),), (float("inf"),)]
+            got = A.histogram_aligned(spark.createDataFrame(rows, "v double"), "v", bins).collect()
+            width = got[0].upper - got[0].lower
+            assert sum(r["count"] for r in got) == len(values) and got[-1].bin < bins and got[0].bin == 0
+            assert [r["count"] for r in got] == [sum(r.lower <= v < r.upper for v in values) for r in got]
+            assert all(r.lower / width == int(r.lower / width) for r in got)
+            if min(values) < max(values):
+                assert max(values) // (width / 2) - min(values) // (width / 2) >= bins
+    assert A.histogram_aligned(spark.createDataFrame([], "v double"), "v", 5).collect() == []
