@@ -13,14 +13,16 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
-from quarry.llm.common import byte_set, held_out, prefix_hashes, span_hashes, text_slices, without, word_spans
+from quarry.llm.common import SLICE_BYTES, byte_set, checked_broadcast, held_out, prefix_hashes, span_hashes, text_slices, without, word_spans
+from quarry.llm.familiar import Familiarity, deviations, learn_familiarity
+from quarry.session import materialize
 
 #: Hashed features, words of a training sequence, and words that forward-backward handles in one step.
 FEATURES, SEQUENCE, CHUNK = 1 << 16, 48, 64
 #: Frequent words of a language that are its lexicon.
 LEXICON = 400
 _LETTER = byte_set((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
-OUTPUT = ("lang_pred", "score", "lang_spans")
+OUTPUT = ("lang_pred", "score", "lang_spans", "deviation")
 
 
 def lower_latin(raw: np.ndarray) -> np.ndarray:
@@ -259,9 +261,10 @@ def _tag(raw: np.ndarray, offsets: np.ndarray, model: Tagger):
     return starts, ends, first, posteriors(scores, first, model.transitions)
 
 
-def _identify(batches: Iterator[pa.RecordBatch], model: Tagger, text: str, schema: pa.Schema, spans: bool) -> Iterator[pa.RecordBatch]:
+def _identify(batches: Iterator[pa.RecordBatch], model: Tagger, fit: Familiarity | None, text: str, schema: pa.Schema, spans: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for rows, raw, offsets in text_slices(batch, text):
+        # A word has a row of probabilities, so many languages mean shorter slices.
+        for rows, raw, offsets in text_slices(batch, text, max(1 << 16, SLICE_BYTES * 8 // max(8, len(model.langs)))):
             starts, ends, first, p = _tag(raw, offsets, model)
             n = rows.num_rows
             mass = np.zeros((n, len(model.langs)))
@@ -276,6 +279,8 @@ def _identify(batches: Iterator[pa.RecordBatch], model: Tagger, text: str, schem
             best = mass.argmax(axis=1) if len(model.langs) else np.zeros(n, int)
             put = {"lang_pred": [model.langs[b] if s else "und" for b, s in zip(best.tolist(), sure.tolist(), strict=True)],
                    "score": [min(1.0, float(mass[k, best[k]] / total[k])) if sure[k] else 0.0 for k in range(n)]}
+            if fit is not None:
+                put["deviation"] = np.where(sure, deviations(lower_latin(raw), offsets, _LETTER, starts, p.argmax(axis=1) if len(model.langs) else starts, fit), 0.0).tolist()
             if spans:
                 put["lang_spans"] = [_spans(p[first[k]:first[k + 1]].argmax(axis=1), starts[first[k]:first[k + 1]] - offsets[k],
                                             ends[first[k]:first[k + 1]] - offsets[k], model.langs) if sure[k] else [] for k in range(n)]
@@ -289,27 +294,40 @@ def _spans(labels: np.ndarray, starts: np.ndarray, ends: np.ndarray, langs: list
     return [{"start": int(starts[i]), "end": int(ends[j]), "lang": langs[labels[i]]} for i, j in zip(a, b, strict=True)]
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = 500, most_langs: int = 200, passage_chars: int = 1500) -> Tagger:
-    """A tagger learnt from a bounded sample: of each of the ``most_langs`` most frequent languages the
-    ``per_lang`` rows that come first by a hash of their key, and of each row a passage of
-    ``passage_chars`` at a place that the hash sets.  Held-out rows and null or empty texts or labels
-    are never read for learning.  Languages are counted first, so that of each only some times
-    ``per_lang`` rows, chosen by hash as well, are ranked in one task."""
+def sample_passages(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = 500, most_rows: int = 100_000,
+                    passage_chars: int = 1500) -> list[tuple[str, str]]:
+    """The bounded sample that is learnt from: of every language the ``per_lang`` rows that come first by a
+    hash of their key (fewer, if all languages together would have more than ``most_rows``, but one at
+    least), and of each row a passage of ``passage_chars`` at a place that the hash sets.  Held-out
+    rows and null or empty texts or labels are never read for learning.  Languages are counted first,
+    so that of each only some times ``per_lang`` rows, chosen by hash as well, are ranked in one task."""
     order = F.xxhash64(F.col(key), F.lit(5))
     rows = docs.filter(~held_out(F.col(key)) & F.col(lang).isNotNull() & (F.length(text) > 0))
-    counts = rows.groupBy(F.col(lang).alias("__lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "__lang").limit(most_langs)
+    counts = materialize(rows.groupBy(F.col(lang).alias("__lang")).agg(F.count(F.lit(1)).alias("n")), "languages")
+    each = max(1, min(per_lang, most_rows // max(1, counts.count())))
     at = F.pmod(F.xxhash64(F.col(key), F.lit(6)), F.greatest(F.lit(1), F.length(text) - passage_chars)).cast("int") + 1
-    rows = rows.join(F.broadcast(counts), F.col(lang) == F.col("__lang"))
-    rows = rows.filter(F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.col("n")) < 4 * per_lang)
+    rows = rows.join(checked_broadcast(counts, 64), F.col(lang) == F.col("__lang"))
+    rows = rows.filter(F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.col("n")) < 4 * each)
     rows = rows.select(F.col("__lang").alias("lang"), order.alias("o"), F.substring(F.col(text), at, F.lit(passage_chars)).alias("t"))
-    first = rows.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("o", "t"))).filter(F.col("k") <= per_lang)
-    got = first.orderBy("lang", "k").collect()
-    return train([(r["lang"], r["t"]) for r in got])
+    first = rows.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("o", "t"))).filter(F.col("k") <= each)
+    return [(r["lang"], r["t"]) for r in first.orderBy("lang", "k").collect()]
 
 
-def identify(docs: DataFrame, model: Tagger, text: str = "text", spans: bool = False) -> DataFrame:
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", **sample) -> Tagger:
+    """A tagger of all languages of ``docs``, learnt from ``sample_passages``."""
+    return train(sample_passages(docs, text, lang, key, **sample))
+
+
+def familiarity(passages: list[tuple[str, str]]) -> Familiarity:
+    return learn_familiarity(passages, lower_latin, _LETTER)
+
+
+def identify(docs: DataFrame, model: Tagger, text: str = "text", spans: bool = False, fit: Familiarity | None = None) -> DataFrame:
     """``docs`` with lang_pred, score (the share of the words' probability that the language has) and, if
-    asked for, lang_spans (runs of words of one language, in bytes of the text).
+    asked for, lang_spans (runs of words of one language, in bytes of the text).  With ``fit`` also
+    deviation: how many standard deviations the text's trigrams are likelier in that language than those
+    of the passages it was learnt from (unlikelier: negative), whatever the number of languages; a text
+    in a language that was not learnt is far below zero.
 
     Words are runs of letters; every word of the whole text is labelled.  A null text, one without a
     letter, or a model that has learnt no language gives ``und`` with score 0 and no spans.  Input columns
@@ -318,10 +336,12 @@ def identify(docs: DataFrame, model: Tagger, text: str = "text", spans: bool = F
     docs = without(docs, *OUTPUT)
     out = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"))
     fields = [T.StructField(f.name, f.dataType) for f in out.schema]
+    if fit is not None:
+        fields.append(T.StructField("deviation", T.DoubleType()))
     if spans:
         span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("lang", T.StringType())])
         fields.append(T.StructField("lang_spans", T.ArrayType(span)))
     schema = T.StructType(fields)
     arrow = to_arrow_schema(schema)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(lambda b: _identify(b, sent.value, text, arrow, spans), schema)
+    sent = docs.sparkSession.sparkContext.broadcast((model, fit))
+    return docs.mapInArrow(lambda b: _identify(b, *sent.value, text, arrow, spans), schema)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarry.llm.common import without
 from quarry.session import materialize
 
 OUTPUT = ("size", "source_size", "target", "rate", "copies", "taken")
@@ -88,7 +89,7 @@ def rounded_copies(docs: DataFrame, key: str, source: str, most: int, block_rows
     """
     spread = F.xxhash64(key, "__hash")
     whole = F.floor(F.col("rate") + 1e-9)
-    block = F.pmod(spread, F.greatest(F.lit(1).cast("long"), F.expr(f"source_rows div {block_rows}")))
+    block = F.pmod(spread, F.greatest(F.lit(1).cast("long"), F.expr(f"__source_rows div {block_rows}")))
     docs = docs.withColumn("__block", block).withColumn("__part", F.greatest(F.lit(0.0), F.col("rate") - whole))
     docs = docs.withColumn("__part", F.when(F.col("__part") < 2e-9, 0.0).otherwise(F.col("__part")))
     start = F.pmod(F.xxhash64(source, "__block"), F.lit(1 << 20)) / float(1 << 20)
@@ -109,12 +110,12 @@ def mix_sources(docs: DataFrame, text: str = "text", key: str = "doc_id", source
     cells gives the documents' rates, which are rounded into at most ``cap`` copies; taken is size
     times copies.  A null or empty text has size 0 and takes 0 words; a source without words has
     target 0; a null source is a source.  Rows with repeated or null keys are rows of their own.  Input
-    columns named like the output columns are replaced.  An empty table gives an empty one.
+    columns named like the output columns, in any letter case, are replaced.  An empty table gives an empty one.
     """
-    kept = [c for c in docs.columns if c not in OUTPUT and c != text]
-    rows = materialize(docs.select(*[F.col(f"`{c}`") for c in kept], _sizes(text).alias("size"),
+    kept = [F.col(f"`{c}`") for c in without(docs, *OUTPUT, text).columns]
+    rows = materialize(docs.select(*kept, _sizes(text).alias("size"),
                                    F.xxhash64(text).alias("__hash")), "sizes")
-    sums = rows.groupBy(source).agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
+    sums = rows.groupBy(source).agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("__source_rows"))
     ranked = source_ranks(sums, source)
     cycle = F.array(*[F.lit(float(w)) for w in weights])
     ranked = materialize(ranked.withColumn("weight", F.get(cycle, F.pmod("rank", F.lit(len(weights))).cast("int"))), "sources")
@@ -124,8 +125,8 @@ def mix_sources(docs: DataFrame, text: str = "text", key: str = "doc_id", source
     cells = targets.select(source, F.col("source_size").alias("size"))
     rates = balance(cells, {source: targets.select(source, "target")})
     rates = targets.join(rates.select(F.col(source).alias("__s"), F.col("rate")), F.col(source).eqNullSafe(F.col("__s")), "left")
-    rates = rates.select(F.col(source).alias("__s"), "source_size", "source_rows", "target",
+    rates = rates.select(F.col(source).alias("__s"), "source_size", "__source_rows", "target",
                          F.least(F.coalesce("rate", F.lit(0.0)), F.lit(float(cap))).alias("rate"))
     mixed = rows.join(rates, F.col(source).eqNullSafe(F.col("__s"))).drop("__s")
     mixed = rounded_copies(mixed, key, source, cap)
-    return mixed.withColumn("taken", F.col("size") * F.col("copies")).drop("__hash", "source_rows")
+    return mixed.withColumn("taken", F.col("size") * F.col("copies")).drop("__hash", "__source_rows")

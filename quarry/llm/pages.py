@@ -399,11 +399,13 @@ def _extract(batches: Iterator[pa.RecordBatch], model: Labeller, html: str, sche
 
 
 def learn(pages: DataFrame, html: str = "html", key: str = "page_id", most_rows: int = 250, most_chars: int = 60_000) -> Labeller:
-    """A labeller learnt from a bounded sample: the ``most_rows`` pages of at most ``most_chars`` that come
-    first by a hash of their key."""
-    got = (pages.filter(F.length(html) <= most_chars).select(F.col(html).alias("h"), F.xxhash64(key).alias("o"))
-           .orderBy("o", "h").limit(most_rows).collect())
-    return train([r["h"] for r in got])
+    """A labeller learnt from a bounded sample: the ``most_rows`` distinct pages of at most ``most_chars`` that
+    come first by a hash of their key.  Only hashes are ranked; then the chosen pages alone are fetched."""
+    rows = pages.filter(F.length(html) <= most_chars).select(F.col(html).alias("h"), F.xxhash64(key).alias("o"), F.xxhash64(html).alias("p"))
+    first = rows.select("o", "p").distinct().orderBy("o", "p").limit(most_rows).collect()
+    chosen = {(r["o"], r["p"]) for r in first}
+    got = rows.filter(F.col("o").isin([r["o"] for r in first]) & F.col("p").isin([r["p"] for r in first])).dropDuplicates(["o", "p"]).collect()
+    return train([r["h"] for r in sorted(got, key=lambda r: (r["o"], r["p"])) if (r["o"], r["p"]) in chosen])
 
 
 def extract_main_text(pages: DataFrame, model: Labeller, html: str = "html") -> DataFrame:

@@ -213,10 +213,14 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     pairs = spark.sparkContext.broadcast(_bitmap(materialize(pairs.select("p"), "frequent-pairs"), "p"))
     windows = rows.mapInArrow(lambda b: _count_windows(b, words.value, pairs.value), "lang string, " + ", ".join(f"{w} long" for w in WINDOW) + ", n long")
     windows = materialize(windows.groupBy("lang", *WINDOW).agg(F.sum("n").alias("n")), "windows")
-    summed = windows.rollup("lang", *WINDOW).agg(F.sum("n").alias("f"), F.grouping_id().alias("g")).filter(F.col("f") >= least)
-    # grouping_id has a bit for each column that is summed away; the last column that is left must be a word.
-    level = F.coalesce(*[F.when((F.col("g") == (1 << (ORDER - k)) - 1) & F.col(WINDOW[k - 1]).isNotNull(), k) for k in range(2, ORDER + 1)])
-    longer = summed.withColumn("k", level).filter("k IS NOT NULL").select("lang", F.slice(F.array(*WINDOW), F.lit(1), F.col("k")).alias("words"), "f")
+    # The longest phrases are counted already; ROLLUP sums windows that begin alike.  grouping_id has a bit for each column
+    # that is summed away, and the last column that is left must be a word.
+    shorter = WINDOW[:-1]
+    summed = windows.rollup("lang", *shorter).agg(F.sum("n").alias("f"), F.grouping_id().alias("g")).filter(F.col("f") >= least)
+    level = F.coalesce(*[F.when((F.col("g") == (1 << (len(shorter) - k)) - 1) & F.col(WINDOW[k - 1]).isNotNull(), k) for k in range(2, ORDER)])
+    longer = summed.withColumn("k", level).filter("k IS NOT NULL").select("lang", F.slice(F.array(*shorter), F.lit(1), F.col("k")).alias("words"), "f")
+    whole = windows.filter((F.col("n") >= least) & F.col(WINDOW[-1]).isNotNull()).select("lang", F.array(*WINDOW).alias("words"), F.col("n").alias("f"))
+    longer = longer.unionByName(whole)
     phrases = longer.unionByName(frequent.select("lang", F.array("h").alias("words"), F.col("n").alias("f")))
     return materialize(phrases, "phrases"), vocabulary
 

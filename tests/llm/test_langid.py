@@ -53,3 +53,33 @@ def test_held_out_accuracy(spark):
     assert len(rows) == len(lang) and all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
     held = [r for r in rows if r["held_out"] and lang[r["doc_id"]]]
     assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) / len(held) > 0.98
+
+
+def test_a_language_that_was_not_learnt_is_told_by_its_deviation(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    for unknown in ("es", "en"):
+        passages = G.sample_passages(docs.filter(docs["lang"] != unknown))
+        out = G.identify(docs, G.train(passages), fit=G.familiarity(passages)).collect()
+        far = [r["deviation"] < -12 for r in out if r["lang"] == unknown]
+        near = [r["deviation"] < -12 for r in out if r["lang"] != unknown]
+        assert sum(far) > 0.97 * len(far) and sum(near) < 0.01 * len(near)
+
+
+def test_a_text_in_two_learnt_languages_is_no_stranger(spark):
+    rows = [r for r in documents(spark, "documents", "/root/testdata/sf0.01") if r["text"] and len(r["text"]) > 600]
+    halves = {x: [r["text"][:500] for r in rows if r["lang"] == x][:20] for x in ("en", "de", "fr")}
+    switched = [a + " " + b for x, y in (("en", "de"), ("fr", "en")) for a, b in zip(halves[x], halves[y], strict=False)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    passages = G.sample_passages(docs)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(switched)], "doc_id long, text string")
+    out = G.identify(df, G.train(passages), fit=G.familiarity(passages)).collect()
+    assert all(r["deviation"] > -12 for r in out)
+
+
+def test_every_language_is_learnt(spark):
+    rows = [(i, f"w{i % 230}a w{i % 230}b w{i % 230}c", f"l{i % 230}") for i in range(1380)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len({x for x, _ in G.sample_passages(docs)}) == 230
+    assert len(G.sample_passages(docs, most_rows=460)) <= 460
+    empty = G.familiarity([])
+    assert [r["deviation"] for r in G.identify(docs.limit(1), G.train([]), fit=empty).collect()] == [0.0]

@@ -27,6 +27,36 @@ def test_filter_joined_by_bucket_beyond_its_bound(spark):
     assert small == large
 
 
+def test_no_exchange_holds_a_text(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    for bound in (1 << 20, 0):
+        found = exact.exact_dedup(docs, broadcast_bytes=bound)
+        assert found.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+        assert "text#" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_that_stay(spark):
+    schema = "doc_id long, text string, __row string, GONE long"
+    rows = [(1, "a  b", "x", 1), (0, "a b", "y", 2), (0, "a\tb", "z", 3), (None, "a b", "n", 4), (None, "own", "m", 5), (None, "own", "m", 5), (2, None, "e", 6), (3, "", "f", 7), (4, "alone", "g", 8)]
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    got = sorted((str(r["doc_id"]), r["text"]) for r in exact.without_copies(df).collect())
+    assert len(got) == 4 and ("2", None) in got and ("4", "alone") in got and ("None", "own") in got and got[0][0] == "0"
+    assert exact.without_copies(df).columns == df.columns
+    assert exact.without_copies(df.limit(0)).collect() == []
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = exact.exact_dedup(docs).filter("kept").select("doc_id")
+    assert sorted(r[0] for r in exact.without_copies(docs).select("doc_id").collect()) == sorted(r[0] for r in kept.collect())
+
+
+def test_mix_with_clashing_names(spark):
+    df = spark.createDataFrame([(k, "w " * k, "ab"[k % 2], 1, 2, 3, 4) for k in range(40)], "doc_id long, text string, source string, Size int, source_rows int, weight int, rank int")
+    out = mixing.mix_sources(df)
+    assert [c for c in out.columns if c in ("source_rows", "weight", "rank")] == ["source_rows", "weight", "rank"] and "Size" not in out.columns
+    plain = mixing.mix_sources(df.select("doc_id", "text", "source"))
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    assert sorted(map(tuple, out.select(*columns).collect())) == sorted(map(tuple, plain.select(*columns).collect()))
+
+
 def test_mix_edge_rows(spark):
     rows = [(k, "w " * (k % 7), ["b", "a", None, "é"][k % 4], 1) for k in range(200)] + [(None, "x y", "a", 1), (None, "x y", "a", 1), (500, None, "zero", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, taken int")
