@@ -12,23 +12,24 @@ from pyspark.sql import functions as F
 
 from quarry.llm import decontam, jaccard, langid
 from quarry.llm.common import checked_broadcast, text_key
-from quarry.llm.exact import exact_dedup
+from quarry.llm.exact import without_copies
 from quarry.llm.mixing import mix_sources
 from quarry.session import materialize
 
-#: A document whose likeliest language has less than this share of its words' probability is rejected.
-LEAST_SCORE = 0.3
+#: A document is in none of the learnt languages if its trigrams are so many standard deviations unlikelier than theirs.
+LEAST_DEVIATION = -12.0
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the tagger has learnt; those without letters or without a clear one go."""
-    told = langid.identify(docs, langid.learn(docs))
-    return told.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*_columns(docs))
+    """Documents in a language that the tagger has learnt; those without letters or in another language go."""
+    passages = langid.sample_passages(docs)
+    told = langid.identify(docs, langid.train(passages), fit=langid.familiarity(passages))
+    return told.filter((F.col("lang_pred") != "und") & (F.col("deviation") >= LEAST_DEVIATION)).select(*_columns(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal text (white space aside), the one with the smallest id stays."""
-    return exact_dedup(docs).filter("kept").select(*_columns(docs))
+    return without_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
