@@ -32,6 +32,24 @@ def checked_broadcast(side: DataFrame, row_bytes: int, bound: int = BROADCAST_BY
     return F.broadcast(side) if side.count() * row_bytes <= bound else side
 
 
+def broadcast_measured(side: DataFrame, row_bytes: Column, bound: int = BROADCAST_BYTES) -> DataFrame:
+    """``checked_broadcast`` for rows of unlike sizes: the bytes that ``row_bytes`` gives are summed."""
+    return F.broadcast(side) if (side.agg(F.sum(row_bytes)).first()[0] or 0) <= bound else side
+
+
+def join_counted(rows: DataFrame, sums: DataFrame, on: list[str], count: str = "k", share: int = 100_000) -> DataFrame:
+    """``rows`` joined with a written table of one row per key, whose ``count`` says how many rows have it.
+
+    Keys with over 1 in ``share`` of the rows are at most ``share`` keys, whatever the data: these are
+    broadcast, and their rows do not shuffle.  No key of the shuffled join has more rows than that.
+    """
+    bar = max(64, (sums.agg(F.sum(count)).first()[0] or 0) // share)
+    hot = sums.filter(F.col(count) > bar).drop(count)
+    rest = sums.filter(F.col(count) <= bar).drop(count)
+    return (rows.join(F.broadcast(hot), on)
+            .unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(rest, on)))
+
+
 def text_key(text: str = "text") -> Column:
     """With the id, tells rows apart whose ids are null or repeat; equal only for equal rows."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull())

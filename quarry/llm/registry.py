@@ -105,10 +105,17 @@ ORACLE_SQL = {
         WITH x AS (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text <> ''),
         l AS (SELECT doc_id, unnest(x) AS line, unnest(range(len(x))) AS pos FROM x),
         t AS (SELECT *, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS t FROM l),
-        s AS (SELECT doc_id, pos, t, row_number() OVER d AS seq, lead(t, 1) OVER d AS t2, lead(t, 2) OVER d AS t3
-              FROM t WHERE t <> '' WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
-        w AS (SELECT doc_id, pos, seq, t3 IS NOT NULL AND row_number() OVER (PARTITION BY t, t2, t3 ORDER BY doc_id, seq) > 1 AS later FROM s),
-        g AS (SELECT doc_id, pos, seq, bool_or(later) OVER (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS gone FROM w),
+        y AS (SELECT *, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS w FROM t WHERE t <> ''),
+        s AS (SELECT doc_id, pos, t, w, row_number() OVER d AS seq, lead(t, 1) OVER d AS t2, lead(t, 2) OVER d AS t3,
+                     coalesce(lead(w, 1) OVER d, 0) AS w2, coalesce(lead(w, 2) OVER d, 0) AS w3
+              FROM y WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+        v AS (SELECT doc_id, seq, 1 AS n, [t] AS c FROM s WHERE w >= 8
+              UNION ALL SELECT doc_id, seq, 2, [t, t2] FROM s WHERE t2 IS NOT NULL AND w + w2 >= 8 AND least(w, w2) < 8
+              UNION ALL SELECT doc_id, seq, 3, [t, t2, t3] FROM s WHERE t3 IS NOT NULL AND least(w + w2, w2 + w3) < 8
+              UNION ALL SELECT doc_id, seq, if(t2 IS NULL, 1, 2), ['', '', t, coalesce(t2, '')] FROM s WHERE seq = 1 AND t3 IS NULL AND w + w2 < 8),
+        p AS (SELECT *, first_value(doc_id) OVER k AS d0, first_value(seq) OVER k AS s0 FROM v WINDOW k AS (PARTITION BY c ORDER BY doc_id, seq)),
+        e AS (SELECT DISTINCT doc_id, unnest(range(seq, seq + n)) AS seq FROM p WHERE doc_id <> d0 OR seq >= s0 + n),
+        g AS (SELECT doc_id, pos, seq, e.seq IS NOT NULL AS gone FROM s LEFT JOIN e USING (doc_id, seq)),
         r AS (SELECT doc_id, pos, gone, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY seq), false) AS run FROM g),
         k AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted, count(*) FILTER (run) AS n_runs,
                      coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT coalesce(gone, false)), '') AS kept
