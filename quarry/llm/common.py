@@ -32,11 +32,6 @@ def checked_broadcast(side: DataFrame, row_bytes: int, bound: int = BROADCAST_BY
     return F.broadcast(side) if side.count() * row_bytes <= bound else side
 
 
-def broadcast_measured(side: DataFrame, row_bytes: Column, bound: int = BROADCAST_BYTES) -> DataFrame:
-    """``checked_broadcast`` for rows of unlike sizes: the bytes that ``row_bytes`` gives are summed."""
-    return F.broadcast(side) if (side.agg(F.sum(row_bytes)).first()[0] or 0) <= bound else side
-
-
 def join_counted(rows: DataFrame, sums: DataFrame, on: list[str], count: str = "k", share: int = 100_000) -> DataFrame:
     """``rows`` joined with a written table of one row per key, whose ``count`` says how many rows have it.
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACED, broadcast_measured, join_counted, mix, prefix_hashes, sha256_hex, span_hashes, text_key, text_slices, word_spans
+from quarry.llm.common import SPACED, join_counted, mix, prefix_hashes, sha256_hex, span_hashes, text_key, text_slices, word_spans
 from quarry.session import materialize
 
 #: A repeated run is deleted from so many lines, or so many words, on.
@@ -137,7 +137,8 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id"
 
     The windows are the least runs that are enough, onward from each line and back from it; each selects its
     least line hash, and selected positions keep the runs around them.  Positions join by fingerprint and the
-    lines that their runs reach both ways; overlapping matches extend to whole runs.
+    lines that their runs reach both ways; overlapping matches extend to whole runs.  Common lines do not
+    shuffle; texts shuffle once, when the runs come to their rows.
 
     A null or empty text has no lines; a line feed at the end is followed by an empty line.  Rows that
     repeat key and text count as one place, so they are treated alike.  Extra columns are left out.  An
@@ -157,8 +158,8 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id"
     later = (join_counted(reached, earliest, ["fp", "h"]).filter(apart)
              .groupBy("__id", "__th").agg(F.collect_set(F.struct("lo", "hi")).alias("later")))
     later = materialize(later, "later-runs").select(F.col("__id").alias("__i"), F.col("__th").alias("__t"), "later")
-    side = broadcast_measured(later, 64 + 24 * F.size("later"))
-    return (rows.join(side, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__th") == F.col("__t")), "left")
+    # Runs grow with the corpus, so at every size the texts shuffle once, to the runs of their row.
+    return (rows.join(later.hint("merge"), F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__th") == F.col("__t")), "left")
             .select(F.col("__id").alias("key"), "__text", "later")
             .mapInArrow(_kept, f"key {id_type}, n_lines long, n_deleted long, n_runs long, kept_text string, kept_sha256 string")
             .withColumnRenamed("key", key))

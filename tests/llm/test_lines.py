@@ -65,14 +65,16 @@ def test_null_keys_repeats_and_empty_table(spark):
     assert L.drop_repeated_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
-def test_beyond_broadcast_bound_and_hot_lines(spark, monkeypatch):
+def test_common_lines_sent_out_or_shuffled(spark, monkeypatch):
     rows = [(i, f"own {i}\na line of eight words or a few more of them\nlast {i % 7}") for i in range(400)] + [(900, "\n".join("ab" * 300))]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     order = lambda found: sorted((r["doc_id"], r["n_deleted"], r["kept_text"]) for r in found.collect())
     expect = order(L.drop_repeated_lines(df))
     # The long line, and with it the last one where an earlier row ends alike.
     assert sum(n for _, n, _ in expect[:400]) == 399 + 393 and [x[1:] for x in expect[400:]] == [(596, "a\nb\na\nb")]
-    monkeypatch.setattr("quarry.llm.lines.broadcast_measured", lambda side, row_bytes: side)
+    # The same where no key is common enough to be sent out.
+    whole = L.join_counted
+    monkeypatch.setattr(L, "join_counted", lambda rows, sums, on: whole(rows, sums, on, share=1))
     assert order(L.drop_repeated_lines(df)) == expect
 
 
