@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import (SPACED, checked_broadcast, lower_ascii, mix, prefix_hashes, span_hashes, text_key, text_slices,
+from quarry.llm.common import (SPACED, checked_broadcast, join_counted, lower_ascii, mix, prefix_hashes, span_hashes, text_key, text_slices,
                                word_spans)
 from quarry.llm.components import connected_components
 from quarry.session import materialize
@@ -239,6 +239,10 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     rows = docs.select(F.col(key).alias("__id"), text_key(text).alias("__th"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     sets = materialize(rows.mapInArrow(lambda b: _sets(b, k), f"__id {id_type}, __th long, n long, node binary"), "sets")
 
+    # The first document of each set, with sums before the shuffle: exact copies meet nowhere else.
+    place = lambda: F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__th").alias("th"))
+    first = materialize(sets.filter("n > 0").groupBy("node").agg(F.min(place()).alias("doc"), F.count(F.lit(1)).alias("k")), "first-documents")
+
     # Frequencies of the tokens that prefixes are taken from, over all documents.
     counts = rows.select("__text").mapInArrow(lambda b: _tokens(b, k, percent), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     classes = materialize(counts.filter(F.col("df") >= KNOWN_DF).select("token", F.ceil(F.log2("df")).cast("int").alias("class")), "token-classes")
@@ -265,14 +269,13 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         counted = pairs.filter(_fits(F.col("an"), F.col("bn"), percent)).groupBy("a", "b", "an", "bn", "both").agg(F.count(F.lit(1)).alias("shared"))
         return counted.filter(F.col("both") | (F.col("shared") >= enough)).select("a", "b")
 
-    # First every member of an entry with the entry's least node.  Sums are written before they are
-    # joined, so that AQE can split the join's hot entries.
+    # First every member of an entry with the entry's least node; hot entries do not shuffle.
     hubs = materialize(entries.groupBy("sig").agg(F.min(F.struct("node", "n", "ext")).alias("hub"), F.count(F.lit(1)).alias("members"))
-                       .filter("members > 1").select("sig", "hub.*"), "hubs")
-    hubs = hubs.select("sig", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("ext").alias("bext"))
-    star = sharing(entries.join(hubs, "sig").filter("node <> b")
+                       .filter("members > 1").select("sig", "members", "hub.*"), "hubs")
+    hubs = hubs.select("sig", "members", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("ext").alias("bext"))
+    star = sharing(join_counted(entries, hubs, ["sig"], "members").filter("node <> b")
                    .select(F.col("node").alias("a"), "b", F.col("n").alias("an"), "bn", (F.col("ext") & F.col("bext")).alias("both")))
-    star = _verified(materialize(star, "star-pairs"), rows, sets, k, percent)
+    star = _verified(materialize(star, "star-pairs"), rows, first, k, percent)
     links = star.filter("linked").select("a", "b")
     roots = materialize(connected_components(links), "star-components")
 
@@ -288,35 +291,33 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     across = (one.join(two, "sig").filter((F.col("node") > F.col("b")) & (F.col("root") != F.col("broot")) & _fits(F.col("n"), F.col("bn"), percent))
               .select(F.col("node").alias("a"), "b", F.col("n").alias("an"), "bn", (F.col("ext") & F.col("bext")).alias("both")))
     across = sharing(across).join(star.select("a", "b"), ["a", "b"], "left_anti")
-    more = _verified(materialize(across, "cross-pairs"), rows, sets, k, percent).filter("linked").select("a", "b")
-    large = _linked_in_blocks(rooted.join(open_.filter(F.col("members") > BLOCK).select("sig", "lo"), "sig"), rows, sets, k, percent)
+    more = _verified(materialize(across, "cross-pairs"), rows, first, k, percent).filter("linked").select("a", "b")
+    large = _linked_in_blocks(join_counted(rooted, open_.filter(F.col("members") > BLOCK).select("sig", "members"), ["sig"], "members"), rows, first, k, percent)
     every = materialize(links.unionByName(more).unionByName(large), "all-links")
     roots = connected_components(every)
 
     # Component ids: the least key of all documents of all nodes of a component.
-    order = lambda: F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__th").alias("th"))
-    least_doc = sets.filter("n > 0").groupBy("node").agg(F.min(order()).alias("doc"))
-    rooted = materialize(least_doc.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "node-roots")
-    named = (rooted.join(rooted.groupBy("root").agg(F.min("doc").alias("least")), "root").select(F.col("node").alias("__node"), "least"))
-    out = sets.join(named, F.col("node") == F.col("__node"), "left")
+    rooted = materialize(first.withColumnRenamed("k", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "node-roots")
+    leasts = materialize(rooted.groupBy("root").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("k")), "root-documents")
+    named = materialize(join_counted(rooted, leasts, ["root"]).select("node", "least", F.col("copies").alias("k")), "named-nodes")
+    out = join_counted(sets.filter("n > 0"), named, ["node"]).unionByName(sets.filter("n = 0"), allowMissingColumns=True)
     return out.select(
         F.col("__id").alias(key), "__th", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least.id")).otherwise(F.col("__id")).alias("component_id"),
-        F.when(F.col("n") > 0, F.col("least") == order()).otherwise(True).alias("kept"))
+        F.when(F.col("n") > 0, F.col("least") == place()).otherwise(True).alias("kept"))
 
 
-def _whole_sets(nodes: DataFrame, rows: DataFrame, sets: DataFrame, k: int) -> DataFrame:
-    """(node, tokens): the whole sets of the given nodes, from one document of each."""
-    docs = materialize(sets.select("__id", "__th", "node").join(nodes.distinct(), "node")
-                       .groupBy("node").agg(F.min(F.struct("__id", "__th")).alias("doc")), "pair-documents")
-    docs = checked_broadcast(docs.select("node", F.col("doc.__id").alias("__i"), F.col("doc.__th").alias("__t")), 64)
+def _whole_sets(nodes: DataFrame, rows: DataFrame, first: DataFrame, k: int) -> DataFrame:
+    """(node, tokens): the whole sets of the given nodes, from the first document of each."""
+    docs = materialize(first.join(nodes.distinct(), "node").select("node", F.col("doc.id").alias("__i"), F.col("doc.th").alias("__t")), "pair-documents")
+    docs = checked_broadcast(docs, 64)
     texts = rows.join(docs, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__th") == F.col("__t"))).select("node", "__text")
     return materialize(texts.mapInArrow(lambda b: _whole(b, k), "node binary, tokens array<long>").dropDuplicates(["node"]), "pair-sets")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
     """``pairs`` of nodes (a, b) with ``linked``, from their whole sets."""
-    whole = _whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), rows, sets, k)
+    whole = _whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), rows, first, k)
     both = (pairs.join(whole.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
             .join(whole.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b"))
     common = F.size(F.array_intersect("x", "y"))
@@ -324,8 +325,8 @@ def _verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame, k: int, percen
     return materialize(both.select("a", "b", linked.alias("linked")), "verified")
 
 
-def _linked_in_blocks(entries: DataFrame, rows: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links that tie the roots of large entries (sig, node, root, lo) together.
+def _linked_in_blocks(entries: DataFrame, rows: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links that tie the roots of large entries (sig, node, root) together.
 
     Entries that share members form a crowd.  Its members are dealt by hash into blocks, and each pair
     of blocks is one task's: matrix products give all overlaps, and only links that tie further roots
@@ -340,7 +341,7 @@ def _linked_in_blocks(entries: DataFrame, rows: DataFrame, sets: DataFrame, k: i
     sizes = members.groupBy("crowd").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     members = materialize(members.join(sizes.select("crowd", blocks.alias("blocks")), "crowd"), "crowd-members")
-    whole = _whole_sets(members.select("node"), rows, sets, k)
+    whole = _whole_sets(members.select("node"), rows, first, k)
     members = members.join(whole, "node").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     left = members.select("crowd", "node", "root", "tokens", F.lit(0).alias("side"), F.col("block").alias("i"),
                           F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
