@@ -14,18 +14,15 @@ Merge semantics:
   appearance in the batch (``ordering.with_position``: no one-task window, and
   no two rows share an id whatever the order column holds).
 
-The stored table is split in buckets by key hash.  An upsert rewrites the
-buckets its keys fall in, into a folder of its own, and then commits a small
-record that names the folder of every bucket: readers see all of a commit or
-nothing, a failed attempt leaves an unnamed folder, and a retry takes the next
-record number.
+The stored table is a Parquet folder partitioned by ranges of ids.  A row keeps
+its id and so its range: the number of ranges grows with the table, none grows
+with it.  An upsert finds the ranges its keys lie in and overwrites these (and
+the last one, which new ids fill) with Spark's dynamic partition overwrite.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import json
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -110,35 +107,32 @@ def match_keys(target: DataFrame, batch: DataFrame, key: str = "source_key", uni
                                       F.col("_b_key").isNotNull().alias("in_batch")))
 
 
-def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.datetime,
-          strict: bool | None = True, normalized: bool = False, max_id: int | None = None) -> DataFrame:
-    """``target`` after upserting ``batch``.
-
-    ``strict`` (the reference behaviour) raises when any batch row breaks an
-    integrity rule, ``False`` leaves broken rows out (``SnapshotTable`` keeps
-    them, see ``rejected``), ``None`` is for rows checked before.  ``max_id`` is the highest id in use when ``target``
-    is a part of the table.
-    """
-    rows = batch if normalized else normalize_records(batch, source)
-    if strict:
-        assert_valid(rows, source)
-    elif strict is not None:
-        rows, _ = split_valid(rows, source)
+def last_rows(rows: DataFrame, source: str) -> DataFrame:
+    """One row for each key of a normalised batch, the last one, as a written
+    table; ``_first`` is where the key appears first."""
     fields = [c for c in S.FIELDS[source] if c != "source_key"]
     last = (rows.groupBy("source_key")
                 .agg(F.max_by(F.struct(*fields), F.struct("ordinal", F.xxhash64(*fields))).alias("_row"),
                      F.min("ordinal").alias("_first")))
-    last = materialize(last.select("source_key", "_first", *[F.col(f"_row.{c}").alias(c) for c in fields]), "batch-rows")
-    # Only target rows that the filter of the batch's keys lets through meet the batch; the others pass without a shuffle.
-    maybe = key_filter(last.select("source_key"), "source_key")(F.col("source_key"))
+    return materialize(last.select("source_key", "_first", *[F.col(f"_row.{c}").alias(c) for c in fields]), "batch-rows")
+
+
+def _numbered(fresh: DataFrame) -> DataFrame:
+    """``source_key`` of new keys with their place (from 1) by first appearance."""
+    placed = with_position(fresh.select("source_key", "_first"), [F.col("_first"), F.col("source_key")], "_place")
+    return placed.select("source_key", "_place")
+
+
+def _combine(target: DataFrame, last: DataFrame, maybe: Column, source: str, batch_time: _dt.datetime, top: Column) -> DataFrame:
+    """``target`` with the rows of ``last``; ids of new keys follow ``top``.
+    Rows that ``maybe`` excludes pass without a shuffle."""
+    fields = [c for c in S.FIELDS[source] if c != "source_key"]
     near = target.where(maybe)
-    fresh = last.select("source_key", "_first").join(near.select("source_key"), "source_key", "left_anti")
-    fresh = with_position(fresh, [F.col("_first"), F.col("source_key")], "_place").select("source_key", "_place")
+    fresh = _numbered(last.join(near.select("source_key"), "source_key", "left_anti"))
     last = last.join(fresh, "source_key", "left")
 
     t = near.select([F.col(c).alias(f"_t_{c}") for c in target.columns])
     joined = t.join(last, t["_t_source_key"] == last["source_key"], "full_outer")
-    top = target.select(F.coalesce(F.max("id"), F.lit(0))).scalar() if max_id is None else F.lit(max_id)
     ts = F.lit(batch_time).cast(S.STORED_TYPES[source]["created_at"])
     in_batch = F.col("source_key").isNotNull()
     in_target = F.col("_t_source_key").isNotNull()
@@ -154,103 +148,110 @@ def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.date
     return merged.unionByName(target.where(~maybe).select(*[F.col(f.name).cast(f.dataType) for f in merged.schema.fields]))
 
 
-class SnapshotTable:
-    """A stored table: bucket folders of Parquet files and numbered commit records."""
+def merge(target: DataFrame, batch: DataFrame, source: str, batch_time: _dt.datetime, strict: bool = True) -> DataFrame:
+    """``target`` after upserting ``batch``.
+
+    ``strict`` (the reference behaviour) raises when any batch row breaks an
+    integrity rule, ``False`` leaves broken rows out (``StoredTable`` keeps
+    them, see ``rejected``).
+    """
+    rows = normalize_records(batch, source)
+    if strict:
+        assert_valid(rows, source)
+    else:
+        rows, _ = split_valid(rows, source)
+    last = last_rows(rows, source)
+    maybe = key_filter(last.select("source_key"), "source_key")(F.col("source_key"))
+    top = target.select(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    return _combine(target, last, maybe, source, batch_time, top)
+
+
+class StoredTable:
+    """A stored table under ``root``, all plain Parquet: ``rows`` partitioned by
+    ``part`` (ids by ``rows_per_part``), ``rejected`` by batch, ``merged`` with
+    the ids of the merged batches.
 
-    def __init__(self, spark: SparkSession, root: str, source: str, buckets: int = 32):
+    One writer at a time; a frame read before an upsert is to be read again.
+    Lost executors only repeat tasks: folders change when the write's job
+    commits.  A batch that ends before that is merged again with the same
+    result; ranges are replaced one after the other, so a driver lost in that
+    step leaves the range it was at in Spark's staging folder.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, source: str, rows_per_part: int = 1_000_000):
         if source not in S.STORED_TYPES:
             raise ValueError("table not allowed")
-        self.spark, self.root, self.source, self.buckets = spark, root.rstrip("/"), source, buckets
-
-    def _path(self, *parts: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
-
-    def _fs(self):
-        return self._path().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _numbers(self) -> list[int]:
-        fs, folder = self._fs(), self._path("_commits")
-        if not fs.exists(folder):
-            return []
-        return sorted(int(name[:-5]) for s in fs.listStatus(folder) if (name := s.getPath().getName()).endswith(".json"))
-
-    def _record(self, number: int) -> dict | None:
-        """A commit record; ``None`` for one whose writer died before its end."""
-        stream = self._fs().open(self._path("_commits", f"{number:08d}.json"))
-        try:
-            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        except ValueError:
-            return None
-        finally:
-            stream.close()
-
-    def latest(self) -> dict:
-        for number in reversed(self._numbers()):
-            record = self._record(number)
-            if record:
-                return record
-        return {"version": 0, "buckets": {}, "n_buckets": self.buckets, "max_id": 0, "batch_id": None}
+        self.spark, self.root, self.source, self.rows_per_part = spark, root.rstrip("/"), source, rows_per_part
 
-    def versions(self) -> list[int]:
-        return [n for n in self._numbers() if self._record(n)]
+    def _load(self, name: str, schema: T.StructType | None = None) -> DataFrame | None:
+        """A folder of the table, ``None`` before its first write."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return None
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(f"{self.root}/{name}")
 
-    def _load(self, record: dict, only: list[int] | None = None) -> DataFrame:
-        paths = [f"{folder}/bucket={b}" for b, folder in record["buckets"].items() if only is None or int(b) in only]
-        if not paths:
-            return empty_table(self.spark, self.source)
-        return self.spark.read.schema(empty_table(self.spark, self.source).schema).parquet(*paths)
+    def _rows(self) -> DataFrame | None:
+        return self._load("rows", empty_table(self.spark, self.source).schema.add("part", T.LongType()))
 
     def read(self) -> DataFrame:
-        return self._load(self.latest())
+        rows = self._rows()
+        return empty_table(self.spark, self.source) if rows is None else rows.drop("part")
 
     def rejected(self) -> DataFrame | None:
         """Rows that lenient upserts left out, with the rules they break."""
-        folders = [r["rejected"] for n in self._numbers() if (r := self._record(n)) and r.get("rejected")]
-        return self.spark.read.parquet(*folders) if folders else None
+        return self._load("rejected")
+
+    def merged(self) -> DataFrame:
+        """``batch``: ids of the batches that are merged."""
+        done = self._load("merged", T.StructType().add("batch", T.LongType()))
+        return self.spark.range(0).select(F.col("id").alias("batch")) if done is None else done
 
     def upsert(self, batch: DataFrame, batch_time: _dt.datetime | None = None, strict: bool = True,
                batch_id: int | None = None) -> int:
-        """Merge ``batch`` and commit; returns the number of rows merged.
+        """Merge ``batch``; returns the number of rows merged.
 
-        ``strict=False`` stores rows that break an integrity rule beside the
-        commit (``rejected``) instead of failing.  A ``batch_id`` not above the
-        last committed one has been merged before: nothing happens.  An empty
-        batch without id commits nothing.
+        ``strict=False`` stores rows that break an integrity rule apart
+        (``rejected``) instead of failing.  A ``batch_id`` that is merged already
+        does nothing; one that died before its end is merged again.
         """
-        latest = self.latest()
-        if batch_id is not None and latest["batch_id"] is not None and batch_id <= latest["batch_id"]:
+        if batch_id is not None and not self.merged().where(F.col("batch") == batch_id).isEmpty():
             return 0
-        bucket = F.pmod(F.xxhash64("source_key"), F.lit(latest["n_buckets"])).cast("int").alias("bucket")
         rows = materialize(violations(normalize_records(batch, self.source), self.source), "batch")
         broken = F.size("violations") > 0
-        counts = rows.groupBy(bucket, broken.alias("broken")).agg(F.count(F.lit(1)).alias("n")).collect()
-        touched = sorted(r["bucket"] for r in counts if not r["broken"])
-        n_bad = sum(r["n"] for r in counts if r["broken"])
+        n_rows, n_bad = rows.agg(F.count(F.lit(1)), F.count_if(broken)).first()
         if strict and n_bad:
             raise ValueError(f"{self.source}: batch breaks an integrity rule; nothing written")
-        if not touched and not n_bad and batch_id is None:
-            return 0
-        valid, bad = rows.where(~broken).drop("violations"), rows.where(broken)
-        folder = f"{self.root}/data/{uuid.uuid4().hex}"
-        record = dict(latest, rejected=None)
         if n_bad:
-            record["rejected"] = f"{folder}/rejected"
-            bad.write.parquet(record["rejected"])
-        if touched:
+            bad = rows.where(broken).withColumn("batch", F.lit(batch_id).cast("bigint"))
+            # a batch merged again replaces what it rejected the first time
+            bad.write.mode("append" if batch_id is None else "overwrite").option("partitionOverwriteMode", "dynamic") \
+               .partitionBy("batch").parquet(f"{self.root}/rejected")
+        if n_rows > n_bad:
             batch_time = batch_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-            merged = merge(self._load(latest, touched), valid, self.source, batch_time, strict=None, normalized=True,
-                           max_id=latest["max_id"])
-            merged.withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").parquet(f"{folder}/rows")
-            top = self.spark.read.parquet(f"{folder}/rows").agg(F.max("id")).first()[0]
-            record["max_id"] = max(latest["max_id"], top or 0)
-            record["buckets"] = {**latest["buckets"], **{str(b): f"{folder}/rows" for b in touched}}
-        record["batch_id"] = latest["batch_id"] if batch_id is None else batch_id
-        self._commit(record)
-        return sum(r["n"] for r in counts if not r["broken"])
-
-    def _commit(self, record: dict) -> None:
-        """Write the next record; creating it fails if another writer has taken its number."""
-        number = max([0, *self._numbers()]) + 1
-        stream = self._fs().create(self._path("_commits", f"{number:08d}.json"), False)
-        stream.write(bytearray(json.dumps({**record, "version": number}).encode()))
-        stream.close()
+            changed = self._changed(last_rows(rows.where(~broken).drop("violations"), self.source), batch_time)
+            changed.withColumn("part", F.expr(f"(id - 1) div {self.rows_per_part}")).repartition("part") \
+                   .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{self.root}/rows")
+        if batch_id is not None:
+            self._mark(batch_id)
+        return n_rows - n_bad
+
+    def _changed(self, last: DataFrame, batch_time: _dt.datetime) -> DataFrame:
+        """All rows of the ranges that ``last`` changes.
+
+        The driver learns which these are: one number for ``rows_per_part`` stored
+        rows at most, and the scan of their rows is pruned to them."""
+        stored = self._rows()
+        if stored is None:
+            return _combine(empty_table(self.spark, self.source), last, F.lit(True), self.source, batch_time, F.lit(0))
+        keys = last.select("source_key")
+        maybe = key_filter(keys, "source_key")(F.col("source_key"))
+        found = stored.where(maybe).join(keys, "source_key", "left_semi").groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()
+        top = stored.agg(F.max("id")).first()[0] or 0
+        parts = {r["part"] for r in found}
+        if sum(r["n"] for r in found) < keys.count():  # new keys go on in the last range
+            parts.add(top // self.rows_per_part)
+        return _combine(stored.where(F.col("part").isin(sorted(parts))).drop("part"), last, maybe, self.source, batch_time, F.lit(top))
+
+    def _mark(self, batch_id: int) -> None:
+        self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch")).coalesce(1).write.mode("append").parquet(f"{self.root}/merged")

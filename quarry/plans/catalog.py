@@ -1062,10 +1062,10 @@ def u1_upsert(spark, d):
     and keeps to the rules, the second sees all of them with new prices.  A
     batch that breaks a rule is refused in between and leaves no trace."""
     from ..operators.constraints import split_valid
-    from ..operators.upsert import SnapshotTable, normalize_records
+    from ..operators.upsert import StoredTable, normalize_records
     from ..session import scratch_path
     raw = B.raw_books(spark, d)
-    table = SnapshotTable(spark, scratch_path(spark, "u1"), "books")
+    table = StoredTable(spark, scratch_path(spark, "u1"), "books")
     valid, _ = split_valid(normalize_records(raw.where(F.col("products_on_page") <= 25), "books"), "books")
     table.upsert(valid, T0, strict=True)
     try:
@@ -1102,10 +1102,10 @@ RAW_CARS_V2 = "SELECT * FROM (SELECT ordinal, brand, model, year, mileage AS pri
           + _merge_sql(_merge_sql(_EMPTY_CARS, _car_norm_sql(_CARS_B1), T0, CAR_STORED),
                        _car_norm_sql(RAW_CARS_V2.format(raw=RAW_CARS_SQL)), T1, CAR_STORED) + ") u")
 def u1_upsert_cars(spark, d):
-    from ..operators.upsert import SnapshotTable
+    from ..operators.upsert import StoredTable
     from ..session import scratch_path
     raw = B.raw_cars(spark, d)
-    table = SnapshotTable(spark, scratch_path(spark, "u1-cars"), "cars")
+    table = StoredTable(spark, scratch_path(spark, "u1-cars"), "cars")
     table.upsert(raw.where("ordinal % 3 <> 0"), T0, strict=False)
     table.upsert(spark.sql(RAW_CARS_V2, raw=raw), T1, strict=False)
     return table.read()
@@ -1116,9 +1116,9 @@ SELECT CAST(count(DISTINCT source_key) AS BIGINT) AS n_rows, CAST(count(DISTINCT
        CAST(count(DISTINCT source_key) AS BIGINT) AS max_id FROM ({_book_norm_sql(RAW_BOOKS_SQL)}) n""")
 def u1_unique_ids(spark, d):
     """Ids stay unique and dense when many rows of a batch share their place in the order."""
-    from ..operators.upsert import SnapshotTable
+    from ..operators.upsert import StoredTable
     from ..session import scratch_path
-    table = SnapshotTable(spark, scratch_path(spark, "u1-ids"), "books")
+    table = StoredTable(spark, scratch_path(spark, "u1-ids"), "books")
     table.upsert(B.raw_books(spark, d).withColumn("ordinal", F.col("ordinal") % 7), T0, strict=False)
     return table.read().agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.max("id").alias("max_id"))
 
@@ -1452,16 +1452,16 @@ def _run(spark, d, source):
 
 @register("u4_run_books", None)
 def u4_run_books(spark, d):
-    from ..operators.upsert import SnapshotTable
+    from ..operators.upsert import StoredTable
     _, root = _run(spark, d, "books")
-    return SnapshotTable(spark, f"{root}/table", "books").read()
+    return StoredTable(spark, f"{root}/table", "books").read()
 
 
 @register("u4_run_cars", None)
 def u4_run_cars(spark, d):
-    from ..operators.upsert import SnapshotTable
+    from ..operators.upsert import StoredTable
     _, root = _run(spark, d, "cars")
-    return SnapshotTable(spark, f"{root}/table", "cars").read()
+    return StoredTable(spark, f"{root}/table", "cars").read()
 
 
 @register("d14_run_report", None)
@@ -1491,7 +1491,7 @@ def u5_stream_ingest(spark, d):
     """Raw book ads arrive as three drops (by listing page range); each drop
     is ingested by the stream; the result is the stored table."""
     from .. import schema as S
-    from ..operators.upsert import SnapshotTable
+    from ..operators.upsert import StoredTable
     from ..session import scratch_path
     from ..streaming.ingest import ingest
     root = scratch_path(spark, "u5")
@@ -1503,7 +1503,7 @@ def u5_stream_ingest(spark, d):
         raw.where(cond).write.mode("append").parquet(f"{root}/drop")
         ingest(spark, "books", f"{root}/drop", S.RAW_BOOK_SCHEMA, f"{root}/work", f"{root}/table",
                batch_time=BATCH_TIME + _dt.timedelta(hours=i))
-    return SnapshotTable(spark, f"{root}/table", "books").read()
+    return StoredTable(spark, f"{root}/table", "books").read()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -32,7 +32,7 @@ from ..operators.enrich import enrich_listing
 from ..operators.extract import (BOOK_CARD_SPEC, CAR_CARD_SPEC, COUNT, Field, Spec, book_details, extract,
                                  extract_nested)
 from ..operators.ordering import with_position
-from ..operators.upsert import SnapshotTable
+from ..operators.upsert import StoredTable
 from ..session import materialize
 from ..sources.inline import one_row
 from ..sources.sinks import write_csv
@@ -153,7 +153,7 @@ def run_source(spark: SparkSession, source: str, listing_pages: DataFrame, *, ma
     cleaned = materialize(cleaned, "cleaned")
     row_count = int(obs.get.get("row_count", 0))
 
-    table = SnapshotTable(spark, table_root, source)
+    table = StoredTable(spark, table_root, source)
     persisted = table.upsert(cleaned, batch_time)
     out_path = None
     if export_dir:

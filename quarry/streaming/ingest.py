@@ -4,19 +4,19 @@ Raw export files dropped into a folder are picked up by a file-source stream
 with an explicit schema, cleaned row by row (the stateless part of U2/U3)
 and appended to a Parquet staging folder with ``trigger(availableNow=True)``:
 every new file is processed exactly once, tracked by the stream checkpoint.
-The rows of each staged batch are then de-duplicated (E1) and upserted (U1)
-into the stored table.
+Staged rows carry the time of their micro-batch, which the stream keeps when it
+repeats one, as the partition column ``batch``.  The rows of each batch that the
+stored table has not merged are then de-duplicated (E1) and upserted (U1).
 
 No ``foreachBatch`` callback is used (it needs a callback server in the
 Python process); the staging folder plays its role.  Re-running after a
-crash is safe at any point: the sink's commit log says what is staged, and
-the table's commits say up to which batch it is merged.
+crash is safe at any point: Spark's reader shows what the sink committed, and
+the table lists the batches it merged.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -24,55 +24,18 @@ from pyspark.sql import types as T
 from .. import schema as S
 from ..operators.columns import canonical_projection
 from ..operators.dedup import dedup_clean
-from ..operators.upsert import SnapshotTable
+from ..operators.upsert import StoredTable
 from ..plans.clean import clean_books_rows, clean_cars_rows
 
 _FALLBACK = {"books": ("title", "price"), "cars": ("brand", "model", "year", "price", "mileage")}
 
 
-_SINK_LOG = "_spark_metadata"
-
-
-def _log_names(spark: SparkSession, staging: str) -> dict[int, str]:
-    """Committed batches of the file sink: id -> name of its log file."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{staging}/{_SINK_LOG}")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-    return {int(n.removesuffix(".compact")): n for n in sorted(names) if n.removesuffix(".compact").isdigit()}
-
-
-def _logged(spark: SparkSession, staging: str, name: str) -> list[str]:
-    """Files that a log file adds (Spark's readers leave the log's folder out)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{staging}/{_SINK_LOG}/{name}")
-    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
-    try:
-        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return [json.loads(line)["path"] for line in text.splitlines() if line.startswith("{")]
-
-
-def staged_batches(spark: SparkSession, staging: str, after: int) -> list[tuple[int, list[str]]]:
-    """Files of every committed batch above ``after``, in order, from the sink's
-    own log: files of failed attempts are not in it.  A compacted log file
-    holds all batches up to its id; what is not its own is subtracted."""
-    names = _log_names(spark, staging)
-    out = []
-    for batch in sorted(b for b in names if b > after):
-        files = _logged(spark, staging, names[batch])
-        if names[batch].endswith(".compact"):
-            earlier = {f for b in names if b < batch for f in _logged(spark, staging, names[b])}
-            files = [f for f in files if f not in earlier]
-        out.append((batch, files))
-    return out
-
-
 def stage(spark: SparkSession, source: str, raw_dir: str, schema: T.StructType, staging_dir: str,
           checkpoint_dir: str, fmt: str = "parquet", max_year: int | None = None,
-          max_files_per_trigger: int | None = None) -> None:
+          max_files_per_trigger: int | None = None) -> T.StructType:
     """Stream new raw files through row-level cleaning into ``staging_dir``
-    and wait until everything available has been processed."""
+    and wait until everything available has been processed; returns the
+    schema of the staged rows."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", "true")
@@ -80,7 +43,8 @@ def stage(spark: SparkSession, source: str, raw_dir: str, schema: T.StructType,
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(raw_dir)
     rows = clean_books_rows(raw) if source == "books" else clean_cars_rows(raw, max_year)
-    query = (rows.writeStream.format("parquet")
+    rows = rows.withColumn("batch", F.unix_millis(F.current_timestamp()))
+    query = (rows.writeStream.format("parquet").partitionBy("batch")
                  .option("checkpointLocation", checkpoint_dir)
                  .outputMode("append")
                  .trigger(availableNow=True)
@@ -88,6 +52,7 @@ def stage(spark: SparkSession, source: str, raw_dir: str, schema: T.StructType,
     query.awaitTermination()
     if query.exception() is not None:  # pragma: no cover - surfaced to caller
         raise RuntimeError(str(query.exception()))
+    return rows.schema
 
 
 def ingest(spark: SparkSession, source: str, raw_dir: str, schema: T.StructType, work_dir: str,
@@ -97,28 +62,27 @@ def ingest(spark: SparkSession, source: str, raw_dir: str, schema: T.StructType,
     """Ingest the files that arrived and merge every staged batch that the
     table has not merged yet; returns the number of rows merged.
 
-    The table stores the id of the last merged batch in the same commit as its
-    rows.  A crash after staging or before the commit is made good by the next
-    call; a batch is never merged twice.  Unattended ingestion is lenient: rows
-    breaking an integrity rule are stored beside the commit
-    (``SnapshotTable.rejected``); ``strict=True`` fails the batch instead."""
+    A crash after staging or before a batch is marked as merged is made good by
+    the next call, which merges it again with the same result.  Unattended
+    ingestion is lenient: rows breaking an integrity rule are stored apart
+    (``StoredTable.rejected``); ``strict=True`` fails the batch instead."""
     work = work_dir.rstrip("/")
-    stage(spark, source, raw_dir, schema, f"{work}/staging", f"{work}/checkpoint", fmt, max_year, max_files_per_trigger)
-    return merge_staged(spark, source, f"{work}/staging", table_root, batch_time, strict)
+    schema = stage(spark, source, raw_dir, schema, f"{work}/staging", f"{work}/checkpoint", fmt, max_year, max_files_per_trigger)
+    return merge_staged(spark, source, f"{work}/staging", schema, table_root, batch_time, strict)
 
 
-def merge_staged(spark: SparkSession, source: str, staging: str, table_root: str,
+def merge_staged(spark: SparkSession, source: str, staging: str, schema: T.StructType, table_root: str,
                  batch_time: _dt.datetime | None = None, strict: bool = False) -> int:
-    """Merge the staged batches above the table's last one, each in a commit of its own."""
-    table = SnapshotTable(spark, table_root, source)
-    last = table.latest()["batch_id"]
+    """Merge the staged batches that the table has not merged, in order; each
+    read is pruned to its batch.  The driver holds their numbers alone."""
+    table = StoredTable(spark, table_root, source)
+    staged = spark.read.schema(schema).parquet(staging)
+    waiting = staged.select("batch").distinct().join(table.merged(), "batch", "left_anti")
     merged = 0
-    for batch, files in staged_batches(spark, staging, -1 if last is None else last):
-        if not files:
-            continue
-        staged = spark.read.schema(spark.read.parquet(files[0]).schema).parquet(*files)
-        cleaned = canonical_projection(dedup_clean(staged, _FALLBACK[source]), ("ordinal",) + S.COLUMNS[source])
-        merged += table.upsert(cleaned, batch_time, strict=strict, batch_id=batch)
+    for batch in sorted(r["batch"] for r in waiting.collect()):
+        rows = dedup_clean(staged.where(F.col("batch") == batch), _FALLBACK[source])
+        at = batch_time or _dt.datetime.fromtimestamp(batch / 1000, _dt.timezone.utc).replace(tzinfo=None)
+        merged += table.upsert(canonical_projection(rows, ("ordinal",) + S.COLUMNS[source]), at, strict=strict, batch_id=batch)
     return merged
 
 

@@ -1,13 +1,15 @@
 """Dedup, crawl, aggregates, enrichment and upsert on small hand-made frames."""
 import datetime as dt
+import pathlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import aggregates as A
 from quarry.operators import crawl as C
 from quarry.operators.dedup import dedup_clean, dedup_raw
 from quarry.operators.enrich import enrich_listing
-from quarry.operators.upsert import SnapshotTable, empty_table, merge
+from quarry.operators.upsert import StoredTable, empty_table, merge
 
 
 def test_dedup_clean_and_raw(spark):
@@ -139,43 +141,75 @@ def test_upsert_strict_rejects(spark):
         pass
 
 
-def test_snapshot_table(spark, tmp_root):
-    table = SnapshotTable(spark, f"{tmp_root}/books", "books")
+def test_stored_table(spark, tmp_root):
+    table = StoredTable(spark, f"{tmp_root}/books", "books")
     assert table.read().count() == 0
     assert table.upsert(_batch(spark, []), dt.datetime(2026, 1, 1)) == 0
     assert table.upsert(_batch(spark, [(0, "A", "£1", "u", "c"), (1, "B", "2", None, "c")]),
                         dt.datetime(2026, 1, 1)) == 2
     assert table.upsert(_batch(spark, [(0, "A", "£7", "u", "c")]), dt.datetime(2026, 1, 2)) == 1
-    assert table.versions() == [1, 2]
     got = {r.title: r.price for r in table.read().collect()}
     assert got == {"A": 7.0, "B": 2.0}
 
 
 def test_upsert_ids_unique_with_tied_order(spark, tmp_root):
     rows = [(n % 3, f"T{n}", "1", None, "c") for n in range(40)]
-    table = SnapshotTable(spark, f"{tmp_root}/t", "books", buckets=4)
+    table = StoredTable(spark, f"{tmp_root}/t", "books", rows_per_part=7)
     table.upsert(_batch(spark, rows), dt.datetime(2026, 1, 1))
     table.upsert(_batch(spark, [(0, f"U{n}", "1", None, "c") for n in range(5)]), dt.datetime(2026, 1, 2))
     assert sorted(r.id for r in table.read().collect()) == list(range(1, 46))
 
 
-def test_upsert_survives_dead_attempts_and_rewrites_touched_buckets(spark, tmp_root):
-    table = SnapshotTable(spark, f"{tmp_root}/t", "books")
+def _parts(root):
+    """Ranges of ids and the files they hold."""
+    return {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in pathlib.Path(root, "rows").glob("part=*")}
+
+
+def test_upsert_overwrites_the_ranges_its_keys_lie_in(spark, tmp_root):
+    table = StoredTable(spark, f"{tmp_root}/t", "books", rows_per_part=8)
     table.upsert(_batch(spark, [(n, f"T{n}", "1", None, "c") for n in range(30)]), dt.datetime(2026, 1, 1))
-    first = table.latest()
-    spark.range(3).write.parquet(f"{tmp_root}/t/data/dead/rows")          # a writer that died before its commit
-    with open(f"{tmp_root}/t/_commits/00000002.json", "w") as f:           # and one that died inside it
-        f.write('{"version": 2, "buck')
-    assert table.latest() == first
+    first = _parts(table.root)
+    assert set(first) == {f"part={n}" for n in range(4)}                   # ranges grow in number, not in size
     assert table.upsert(_batch(spark, [(0, "T3", "9", None, "c")]), dt.datetime(2026, 1, 2)) == 1
-    second = table.latest()
-    changed = [b for b in second["buckets"] if second["buckets"][b] != first["buckets"].get(b)]
-    assert len(changed) == 1 and table.versions() == [1, 3]
-    assert {r.title: r.price for r in table.read().collect()} == {f"T{n}": 9.0 if n == 3 else 1.0 for n in range(30)}
+    second = _parts(table.root)
+    assert [p for p in sorted(first) if first[p] != second[p]] == ["part=0"]
+    table.upsert(_batch(spark, [(n, f"U{n}", "1", None, "c") for n in range(5)]), dt.datetime(2026, 1, 3))
+    third = _parts(table.root)
+    assert [p for p in sorted(third) if third[p] != second.get(p)] == ["part=3", "part=4"]
+    rows = table.read().collect()
+    assert sorted(r.id for r in rows) == list(range(1, 36))
+    assert {r.title: r.price for r in rows if r.title[0] == "T"} == {f"T{n}": 9.0 if n == 3 else 1.0 for n in range(30)}
+
+
+def test_upsert_survives_a_write_that_dies(spark, tmp_root, monkeypatch):
+    table = StoredTable(spark, f"{tmp_root}/t", "books", rows_per_part=8)
+    table.upsert(_batch(spark, [(n, f"T{n}", "1", None, "c") for n in range(20)]), dt.datetime(2026, 1, 1))
+    before = sorted(tuple(r) for r in table.read().collect())
+    changed = StoredTable._changed
+
+    def die(self, last, batch_time):
+        rows = changed(self, last, batch_time)
+        return rows.where(F.when(F.col("id") == 3, F.raise_error(F.lit("lost")).cast("boolean")).otherwise(F.lit(True)))
+    batch = _batch(spark, [(0, "T2", "9", None, "c"), (1, "T15", "9", None, "c"), (2, "N", "9", None, "c")])
+    with monkeypatch.context() as m:
+        m.setattr(StoredTable, "_changed", die)
+        with pytest.raises(Exception, match="lost"):
+            table.upsert(batch, dt.datetime(2026, 1, 2))
+    assert sorted(tuple(r) for r in table.read().collect()) == before
+    assert table.upsert(batch, dt.datetime(2026, 1, 2)) == 3 and table.read().count() == 21
+
+
+def test_a_batch_is_merged_once(spark, tmp_root):
+    table = StoredTable(spark, f"{tmp_root}/t", "books")
+    rows = _batch(spark, [(0, "A", "1", None, "c"), (1, " ", "2", None, "c")])
+    assert table.upsert(rows, dt.datetime(2026, 1, 1), strict=False, batch_id=5) == 1
+    assert table.upsert(rows, dt.datetime(2026, 1, 2), strict=False, batch_id=5) == 0
+    assert table.upsert(rows, dt.datetime(2026, 1, 2), strict=False, batch_id=4) == 1   # an earlier number may come later
+    assert table.rejected().count() == 2 and table.read().count() == 1
 
 
-def test_upsert_keeps_rejected_rows_beside_the_commit(spark, tmp_root):
-    table = SnapshotTable(spark, f"{tmp_root}/t", "books")
+def test_upsert_keeps_rejected_rows(spark, tmp_root):
+    table = StoredTable(spark, f"{tmp_root}/t", "books")
     rows = _batch(spark, [(0, "A", "1", None, "c"), (1, " ", "2", None, "c")])
     assert table.rejected() is None
     try:
@@ -183,7 +217,7 @@ def test_upsert_keeps_rejected_rows_beside_the_commit(spark, tmp_root):
         raise AssertionError("blank title accepted")
     except ValueError:
         pass
-    assert table.versions() == [] and table.upsert(rows, dt.datetime(2026, 1, 1), strict=False) == 1
+    assert table.read().isEmpty() and table.rejected() is None and table.upsert(rows, dt.datetime(2026, 1, 1), strict=False) == 1
     assert [r.violations for r in table.rejected().collect()] == [["title_required"]]
 
 

@@ -29,7 +29,7 @@ def test_clean_cars_ranges(spark):
 
 
 def test_stream_equals_batch(spark, tmp_root):
-    from quarry.operators.upsert import SnapshotTable
+    from quarry.operators.upsert import StoredTable
     from quarry.streaming.ingest import batch_equivalent, ingest
     raw = B.raw_books(spark, SF_SMALL)
     raw.write.parquet(f"{tmp_root}/drop")
@@ -38,7 +38,7 @@ def test_stream_equals_batch(spark, tmp_root):
            batch_time=t)
     assert ingest(spark, "books", f"{tmp_root}/drop", S.RAW_BOOK_SCHEMA, f"{tmp_root}/work",
                   f"{tmp_root}/table", batch_time=t) == 0          # nothing new: no-op
-    stored = SnapshotTable(spark, f"{tmp_root}/table", "books").read()
+    stored = StoredTable(spark, f"{tmp_root}/table", "books").read()
     from quarry.operators.upsert import empty_table, merge
     expected = merge(empty_table(spark, "books"), batch_equivalent(raw, "books"), "books", t, strict=False)
     key = lambda df: sorted(tuple(r) for r in df.drop("id").collect())
@@ -50,7 +50,7 @@ def _key(df):
 
 
 def test_stream_loses_nothing_when_it_dies_between_stage_and_merge(spark, tmp_root):
-    from quarry.operators.upsert import SnapshotTable
+    from quarry.operators.upsert import StoredTable
     from quarry.streaming.ingest import ingest, stage
     raw = B.raw_books(spark, SF_SMALL)
     t = dt.datetime(2026, 8, 18)
@@ -63,29 +63,37 @@ def test_stream_loses_nothing_when_it_dies_between_stage_and_merge(spark, tmp_ro
             else:
                 ingest(spark, "books", f"{root}/drop", S.RAW_BOOK_SCHEMA, f"{root}/work", f"{root}/table", batch_time=t)
         ingest(spark, "books", f"{root}/drop", S.RAW_BOOK_SCHEMA, f"{root}/work", f"{root}/table", batch_time=t)
-    stored = [SnapshotTable(spark, f"{tmp_root}/{n}/table", "books") for n in ("plain", "died")]
+    stored = [StoredTable(spark, f"{tmp_root}/{n}/table", "books") for n in ("plain", "died")]
     assert _key(stored[0].read()) == _key(stored[1].read()) != []
     bad = [sorted(r.ordinal for r in s.rejected().collect()) for s in stored]
     assert bad[0] == bad[1] and len(set(bad[0])) == len(bad[0]) > 0
 
 
-def test_stream_merges_again_when_it_dies_before_the_commit(spark, tmp_root, monkeypatch):
-    from quarry.operators.upsert import SnapshotTable
+def test_stream_merges_again_when_it_dies_before_the_mark(spark, tmp_root, monkeypatch):
+    from quarry.operators.upsert import StoredTable
     from quarry.streaming.ingest import ingest
     raw = B.raw_books(spark, SF_SMALL)
     raw.write.parquet(f"{tmp_root}/drop")
     args = (spark, "books", f"{tmp_root}/drop", S.RAW_BOOK_SCHEMA, f"{tmp_root}/work", f"{tmp_root}/table")
 
-    def die(self, record):
+    def die(self, batch_id):
         raise OSError("lost")
     with monkeypatch.context() as m:
-        m.setattr(SnapshotTable, "_commit", die)
+        m.setattr(StoredTable, "_mark", die)
         with pytest.raises(OSError):
             ingest(*args)
-    table = SnapshotTable(spark, f"{tmp_root}/table", "books")
-    assert table.read().count() == 0
+    table = StoredTable(spark, f"{tmp_root}/table", "books")
+    assert table.merged().isEmpty()
+    once, bad = sorted(tuple(r) for r in table.read().collect()), table.rejected().count()
     n = ingest(*args)
-    assert n > 0 and table.read().count() > 0 and ingest(*args) == 0 and table.versions() == [1]
+    assert n > 0 and ingest(*args) == 0 and table.merged().count() == 1
+    assert sorted(tuple(r) for r in table.read().collect()) == once and table.rejected().count() == bad
+
+
+def test_stream_without_files_merges_nothing(spark, tmp_root):
+    from quarry.streaming.ingest import ingest
+    B.raw_books(spark, SF_SMALL).limit(0).coalesce(1).write.parquet(f"{tmp_root}/drop")
+    assert ingest(spark, "books", f"{tmp_root}/drop", S.RAW_BOOK_SCHEMA, f"{tmp_root}/work", f"{tmp_root}/table") == 0
 
 
 def test_run_validation(spark):
