@@ -34,6 +34,8 @@ RARE_DF = 256
 BLOCK = 256
 #: Bytes of text that a task works on at a time; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
+#: Tokens that a task makes entries of at a time; a longer document is a slice of its own.
+SLICE_TOKENS = 1 << 17
 #: Prefixes are so long that similar sets share this many tokens of them, or all of a smaller overlap.
 SHARED = 3
 
@@ -90,20 +92,17 @@ def _nodes(sets: list[np.ndarray]) -> list[bytes | None]:
     return [np.array([x.sum(dtype=np.uint64), mix(x + np.uint64(len(x))).sum(dtype=np.uint64)]).tobytes() if len(x) else None for x in sets]
 
 
-def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Size and node of each document."""
+def _sets(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Size and node of each document, and the tokens that its prefixes are taken from."""
     for batch in batches:
         for rows, raw, offsets in text_slices(batch, "__text", SLICE_BYTES):
             sets = shingle_sets(raw, offsets, k)
-            yield pa.RecordBatch.from_arrays([rows.column("__id"), rows.column("__th"), pa.array([len(x) for x in sets], pa.int64()),
-                                              pa.array(_nodes(sets), pa.binary())], names=["__id", "__th", "n", "node"])
-
-
-def _tokens(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, raw, offsets in text_slices(batch, "__text", SLICE_BYTES):
-            regions = [_region(x, percent) for x in shingle_sets(raw, offsets, k)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(regions).view(np.int64))], names=["token"])
+            regions = [_region(x, percent) for x in sets]
+            ends = np.cumsum([0, *(len(x) for x in regions)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("__id"), rows.column("__th"), pa.array([len(x) for x in sets], pa.int64()), pa.array(_nodes(sets), pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(regions).view(np.int64)))],
+                names=["__id", "__th", "n", "node", "region"])
 
 
 def signatures(region: np.ndarray, size: int, classes: np.ndarray, percent: int, rare_class: int) -> tuple[np.ndarray, bool]:
@@ -138,28 +137,30 @@ def signatures(region: np.ndarray, size: int, classes: np.ndarray, percent: int,
     return np.unique(np.concatenate(out)), True
 
 
-def _entries(batches: Iterator[pa.RecordBatch], frequent: tuple[np.ndarray, np.ndarray], k: int, percent: int, rare_class: int) -> Iterator[pa.RecordBatch]:
+def _entries(batches: Iterator[pa.RecordBatch], frequent: tuple[np.ndarray, np.ndarray], percent: int, rare_class: int) -> Iterator[pa.RecordBatch]:
     tokens, classes = frequent
     low = np.uint64((1 << 20) - 1)
     maybe = np.zeros(1 << 20, bool)
     maybe[(tokens & low).astype(np.int64)] = True
     for batch in batches:
-        for _, raw, offsets in text_slices(batch, "__text", SLICE_BYTES):
-            sets = [x for x in shingle_sets(raw, offsets, k) if len(x) > 1]
-            regions = [_region(x, percent) for x in sets]
-            whole = np.concatenate([np.zeros(0, np.uint64), *regions])
+        size, node, lists = batch.column("n").to_numpy(), batch.column("node"), batch.column("region")
+        offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+        lo = 0
+        while lo < len(size):
+            hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLICE_TOKENS, side="right")) - 1)
+            whole, ends = flat[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
             its = np.zeros(len(whole), np.uint8)
             on = np.flatnonzero(maybe[(whole & low).astype(np.int64)])
             if len(on):
                 at = np.minimum(np.searchsorted(tokens, whole[on]), len(tokens) - 1)
                 its[on] = np.where(tokens[at] == whole[on], classes[at], 0)
-            ends = np.cumsum([len(x) for x in regions]).tolist()
-            found = [signatures(r, len(x), its[e - len(r):e], percent, rare_class) for x, r, e in zip(sets, regions, ends, strict=True)]
-            row = np.repeat(np.arange(len(sets)), [len(x) for x, _ in found])
+            found = [signatures(whole[a:b], n, its[a:b], percent, rare_class)
+                     for n, a, b in zip(size[lo:hi].tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            row = np.repeat(np.arange(lo, hi), [len(x) for x, _ in found])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([np.zeros(0, np.uint64), *[x for x, _ in found]]).view(np.int64)),
-                 pa.array(_nodes(sets), pa.binary()).take(pa.array(row)), pa.array(np.array([len(x) for x in sets], np.int64)[row]),
-                 pa.array(np.array([e for _, e in found], bool)[row])], names=["sig", "node", "n", "ext"])
+                [pa.array(np.concatenate([x for x, _ in found]).view(np.int64)), node.take(pa.array(row)), pa.array(size[row]),
+                 pa.array(np.array([e for _, e in found], bool)[row - lo])], names=["sig", "node", "n", "ext"])
+            lo = hi
 
 
 def _whole(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -237,14 +238,16 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     spark = docs.sparkSession
     id_type = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("__id"), text_key(text).alias("__th"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    sets = materialize(rows.mapInArrow(lambda b: _sets(b, k), f"__id {id_type}, __th long, n long, node binary"), "sets")
+    # Texts are cut into shingles once; what prefixes are taken from, about half of the tokens, is written with the sets.
+    sets = materialize(rows.mapInArrow(lambda b: _sets(b, k, percent), f"__id {id_type}, __th long, n long, node binary, region array<long>"), "sets")
+    regions, sets = sets.filter("n > 1").select("n", "node", "region"), sets.drop("region")
 
     # The first document of each set, with sums before the shuffle: exact copies meet nowhere else.
     place = lambda: F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__th").alias("th"))
     first = materialize(sets.filter("n > 0").groupBy("node").agg(F.min(place()).alias("doc"), F.count(F.lit(1)).alias("k")), "first-documents")
 
     # Frequencies of the tokens that prefixes are taken from, over all documents.
-    counts = rows.select("__text").mapInArrow(lambda b: _tokens(b, k, percent), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    counts = regions.select(F.explode("region").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     classes = materialize(counts.filter(F.col("df") >= KNOWN_DF).select("token", F.ceil(F.log2("df")).cast("int").alias("class")), "token-classes")
     least, total = 64, 0
     for c, number in sorted(((r["class"], r["count"]) for r in classes.groupBy("class").count().collect()), reverse=True):
@@ -259,7 +262,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     rare_class = max(int(RARE_DF).bit_length() - 1, least - 1 if least < 64 else 0)
     # Entries are made twice: once to count members, with sums before the shuffle, and once to keep those
     # that have two, so that the many entries of one member are never written.
-    made = rows.select("__text").mapInArrow(lambda b: _entries(b, frequent.value, k, percent, rare_class), "sig long, node binary, n long, ext boolean")
+    made = regions.mapInArrow(lambda b: _entries(b, frequent.value, percent, rare_class), "sig long, node binary, n long, ext boolean")
     met = materialize(made.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("sig"), "met")
     entries = materialize(made.join(met, "sig", "left_semi").distinct(), "entries")
 
