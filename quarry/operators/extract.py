@@ -1,9 +1,9 @@
 """Record extraction from captured HTML pages.
 
 Pages live in a table ``(page_id, url, html, ...)``.  Extraction is a
-``mapInPandas`` job: each task parses its pages one at a time with the small
-selector engine in ``html.py`` and emits typed rows; Spark partitions and
-schedules the work and the rest of the plan (joins with detail pages,
+``mapInArrow`` job: each task parses its pages one at a time with the small
+selector engine in ``html.py`` and emits typed rows in small packs; Spark
+partitions and schedules the work and the rest of the plan (joins with detail pages,
 de-duplication, cleaning) stays in DataFrame operators.
 
 A spec is declarative: an optional *record* selector list (one output row per
@@ -15,19 +15,23 @@ from __future__ import annotations
 
 import json
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import html as H
 
 TEXT, ATTR, TEXT_OR_ATTR, MAP, LAST_TEXT, ALL_TEXT, ALL_ATTR, COUNT = (
     "text", "attr", "text_or_attr", "map", "last_text", "all_text", "all_attr", "count")
 
+#: Rows, and characters of HTML, after which a worker hands on what it extracted.
+PACK_ROWS, PACK_CHARS = 1024, 1 << 20
+
 
 @dataclass(frozen=True)
 class Field:
@@ -126,54 +130,72 @@ def output_schema(pages: DataFrame, spec: Spec, keep: Sequence[str]) -> T.Struct
     return T.StructType(fields)
 
 
-def _extract_batches(batches: Iterator[pd.DataFrame], spec: Spec, keep: Sequence[str],
-                     url_col: str, html_col: str, names: list[str]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out = []
-        for row in pdf.itertuples(index=False):
-            rec = row._asdict()
-            page_url = rec.get(url_col)
-            root = H.parse(rec.get(html_col))
-            ready = (not spec.ready) or H.find_first(root, spec.ready) is not None
-            base = {k: rec.get(k) for k in keep}
-            base["ready"] = ready
-            for f in spec.page_fields:
-                base[f.name] = _value(root, f, page_url) if ready else None
-            if not spec.records:
-                values = dict(base)
-                for f in spec.fields:
-                    values[f.name] = _value(root, f, page_url) if ready else None
-                out.append(values)
-                continue
-            cards = []
-            if ready:
-                for sel in spec.records:
-                    cards = H.select(root, sel)
-                    if cards:
-                        break
-            for i, card in enumerate(cards, start=1):
-                values = dict(base)
-                values["position"] = i
-                values["n_records"] = len(cards)
-                for f in spec.fields:
-                    values[f.name] = _value(card, f, page_url)
-                out.append(values)
-        yield pd.DataFrame(out, columns=names)
+def _page(html: str | None, url: str | None, spec: Spec) -> tuple[dict, list[H.Element], H.Element]:
+    """(page values, record elements, root) of one page."""
+    root = H.parse(html)
+    ready = (not spec.ready) or H.find_first(root, spec.ready) is not None
+    values = {"ready": ready}
+    for f in spec.page_fields:
+        values[f.name] = _value(root, f, url) if ready else None
+    cards = next(filter(None, (H.select(root, sel) for sel in spec.records)), []) if ready else []
+    return values, cards, root
+
+
+def _flat_rows(html: str | None, url: str | None, spec: Spec) -> Iterator[dict]:
+    values, cards, root = _page(html, url, spec)
+    if not spec.records:
+        yield values | {f.name: _value(root, f, url) if values["ready"] else None for f in spec.fields}
+    for i, card in enumerate(cards, start=1):
+        yield values | {"position": i, "n_records": len(cards)} | {f.name: _value(card, f, url) for f in spec.fields}
+
+
+def _nested_row(html: str | None, url: str | None, spec: Spec) -> Iterator[dict]:
+    values, cards, _ = _page(html, url, spec)
+    records = [{"position": i} | {f.name: _value(card, f, url) for f in spec.fields} for i, card in enumerate(cards, start=1)]
+    yield values | {"n_records": len(cards), "records": records}
+
+
+def _packed(batch: pa.RecordBatch, at: list[int], rows: list[dict], keep: Sequence[str], schema: pa.Schema) -> pa.RecordBatch:
+    kept = batch.select(list(keep)).take(pa.array(at, pa.int32()))
+    return pa.RecordBatch.from_arrays([kept.column(f.name).cast(f.type) if f.name in keep else pa.array([r[f.name] for r in rows], f.type)
+                                       for f in schema], schema=schema)
+
+
+def _extract_batches(batches: Iterator[pa.RecordBatch], page_rows: Callable[..., Iterator[dict]], spec: Spec, keep: Sequence[str],
+                     url_col: str, html_col: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows of every page, handed on after ``PACK_ROWS`` rows or ``PACK_CHARS`` read characters: beside the
+    batch that Spark sent, a worker holds one page's tree and one pack, whatever the batch holds."""
+    for batch in batches:
+        urls, htmls = batch.column(url_col), batch.column(html_col)
+        at, rows, read = [], [], 0
+        for i in range(batch.num_rows):
+            html = htmls[i].as_py()
+            read += len(html or "")
+            for values in page_rows(html, urls[i].as_py(), spec):
+                at.append(i)
+                rows.append(values)
+                if len(rows) >= PACK_ROWS:
+                    yield _packed(batch, at, rows, keep, schema)
+                    at, rows, read = [], [], 0
+            if rows and read >= PACK_CHARS:
+                yield _packed(batch, at, rows, keep, schema)
+                at, rows, read = [], [], 0
+        if rows:
+            yield _packed(batch, at, rows, keep, schema)
+
+
+def _extracted(pages: DataFrame, page_rows: Callable[..., Iterator[dict]], spec: Spec, keep: Sequence[str], url_col: str,
+               html_col: str, schema: T.StructType) -> DataFrame:
+    needed = list(dict.fromkeys([*keep, url_col, html_col]))
+    arrow = to_arrow_schema(schema)
+    return pages.select(*needed).mapInArrow(lambda b: _extract_batches(b, page_rows, spec, keep, url_col, html_col, arrow), schema)
 
 
 def extract(pages: DataFrame, spec: Spec, keep: Sequence[str] = ("page_id", "url"),
             url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Run ``spec`` over every page; one row per page, or one row
     per record element when the spec has a record selector."""
-    keep = list(keep)
-    schema = output_schema(pages, spec, keep)
-    names = [f.name for f in schema.fields]
-    needed = list(dict.fromkeys(keep + [url_col, html_col]))
-
-    def run(batches):
-        return _extract_batches(batches, spec, keep, url_col, html_col, names)
-
-    return pages.select(*needed).mapInPandas(run, schema)
+    return _extracted(pages, _flat_rows, spec, keep, url_col, html_col, output_schema(pages, spec, keep))
 
 
 def nested_schema(pages: DataFrame, spec: Spec, keep: Sequence[str]) -> T.StructType:
@@ -193,42 +215,7 @@ def extract_nested(pages: DataFrame, spec: Spec, keep: Sequence[str] = ("page_id
     """One row per page with its page fields, ``n_records`` and the records
     as an array of structs: a single parse gives both page facts (empty
     pages included) and the card rows (``explode``)."""
-    keep = list(keep)
-    schema = nested_schema(pages, spec, keep)
-    names = [f.name for f in schema.fields]
-    rec_names = ["position"] + [f.name for f in spec.fields]
-    needed = list(dict.fromkeys(keep + [url_col, html_col]))
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                rec = row._asdict()
-                page_url = rec.get(url_col)
-                root = H.parse(rec.get(html_col))
-                ready = (not spec.ready) or H.find_first(root, spec.ready) is not None
-                values = {k: rec.get(k) for k in keep}
-                values["ready"] = ready
-                for f in spec.page_fields:
-                    values[f.name] = _value(root, f, page_url) if ready else None
-                cards = []
-                if ready:
-                    for sel in spec.records:
-                        cards = H.select(root, sel)
-                        if cards:
-                            break
-                records = []
-                for i, card in enumerate(cards, start=1):
-                    r = {"position": i}
-                    for f in spec.fields:
-                        r[f.name] = _value(card, f, page_url)
-                    records.append(tuple(r[n] for n in rec_names))
-                values["n_records"] = len(cards)
-                values["records"] = [dict(zip(rec_names, r)) for r in records]
-                out.append(values)
-            yield pd.DataFrame(out, columns=names)
-
-    return pages.select(*needed).mapInPandas(run, schema)
+    return _extracted(pages, _nested_row, spec, keep, url_col, html_col, nested_schema(pages, spec, keep))
 
 
 # --- specs of the two listing sites ----------------------------------------------

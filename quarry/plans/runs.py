@@ -5,7 +5,7 @@ A run takes a table of captured listing pages ``(crawl_id, page, url, html)``
 performs what the crawler + cleaner + repository did page by page:
 
 1. page facts (cards on the page, next link) and card records — one
-   ``mapInPandas`` pass each over the pages;
+   ``mapInArrow`` pass over the pages;
 2. the crawl prefix (E4) with repeated-page detection (E3, cars) decides
    which pages the sequential crawler would have used; page 1 failing is an
    error;
